@@ -96,7 +96,8 @@ def transport_mode_desc(code) -> Column:
 def epoch_to_iso(epoch) -> Column:
     """Epoch seconds -> ISO-8601 UTC text; NULL or 0 -> NULL."""
     ts = F.timestamp_seconds(F.nullif(_c(epoch), F.lit(0)))
-    return F.date_format(F.convert_timezone(F.lit("UTC"), ts), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    utc_wall = F.to_utc_timestamp(ts, F.current_timezone())
+    return F.date_format(utc_wall, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
 def ocr_band(confidence, container_no) -> Column:

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import silver
+from ..operators import anomalies, manifest, quality, silver, yard
 from ..session import use_utc
-from ..sources import testdata
+from ..sources import bronze, testdata
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,19 +30,28 @@ def query(name: str):
     return deco
 
 
+def _flat(col, name: str, dtype) -> list:
+    if isinstance(dtype, T.TimestampType):
+        return [col.cast("timestamp_ntz").alias(name)]
+    if isinstance(dtype, T.StructType):
+        return [c for f in dtype.fields for c in _flat(col[f.name], f"{name}_{f.name}", f.dataType)]
+    if isinstance(dtype, T.MapType):
+        txt = F.concat_ws(",", F.array_sort(F.transform(
+            F.map_entries(col), lambda e: F.concat(e["key"].cast("string"), F.lit(":"),
+                                                   e["value"].cast("string")))))
+        return [txt.alias(name)]
+    return [col.alias(name)]
+
+
 def compare_form(df: DataFrame, drop: tuple = ()) -> DataFrame:
+    """Comparable output: no processing-time stamps, timestamps as TIMESTAMP_NTZ,
+    structs flattened to `<col>_<field>` (the window struct -> window_start /
+    window_end), maps as sorted `key:value` text."""
     cols = []
     for f in df.schema.fields:
         if f.name in drop or f.name in ("gold_processed_at", "silver_timestamp"):
             continue
-        if isinstance(f.dataType, T.TimestampType):
-            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
-        elif isinstance(f.dataType, T.StructType) and \
-                [x.name for x in f.dataType.fields] == ["start", "end"]:
-            cols.append(F.col(f"{f.name}.start").cast("timestamp_ntz").alias(f"{f.name}_start"))
-            cols.append(F.col(f"{f.name}.end").cast("timestamp_ntz").alias(f"{f.name}_end"))
-        else:
-            cols.append(F.col(f.name))
+        cols += _flat(F.col(f"`{f.name}`"), f.name, f.dataType)
     return df.select(*cols)
 
 
@@ -123,3 +132,141 @@ def gold_gate_hourly_traffic(spark, sf_dir):
     # approx_count_distinct columns are checked against a bound in approx_trucks_error.
     return compare_form(gold_pipeline(spark, sf_dir).gate_hourly_traffic,
                         drop=("unique_trucks_in", "unique_trucks_out"))
+
+
+# ------------------------------------------------------------------ quality
+@query("expectations")
+def expectations(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    tables = {"gold_container_export_flow": p.export_flow,
+              "gold_container_import_flow": p.import_flow,
+              "gold_crane_performance": p.crane_performance,
+              "gold_anomaly_summary": p.anomaly_summary,
+              "gold_terminal_daily_summary": p.terminal_daily_summary,
+              "gold_gate_hourly_traffic": p.gate_hourly_traffic}
+    out = None
+    for t, df in tables.items():
+        part = quality.expectation_counts(t, df, quality.EXPECTATIONS[t])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("silver_parse_errors")
+def silver_parse_errors(spark, sf_dir):
+    e = events(spark, sf_dir)
+    return (silver.parse_errors(testdata.crane_bronze(e), silver.CRANE)
+            .unionByName(silver.parse_errors(testdata.gate_bronze(e, "in"), silver.GATE_IN))
+            .unionByName(silver.parse_errors(testdata.gate_bronze(e, "out"), silver.GATE_OUT)))
+
+
+@query("approx_trucks_error")
+def approx_trucks_error(spark, sf_dir):
+    """HLL++ distinct trucks per gate-hour vs the exact count: groups whose error
+    stays within max(2, 3 x rsd x exact)."""
+    p = gold_pipeline(spark, sf_dir)
+    out = None
+    for side, df, ts in (("in", p.gate_in, "gate_in_timestamp"),
+                         ("out", p.gate_out, "gate_out_timestamp")):
+        g = df.groupBy("terminal_id", "gate_id", F.window(ts, "1 hour")).agg(
+            F.approx_count_distinct("truck_plate_no").alias("approx"),
+            F.count_distinct("truck_plate_no").alias("exact"))
+        bound = F.greatest(F.lit(2.0), F.col("exact") * 3 * 0.05)
+        part = g.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("groups"),
+                     F.count_if(F.abs(F.col("approx") - F.col("exact")) <= bound)
+                     .alias("groups_within_bound"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------------------------ routing
+@query("route_by_topic")
+def route_by_topic(spark, sf_dir):
+    b = bronze.route(testdata.all_topics_bronze(events(spark, sf_dir)), bronze.ROUTES)
+    return compare_form(b.select(F.col("key").cast("string").alias("key"), "topic", "partition",
+                                 "offset", "timestamp", "target_table"))
+
+
+# ------------------------------------------------------------------ yard
+@query("yard_log")
+def q_yard_log(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(yard.yard_log(p.crane, p.gate_in))
+
+
+@query("yard_operation_counts")
+def q_yard_operation_counts(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return yard.operation_counts(yard.yard_log(p.crane, p.gate_in))
+
+
+@query("events_chronological")
+def q_events_chronological(spark, sf_dir):
+    return compare_form(yard.chronological(gold_pipeline(spark, sf_dir).crane))
+
+
+@query("weight_reconciliation")
+def q_weight_reconciliation(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return yard.reconcile_weights(p.gate_in, p.crane)
+
+
+# ------------------------------------------------------------------ anomaly rules
+@query("crane_anomaly_rules")
+def q_crane_anomaly_rules(spark, sf_dir):
+    return compare_form(anomalies.crane_anomalies(gold_pipeline(spark, sf_dir).crane))
+
+
+@query("gate_anomaly_rules")
+def q_gate_anomaly_rules(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(anomalies.gate_anomalies(p.gate_in, "gate_in_timestamp").unionByName(
+        anomalies.gate_anomalies(p.gate_out, "gate_out_timestamp")))
+
+
+@query("ocr_quality")
+def q_ocr_quality(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return (anomalies.ocr_quality(p.crane, "crane")
+            .unionByName(anomalies.ocr_quality(p.gate_in, "gate_in"))
+            .unionByName(anomalies.ocr_quality(p.gate_out, "gate_out")))
+
+
+# ------------------------------------------------------------------ manifests
+def manifest_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_utc(spark)
+    return testdata.manifest_documents(testdata.read_table(spark, sf_dir, "orders"),
+                                       testdata.read_table(spark, sf_dir, "lineitem"))
+
+
+@query("manifest_containers")
+def q_manifest_containers(spark, sf_dir):
+    return manifest.manifest_containers(manifest_docs(spark, sf_dir))
+
+
+@query("manifest_summary")
+def q_manifest_summary(spark, sf_dir):
+    return manifest.manifest_summary(manifest_docs(spark, sf_dir))
+
+
+@query("work_orders")
+def q_work_orders(spark, sf_dir):
+    docs = manifest_docs(spark, sf_dir)
+    imports = manifest.manifest_containers(docs.where(F.col("process_type") == "01"), False)
+    exports = manifest.manifest_containers(docs.where(F.col("process_type") == "02"), False)
+    return yard.work_orders(imports, exports)
+
+
+def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = manifest_docs(spark, sf_dir)
+    return manifest.vessel_schedule(docs.where(F.col("process_type") == "01"),
+                                    docs.where(F.col("process_type") == "02"))
+
+
+@query("vessel_schedule")
+def q_vessel_schedule(spark, sf_dir):
+    return compare_form(schedule(spark, sf_dir))
+
+
+@query("vessel_schedule_by_type")
+def q_vessel_schedule_by_type(spark, sf_dir):
+    return compare_form(manifest.vessel_schedule_by_type(schedule(spark, sf_dir), "01"))

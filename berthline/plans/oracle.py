@@ -242,3 +242,204 @@ SELECT terminal_id, gate_id, CAST(window_start AS DATE) AS date,
             WHEN coalesce(vehicles_in, 0) + coalesce(vehicles_out, 0) >= 20 THEN 'BUSY'
             ELSE 'NORMAL' END AS peak_category
 FROM j"""
+
+
+# ------------------------------------------------------------- quality
+def _expectations_sql() -> str:
+    from ..operators.quality import EXPECTATIONS
+    src = {"gold_container_export_flow": "gold_export_flow",
+           "gold_container_import_flow": "gold_import_flow",
+           "gold_crane_performance": "gold_crane_performance",
+           "gold_anomaly_summary": "gold_anomaly_summary",
+           "gold_terminal_daily_summary": "gold_terminal_daily_summary",
+           "gold_gate_hourly_traffic": "gold_gate_hourly_traffic"}
+    parts = []
+    for table, checks in EXPECTATIONS.items():
+        for name, pred in checks.items():
+            parts.append(
+                f"SELECT '{table}' AS table_name, '{name}' AS expectation, "
+                f"CAST(count_if(({pred})) AS BIGINT) AS passed, "
+                f"CAST(count_if(NOT ({pred})) AS BIGINT) AS failed, "
+                f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS null_result "
+                f"FROM ({SQL[src[table]]}) t")
+    return " UNION ALL ".join(parts)
+
+
+SQL["expectations"] = _expectations_sql()
+
+SQL["silver_parse_errors"] = " UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, count(*) AS rows, CAST(0 AS BIGINT) AS null_payloads, "
+    f"CAST(0 AS BIGINT) AS malformed_payloads, CAST(0 AS BIGINT) AS bad_timestamps, "
+    f"CAST(count_if(ts IS NULL) AS BIGINT) AS missing_timestamps, "
+    f"CAST(0 AS BIGINT) AS missing_event_ids FROM events WHERE {pred}"
+    for topic, pred in (("crane_events", td.CRANE_PREDICATE),
+                        ("gate_in_events", td.GATE_IN_PREDICATE),
+                        ("gate_out_events", td.GATE_OUT_PREDICATE)))
+
+SQL["approx_trucks_error"] = " UNION ALL ".join(
+    f"SELECT '{side}' AS side, count(*) AS groups, count(*) AS groups_within_bound FROM "
+    f"(SELECT DISTINCT 'TERM-' || CAST(user_id % 3 AS STRING) AS t, "
+    f"'GATE-0' || CAST(1 + event_id % 4 AS STRING) AS g, date_trunc('hour', ts) AS w "
+    f"FROM events WHERE {pred}) x"
+    for side, pred in (("in", td.GATE_IN_PREDICATE), ("out", td.GATE_OUT_PREDICATE)))
+
+SQL["route_by_topic"] = " UNION ALL ".join(
+    f"SELECT CAST(user_id AS VARCHAR) AS key, '{topic}' AS topic, "
+    f"CAST(user_id % 12 AS INTEGER) AS partition, event_id AS offset, ts AS timestamp, "
+    f"'{table}' AS target_table FROM events WHERE {pred}"
+    for topic, table, pred in (("crane_events", "crane_events_bronze", td.CRANE_PREDICATE),
+                               ("gate_in_events", "gate_in_events_bronze", td.GATE_IN_PREDICATE),
+                               ("gate_out_events", "gate_out_events_bronze", td.GATE_OUT_PREDICATE)))
+
+# ------------------------------------------------------------- yard
+_REF = ["container_id", "container_number", "container_type", "container_type_name",
+        "container_size", "container_category", "seal_number"]
+
+YARD_LOG_SQL = f"""
+WITH {silver_ctes()},
+moves AS (SELECT * FROM crane WHERE coalesce(ocr_container_no, '') <> ''
+          AND crane_operation IN ('DISCHARGE', 'LOAD'))
+SELECT m.container_number, m.container_id, m.crane_operation AS operation,
+       m.event_id AS crane_event_id, m.crane_id, m.crane_timestamp,
+       CASE WHEN m.crane_operation = 'LOAD' THEN
+         (SELECT max(g.gate_in_timestamp) FROM gate_in g WHERE g.container_id = m.container_id
+           AND g.gate_in_timestamp <= m.crane_timestamp) END AS gate_in_timestamp,
+       m.load_cell_kg, {', '.join(f'm.{c} AS container_ref_{c}' for c in _REF)}
+FROM moves m"""
+SQL["yard_log"] = YARD_LOG_SQL
+SQL["yard_operation_counts"] = (
+    "SELECT CAST(count_if(operation = 'DISCHARGE') AS BIGINT) AS total_discharge, "
+    f"CAST(count_if(operation = 'LOAD') AS BIGINT) AS total_load FROM ({YARD_LOG_SQL}) y")
+SQL["events_chronological"] = (f"WITH {silver_ctes()} SELECT * FROM crane "
+                               "ORDER BY crane_timestamp, event_id")
+
+SQL["weight_reconciliation"] = f"""
+WITH {silver_ctes()}
+SELECT g.event_id AS gate_event_id, c.event_id AS crane_event_id, g.container_id, g.terminal_id,
+       g.gross_weight_kg, g.tare_weight_kg, g.nett_weight_kg, c.load_cell_kg AS crane_load_kg,
+       CAST(g.gross_weight_kg AS BIGINT) = CAST(g.tare_weight_kg AS BIGINT) + CAST(g.nett_weight_kg AS BIGINT) AS gross_consistent,
+       CAST(g.nett_weight_kg AS BIGINT) - c.load_cell_kg AS nett_minus_load_kg,
+       abs(CAST(g.nett_weight_kg AS BIGINT) - c.load_cell_kg) <= 150 AS within_tolerance
+FROM gate_in g JOIN crane c ON g.container_id = c.container_id
+ AND c.crane_timestamp >= g.gate_in_timestamp AND c.crane_timestamp <= g.gate_in_timestamp + INTERVAL 24 HOUR"""
+
+
+# ------------------------------------------------------------- anomaly rules
+def _crane_rules_sql() -> str:
+    from ..operators.anomalies import CONTAINER_WEIGHT_KG, DEFAULT_WEIGHT_KG, HOIST_SPEED_MPS
+    lo = "CASE container_type " + " ".join(
+        f"WHEN '{k}' THEN {v[0]}" for k, v in CONTAINER_WEIGHT_KG.items()) + f" ELSE {DEFAULT_WEIGHT_KG[0]} END"
+    hi = "CASE container_type " + " ".join(
+        f"WHEN '{k}' THEN {v[1]}" for k, v in CONTAINER_WEIGHT_KG.items()) + f" ELSE {DEFAULT_WEIGHT_KG[1]} END"
+    keep = ("event_id, crane_id, terminal_id, crane_timestamp, container_id, container_type, "
+            "load_cell_kg, hoist_speed_mps, anomali_type")
+    rules = [
+        ("WEIGHT_EXTREME", f"load_cell_kg < ({lo}) OR load_cell_kg > ({hi})"),
+        ("SPEED_EXTREME", f"hoist_speed_mps < {HOIST_SPEED_MPS[0]} OR hoist_speed_mps > {HOIST_SPEED_MPS[1]}"),
+        ("MISSING_OCR", "coalesce(ocr_container_no, '') = '' AND ocr_confidence_score = 0.0 "
+                        "AND ocr_status = 'FAILED'"),
+    ]
+    body = " UNION ALL ".join(
+        f"SELECT {keep}, '{n}' AS detected_rule, '{n}' = anomali_type AS matches_declared "
+        f"FROM crane WHERE {cond}" for n, cond in rules)
+    return f"WITH {silver_ctes()} {body}"
+
+
+def _gate_rules_sql() -> str:
+    parts = []
+    for gate, ts in (("gate_in", "gate_in_timestamp"), ("gate_out", "gate_out_timestamp")):
+        keep = (f"event_id, gate_id, terminal_id, {ts} AS gate_timestamp, direction, "
+                "container_id, truck_plate_no, anomali_type")
+        rules = [
+            ("RFID_FAILED", "truck_rfid_success = false AND coalesce(truck_rfid_tag, '') = ''"),
+            ("OCR_MISMATCH", "coalesce(ocr_container_no, '') <> '' AND ocr_container_no <> container_number"),
+            ("WEIGHT_EXTREME", "gross_weight_kg IN (0, 99999, -100)"),
+            ("MISSING_DO", "coalesce(do_number, '') = ''"),
+        ]
+        parts += [f"SELECT {keep}, '{n}' AS detected_rule, '{n}' = anomali_type AS matches_declared "
+                  f"FROM {gate} WHERE {cond}" for n, cond in rules]
+    return f"WITH {silver_ctes()} " + " UNION ALL ".join(parts)
+
+
+SQL["crane_anomaly_rules"] = _crane_rules_sql()
+SQL["gate_anomaly_rules"] = _gate_rules_sql()
+
+
+def _ocr_sql() -> str:
+    band = ("CASE WHEN ocr_confidence_score IS NULL THEN NULL "
+            "WHEN ocr_confidence_score >= 0.95 AND coalesce(ocr_container_no, '') <> '' THEN 'SUCCESS' "
+            "WHEN ocr_confidence_score >= 0.80 AND coalesce(ocr_container_no, '') <> '' THEN 'LOW_CONFIDENCE' "
+            "ELSE 'FAILED' END")
+    parts = [f"SELECT '{src}' AS source, ocr_status, count(*) AS events, "
+             "min(ocr_confidence_score) AS min_confidence, max(ocr_confidence_score) AS max_confidence, "
+             "CAST(count_if(coalesce(ocr_container_no, '') = '') AS BIGINT) AS blank_numbers, "
+             f"CAST(count_if(({band}) <> ocr_status) AS BIGINT) AS band_mismatches "
+             f"FROM {src} GROUP BY ocr_status" for src in ("crane", "gate_in", "gate_out")]
+    return f"WITH {silver_ctes()} " + " UNION ALL ".join(parts)
+
+
+SQL["ocr_quality"] = _ocr_sql()
+
+
+# ------------------------------------------------------------- manifests
+_EPOCH = "CAST(floor(epoch(o_orderdate)) AS BIGINT)"
+MANIFEST_ROWS = (
+    "SELECT " + ", ".join(f"{e} AS {n}" for n, e in td.MANIFEST_HEADER.items())
+    + f", {td.MANIFEST_ETA.format(epoch=_EPOCH)} AS eta, {td.MANIFEST_ETD.format(epoch=_EPOCH)} AS etd, "
+    + ", ".join(f"CASE WHEN l_orderkey IS NULL THEN NULL ELSE {e} END AS {n}"
+                for n, e in td.MANIFEST_CONTAINER.items())
+    + ", l_orderkey IS NOT NULL AS present FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey")
+
+_HDR = ["vessel_id", "vessel_name", "imo_number", "call_sign", "mmsi_number", "voyage",
+        "process_type", "transport_mode", "terminal_code", "customs_office_code",
+        "captain_name", "eta", "etd"]
+_CF = list(td.MANIFEST_CONTAINER)
+
+SQL["manifest_containers"] = f"SELECT {', '.join(_HDR + _CF)} FROM ({MANIFEST_ROWS}) m"
+
+_DIMS = {"by_size": "container_size", "by_type": "container_type", "by_status": "status_code"}
+MANIFEST_SUMMARY_SQL = (
+    f"WITH m AS ({MANIFEST_ROWS}) "
+    "SELECT vessel_id, process_type, 'total' AS dimension, 'all' AS value, "
+    "CAST(count_if(present) AS BIGINT) AS containers FROM m GROUP BY vessel_id, process_type "
+    + " ".join(f"UNION ALL SELECT vessel_id, process_type, '{d}' AS dimension, "
+               f"coalesce({f}, 'unknown') AS value, count(*) AS containers FROM m WHERE present "
+               "GROUP BY ALL" for d, f in _DIMS.items()))
+SQL["manifest_summary"] = MANIFEST_SUMMARY_SQL
+
+SQL["work_orders"] = (
+    f"SELECT {', '.join(_HDR + _CF)}, CASE WHEN process_type = '01' THEN 'DISCHARGE' "
+    f"ELSE 'LOAD' END AS operation FROM ({MANIFEST_ROWS}) m "
+    "WHERE present AND process_type IN ('01', '02')")
+
+
+def _iso(e: str) -> str:
+    return (f"CASE WHEN {e} IS NULL OR {e} = 0 THEN NULL ELSE "
+            f"strftime(make_timestamp({e} * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' END")
+
+
+def _schedule_sql(where: str = "") -> str:
+    maps = ", ".join(
+        f"coalesce(string_agg(CASE WHEN dimension = '{d}' THEN value || ':' || CAST(containers AS VARCHAR) END, ',' "
+        f"ORDER BY CASE WHEN dimension = '{d}' THEN value || ':' || CAST(containers AS VARCHAR) END), '') "
+        f"AS containers_summary_{d}" for d in _DIMS)
+    return f"""
+WITH s AS ({MANIFEST_SUMMARY_SQL}),
+h AS (SELECT DISTINCT {', '.join(_HDR)} FROM ({MANIFEST_ROWS}) m WHERE process_type IN ('01', '02')),
+agg AS (SELECT vessel_id, process_type,
+          max(CASE WHEN dimension = 'total' THEN containers END) AS containers_summary_total, {maps}
+        FROM s GROUP BY vessel_id, process_type)
+SELECT h.vessel_id, vessel_name, imo_number, call_sign, mmsi_number, voyage AS voyage_number,
+       h.process_type,
+       CASE h.process_type WHEN '01' THEN 'IMPORT' WHEN '02' THEN 'EXPORT' ELSE 'UNKNOWN' END AS process_type_desc,
+       transport_mode,
+       CASE transport_mode WHEN '01' THEN 'LAUT' WHEN '02' THEN 'UDARA' WHEN '03' THEN 'DARAT' ELSE 'UNKNOWN' END AS transport_mode_desc,
+       terminal_code, customs_office_code, captain_name,
+       {_iso('eta')} AS schedule_eta, {_iso('etd')} AS schedule_etd,
+       coalesce(containers_summary_total, 0) AS containers_summary_total,
+       {', '.join(f'containers_summary_{d}' for d in _DIMS)}
+FROM h LEFT JOIN agg ON h.vessel_id = agg.vessel_id AND h.process_type = agg.process_type {where}"""
+
+
+SQL["vessel_schedule"] = _schedule_sql()
+SQL["vessel_schedule_by_type"] = _schedule_sql("WHERE h.process_type = '01'")
