@@ -17,7 +17,9 @@ partition of the NULL hash.  AQE's skew-join split still applies on top.
 
 Works on streaming inputs too: the bucket copy is a stateless `explode`
 before the symmetric-hash join, and the range predicate on the watermarked
-time columns lets the state store evict.
+time columns lets the state store evict.  A streaming left row whose time is
+NULL would never leave the join state, so on streams never-matching left rows
+are routed around the join (stateless) and unioned back with NULL right columns.
 """
 
 from __future__ import annotations
@@ -73,6 +75,10 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
          .withColumn("_ij_bucket", F.explode(F.sequence(first, last)))
          .withColumn("_ij_salt", F.lit(0)))
 
+    split = how == "left" and left.isStreaming
+    if split:
+        around = l.where(F.col("_ij_salt") != 0)
+        l = l.where(F.col("_ij_salt") == 0)
     la, ra = l.alias(left_alias), r.alias(right_alias)
     cond = [F.col(f"{left_alias}.{k}") == F.col(f"{right_alias}.{k}") for k in keys]
     cond += [F.col(f"{left_alias}._ij_bucket") == F.col(f"{right_alias}._ij_bucket"),
@@ -84,4 +90,15 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     on = cond[0]
     for c in cond[1:]:
         on = on & c
-    return la.join(ra, on, how)
+    joined = la.join(ra, on, how)
+    if not split:
+        return joined
+    # Right columns as one struct (NULL for rows routed around the join), so the
+    # union keeps `l.x` / `r.x` access for callers.
+    rstruct = F.struct(*[F.col(f"{right_alias}.{c}").alias(c) for c in r.columns])
+    matched = joined.select(*[F.col(f"{left_alias}.{c}") for c in l.columns],
+                            rstruct.alias(right_alias))
+    rtype = matched.schema[right_alias].dataType
+    unmatched = around.select(*[F.col(c) for c in l.columns],
+                              F.lit(None).cast(rtype).alias(right_alias))
+    return matched.unionByName(unmatched).alias(left_alias)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..operators import anomalies, manifest, quality, silver, yard
 from ..session import use_utc
 from ..sources import bronze, testdata
+from ..streaming import tables as stream_tables
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -270,3 +271,50 @@ def q_vessel_schedule(spark, sf_dir):
 @query("vessel_schedule_by_type")
 def q_vessel_schedule_by_type(spark, sf_dir):
     return compare_form(manifest.vessel_schedule_by_type(schedule(spark, sf_dir), "01"))
+
+
+# ------------------------------------------------------------------ streaming twins
+# Arrival stages of the replays (event time; rows arrive stage by stage).
+STREAM_STAGES = ["2024-01-15"]
+LATE_MID = "2024-01-15"
+
+
+@query("stream_export_flow")
+def q_stream_export_flow(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(stream_tables.stream_export_flow(spark, p.gate_in, p.crane, STREAM_STAGES))
+
+
+@query("stream_import_flow")
+def q_stream_import_flow(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(stream_tables.stream_import_flow(spark, p.gate_out, p.crane, STREAM_STAGES))
+
+
+@query("stream_gate_traffic")
+def q_stream_gate_traffic(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(stream_tables.stream_gate_traffic(spark, p.gate_in, p.gate_out, STREAM_STAGES),
+                        drop=("unique_trucks_in", "unique_trucks_out"))
+
+
+@query("stream_crane_performance")
+def q_stream_crane_performance(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(stream_tables.stream_crane_performance(spark, p.crane, STREAM_STAGES))
+
+
+@query("stream_anomaly_summary")
+def q_stream_anomaly_summary(spark, sf_dir):
+    p = gold_pipeline(spark, sf_dir)
+    return compare_form(stream_tables.stream_anomaly_summary(spark, p.crane, STREAM_STAGES))
+
+
+@query("late_data_dropped")
+def q_late_data_dropped(spark, sf_dir):
+    """Gate-in rows of every tenth event before LATE_MID arrive last and are
+    dropped by the 1 h watermark; kept hourly counts per terminal."""
+    p = gold_pipeline(spark, sf_dir)
+    late = F.col("event_id").cast("bigint") % 10 == 0
+    kept, _dropped = stream_tables.late_gate_traffic(spark, p.gate_in, late, LATE_MID)
+    return compare_form(kept)

@@ -443,3 +443,20 @@ FROM h LEFT JOIN agg ON h.vessel_id = agg.vessel_id AND h.process_type = agg.pro
 
 SQL["vessel_schedule"] = _schedule_sql()
 SQL["vessel_schedule_by_type"] = _schedule_sql("WHERE h.process_type = '01'")
+
+
+# ------------------------------------------------------------- streaming twins
+# After the sentinel flush a stream equals its batch table.
+SQL["stream_export_flow"] = SQL["gold_export_flow"]
+SQL["stream_import_flow"] = SQL["gold_import_flow"]
+SQL["stream_gate_traffic"] = SQL["gold_gate_hourly_traffic"]
+SQL["stream_crane_performance"] = SQL["gold_crane_performance"]
+SQL["stream_anomaly_summary"] = SQL["gold_anomaly_summary"]
+SQL["late_data_dropped"] = f"""
+WITH {silver_ctes()}
+SELECT terminal_id, date_trunc('hour', gate_in_timestamp) AS window_start,
+       date_trunc('hour', gate_in_timestamp) + INTERVAL 1 HOUR AS window_end,
+       count(*) AS vehicles_in
+FROM gate_in
+WHERE NOT (gate_in_timestamp < TIMESTAMP '2024-01-15' AND CAST(event_id AS BIGINT) % 10 = 0)
+GROUP BY ALL"""
