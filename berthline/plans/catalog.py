@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import anomalies, manifest, quality, silver, yard
 from ..session import use_utc
-from ..sources import bronze, testdata
+from .. import schemas
+from ..sources import bronze, sinks, testdata
 from ..streaming import tables as stream_tables
 from . import pipeline
 
@@ -318,3 +320,51 @@ def q_late_data_dropped(spark, sf_dir):
     late = F.col("event_id").cast("bigint") % 10 == 0
     kept, _dropped = stream_tables.late_gate_traffic(spark, p.gate_in, late, LATE_MID)
     return compare_form(kept)
+
+
+
+# ------------------------------------------------------------------ sinks
+@query("clustered_export_flow")
+def q_clustered_export_flow(spark, sf_dir):
+    """Export flow written in clustered layout (terminal_id, container_number)
+    and read back."""
+    path = sinks.fresh_path(spark, "clustered_export_flow")
+    sinks.write_clustered(gold_pipeline(spark, sf_dir).export_flow, path,
+                          ["terminal_id", "container_number"])
+    return compare_form(spark.read.parquet(path))
+
+
+@query("raw_landing")
+def q_raw_landing(spark, sf_dir):
+    """All three topics streamed to JSON landing folders topic=/date=, read back."""
+    from ..streaming.runner import Replay
+    rp = Replay(spark, "raw-landing")
+    b = testdata.all_topics_bronze(events(spark, sf_dir))
+    src = rp.source("bronze", b.schema, "timestamp")
+    rp.stage("bronze", b)
+    out = rp.path("landing")
+    sinks.land_raw_stream(src, out, rp.path("checkpoint"))
+    landed = spark.read.schema(
+        "key string, value string, partition int, offset bigint, timestamp timestamp, "
+        "timestampType int, topic string, date date") \
+        .option("timestampFormat", sinks.JSON_TS).json(out)
+    return compare_form(landed.select("topic", "date", "key", "partition", "offset", "timestamp",
+                                      F.get_json_object("value", "$.event_id").alias("event_id")))
+
+
+@query("manifest_landing_counts")
+def q_manifest_landing_counts(spark, sf_dir):
+    """Manifests landed as dated JSON (year=/month=/day=/label=), read back and
+    counted per folder."""
+    docs = manifest_docs(spark, sf_dir)
+    d = F.to_date(F.timestamp_seconds(F.coalesce(F.nullif("eta", F.lit(0)), F.col("etd"))))
+    label = F.when(F.col("process_type") == "01", "import") \
+        .when(F.col("process_type") == "02", "export").otherwise("other")
+    path = sinks.fresh_path(spark, "manifest_landing")
+    sinks.land_dated_json_bounded(docs.withColumn("landing_date", d).withColumn("label", label),
+                                  path, "landing_date", "label")
+    back = spark.read.schema(
+        StructType(list(schemas.MANIFEST.fields) + [
+            StructField(n, StringType()) for n in ("year", "month", "day", "label")])).json(path)
+    return back.groupBy("year", "month", "day", "label").agg(
+        F.count(F.lit(1)).alias("manifests"), F.sum(F.size("containers")).alias("containers"))

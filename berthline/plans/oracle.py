@@ -460,3 +460,26 @@ SELECT terminal_id, date_trunc('hour', gate_in_timestamp) AS window_start,
 FROM gate_in
 WHERE NOT (gate_in_timestamp < TIMESTAMP '2024-01-15' AND CAST(event_id AS BIGINT) % 10 = 0)
 GROUP BY ALL"""
+
+
+# ------------------------------------------------------------- sinks
+SQL["clustered_export_flow"] = SQL["gold_export_flow"]
+
+SQL["raw_landing"] = " UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS key, "
+    f"CAST(user_id % 12 AS INTEGER) AS partition, event_id AS offset, ts AS timestamp, "
+    f"CAST(event_id AS VARCHAR) AS event_id FROM events WHERE {pred}"
+    for topic, pred in (("crane_events", td.CRANE_PREDICATE),
+                        ("gate_in_events", td.GATE_IN_PREDICATE),
+                        ("gate_out_events", td.GATE_OUT_PREDICATE)))
+
+_LAND_EPOCH = f"coalesce(nullif({td.MANIFEST_ETA.format(epoch=_EPOCH)}, 0), {td.MANIFEST_ETD.format(epoch=_EPOCH)})"
+SQL["manifest_landing_counts"] = f"""
+WITH o AS (
+  SELECT CAST(make_timestamp({_LAND_EPOCH} * 1000000) AS DATE) AS d,
+         CASE WHEN o_orderkey % 2 = 1 THEN 'import' ELSE 'export' END AS label,
+         (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n
+  FROM orders)
+SELECT strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%d') AS day, label,
+       count(*) AS manifests, CAST(sum(n) AS BIGINT) AS containers
+FROM o GROUP BY ALL"""

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
+# Microsecond timestamps in JSON (the writer's default keeps milliseconds only).
+JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
               partition_by: list[str] | None = None) -> None:
@@ -76,3 +79,42 @@ def _exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(p)
+
+
+def fresh_path(spark: SparkSession, *parts: str) -> str:
+    """A new folder under the shared checkpoint root (never reused or cleared)."""
+    import uuid
+    return os.path.join(checkpoint_root(spark), "berthline-sinks", *parts, uuid.uuid4().hex[:12])
+
+
+def land_raw_stream(bronze: DataFrame, path: str, checkpoint: str) -> list:
+    """Topic -> object-store landing (what a managed sink connector does): each
+    Kafka record as one JSON line, folders topic=<t>/date=<d>, exactly-once via
+    the file sink's commit log; returns the progress reports."""
+    rows = bronze.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        "topic", "partition", "offset", "timestamp", "timestampType",
+        F.to_date("timestamp").alias("date"))
+    q = (rows.writeStream.format("json").partitionBy("topic", "date")
+         .option("timestampFormat", JSON_TS)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .outputMode("append").start(path))
+    q.awaitTermination()
+    return list(q.recentProgress)
+
+
+def land_dated_json_bounded(df: DataFrame, path: str, date_col: str, label_col: str) -> None:
+    """`land_dated_json` with a range shuffle on (day, label, row hash) first.
+
+    Range boundaries come from a sample, so small days share one task (about one
+    file per folder instead of one per task) while a day holding a third of all
+    rows is cut into many ranges by the row hash and written by many tasks."""
+    d = F.col(date_col)
+    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    out = (df.withColumn("year", F.date_format(d, "yyyy"))
+           .withColumn("month", F.date_format(d, "MM"))
+           .withColumn("day", F.date_format(d, "dd"))
+           .repartitionByRange("year", "month", "day", label_col, h)
+           .drop(date_col))
+    (out.write.mode("overwrite").option("timestampFormat", JSON_TS)
+     .partitionBy("year", "month", "day", label_col).json(path))
