@@ -69,12 +69,24 @@ def anomaly_summary(crane: DataFrame, processing_time: bool = True) -> DataFrame
     return out.withColumn("anomaly_severity", rules.anomaly_severity("total_anomalies"))
 
 
+def exact_avg_hundredths(col: str) -> Column:
+    """round(avg(x), 2) for x holding 2-decimal values, computed exactly.
+
+    A double `avg` sums in partition order, so a mean on a .xx5 tie rounds
+    either way depending on the cluster layout; summing integer hundredths and
+    rounding the exact mean HALF_UP gives one answer everywhere."""
+    k = F.round(F.col(col) * 100).cast("long")
+    s, n = F.sum(k), F.count(k)
+    q = F.floor((F.abs(s) * 2 + n) / (n * 2))
+    return F.when(n > 0, F.signum(s) * q / 100)
+
+
 def _flow_daily(flow: DataFrame, ts: str, side: str) -> DataFrame:
     cat = F.col("dwell_time_category")
     cnt = lambda v: F.sum(F.when(cat == v, 1).otherwise(0))
     return flow.groupBy("terminal_id", F.to_date(ts).alias("date")).agg(
         F.count(F.lit(1)).alias(f"total_{side}_containers"),
-        F.round(F.avg("yard_dwell_time_hours"), 2).alias(f"avg_{side}_dwell_hours"),
+        exact_avg_hundredths("yard_dwell_time_hours").alias(f"avg_{side}_dwell_hours"),
         F.max("yard_dwell_time_hours").alias(f"max_{side}_dwell_hours"),
         cnt("NORMAL").alias(f"{side}_normal_count"),
         cnt("DELAYED").alias(f"{side}_delayed_count"),
