@@ -60,17 +60,17 @@ def vessel_schedule(*manifest_sets: DataFrame) -> DataFrame:
     for m in manifest_sets[1:]:
         manifests = manifests.unionByName(m)
     summary = manifest_summary(manifests)
-    maps = (summary.where(F.col("dimension") != "total")
-            .groupBy("vessel_id", "process_type")
-            .agg(*[F.map_from_entries(F.collect_list(F.when(
-                F.col("dimension") == d, F.struct("value", "containers")))).alias(d)
-                for d in DIMENSIONS]))
-    totals = summary.where(F.col("dimension") == "total") \
-        .select("vessel_id", "process_type", F.col("containers").alias("total"))
-    # One header row per vessel call (pages of one manifest share the header).
-    header = manifests.select(*HEADER).dropDuplicates(["vessel_id", "process_type"])
-    s = header.join(totals, ["vessel_id", "process_type"], "left") \
-        .join(maps, ["vessel_id", "process_type"], "left")
+    # Totals and the three count maps in one aggregation over the (small)
+    # per-manifest summary rows; a map holds one entry per distinct code.
+    dim = F.col("dimension")
+    per_call = summary.groupBy("vessel_id", "process_type").agg(
+        F.sum(F.when(dim == "total", F.col("containers"))).alias("total"),
+        *[F.map_from_entries(F.collect_list(F.when(dim == d, F.struct("value", "containers"))))
+          .alias(d) for d in DIMENSIONS])
+    # One header row per vessel call: pages of one manifest repeat the same
+    # header, so a hash distinct (partial + final) suffices -- no sort-based first().
+    header = manifests.select(*HEADER).distinct()
+    s = header.join(per_call, ["vessel_id", "process_type"], "left")
     empty = F.create_map().cast("map<string,bigint>")
     return s.select(
         "vessel_id", "vessel_name", "imo_number", "call_sign", "mmsi_number",
