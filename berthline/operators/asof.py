@@ -10,8 +10,11 @@ a hot key to one task.  Here the time axis is cut into buckets:
    aggregate), then per key a running max over earlier buckets -- a window over
    one row per key-bucket, not per event;
 3. left rows without an in-bucket match take the carry-over of their bucket
-   through an equi-join on (key, bucket).
+   through an equi-join on (key, bucket), which reuses the window's
+   partitioning (no second shuffle of the left side).
 
+Left rows that cannot match (NULL key or time) get a synthetic key of their own
+("n" + hash) instead of sharing one NULL partition; real keys are prefixed "k".
 Exact; no row is dropped; every step is a DataFrame operator.
 """
 
@@ -27,6 +30,10 @@ def _bucket(c: str, w_us: int):
     return F.expr(f"(unix_micros(`{c}`) - pmod(unix_micros(`{c}`), {w_us})) div {w_us}")
 
 
+def _real_key(key: str):
+    return F.concat(F.lit("k"), F.col(key).cast("string"))
+
+
 def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, right_ts: str,
                 values: list[str], bucket_seconds: int = DAY, prefix: str = "asof_") -> DataFrame:
     """Left rows + `prefix<right_ts>` and `prefix<value>` of the latest right row
@@ -37,21 +44,20 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
     lcols = left.columns
     rvalid = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
 
-    # Left rows that cannot match (NULL key or time) are spread by a deterministic
-    # salt instead of forming one window partition.
     unmatchable = F.col(key).isNull() | F.col(left_ts).isNull()
-    salt = F.when(unmatchable, F.pmod(F.xxhash64(*[F.col(c) for c in lcols]), F.lit(64)) + 1) \
-        .otherwise(F.lit(0))
-    l = left.select(*[F.col(c) for c in lcols], F.col(key).alias("_a_key"),
-                    F.col(left_ts).alias("_a_ts"), _bucket(left_ts, w_us).alias("_a_b"),
-                    F.lit(1).alias("_a_side"), F.lit(None).cast(rtype).alias("_a_r"),
-                    salt.alias("_a_salt"))
+    synthetic = F.concat(F.lit("n"), F.pmod(F.xxhash64(*[F.col(c) for c in lcols]),
+                                            F.lit(1024)).cast("string"))
+    l = left.select(*[F.col(c) for c in lcols],
+                    F.when(unmatchable, synthetic).otherwise(_real_key(key)).alias("_a_key"),
+                    F.col(left_ts).alias("_a_ts"),
+                    F.coalesce(_bucket(left_ts, w_us), F.lit(0)).alias("_a_b"),
+                    F.lit(1).alias("_a_side"), F.lit(None).cast(rtype).alias("_a_r"))
     r = rvalid.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields],
-                      F.col(key).alias("_a_key"), F.col(right_ts).alias("_a_ts"),
+                      _real_key(key).alias("_a_key"), F.col(right_ts).alias("_a_ts"),
                       _bucket(right_ts, w_us).alias("_a_b"), F.lit(0).alias("_a_side"),
-                      rstruct.alias("_a_r"), F.lit(0).cast("long").alias("_a_salt"))
+                      rstruct.alias("_a_r"))
     # Right rows sort before left rows at equal time: "at or before".
-    w = (Window.partitionBy("_a_key", "_a_b", "_a_salt").orderBy("_a_ts", "_a_side")
+    w = (Window.partitionBy("_a_key", "_a_b").orderBy("_a_ts", "_a_side")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     lhs = (l.unionByName(r).withColumn("_a_in", F.last("_a_r", ignorenulls=True).over(w))
            .where(F.col("_a_side") == 1))
@@ -59,10 +65,14 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
     # Carry-over table: for every (key, bucket) holding left rows, the latest right
     # row of any earlier bucket.  Left markers sort before right rows of the same
     # bucket, so a running max sees strictly earlier buckets only.
-    per_bucket = rvalid.groupBy(F.col(key).alias("_a_key"), _bucket(right_ts, w_us).alias("_a_b")) \
-        .agg(F.max(rstruct).alias("_c_r")).withColumn("_c_side", F.lit(1))
-    marks = lhs.where(F.col("_a_key").isNotNull() & F.col("_a_b").isNotNull()) \
-        .select("_a_key", "_a_b").distinct() \
+    grp = rvalid.groupBy(_real_key(key).alias("_a_key"), _bucket(right_ts, w_us).alias("_a_b"))
+    if values:
+        per_bucket = grp.agg(F.max(rstruct).alias("_c_r"))
+    else:   # plain max of the time: a hash aggregate, no sort
+        per_bucket = grp.agg(F.max(right_ts).alias("_c_t")) \
+            .select("_a_key", "_a_b", F.struct(F.col("_c_t").alias("t")).alias("_c_r"))
+    per_bucket = per_bucket.withColumn("_c_side", F.lit(1))
+    marks = lhs.where(F.col("_a_key").startswith("k")).select("_a_key", "_a_b").distinct() \
         .withColumn("_c_r", F.lit(None).cast(rtype)).withColumn("_c_side", F.lit(0))
     wc = (Window.partitionBy("_a_key").orderBy("_a_b", "_c_side")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))

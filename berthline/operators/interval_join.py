@@ -70,10 +70,14 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     rt = F.col(right_ts)
     first = _floor_bucket(right_ts, hi_us, w_us)
     last = _floor_bucket(right_ts, lo_us, w_us)
+    # The right salt is 0 for every row, written as a non-constant expression so
+    # that the optimizer keeps `l._ij_salt = r._ij_salt` as a hash key (a literal 0
+    # would be folded into a residual filter and the salt would spread nothing).
+    zero = F.pmod(F.xxhash64(*[F.col(k) for k in keys] or [rt]), F.lit(1))
     r = (right.where(rt.isNotNull() & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)
                                               if keys else "TRUE"))
          .withColumn("_ij_bucket", F.explode(F.sequence(first, last)))
-         .withColumn("_ij_salt", F.lit(0)))
+         .withColumn("_ij_salt", zero))
 
     split = how == "left" and left.isStreaming
     if split:
