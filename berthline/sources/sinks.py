@@ -26,8 +26,7 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet",
     w.save(path)
 
 
-def write_clustered(df: DataFrame, path: str, keys: list[str], *,
-                    partitions: int | None = None, fmt: str = "parquet") -> None:
+def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """Clustered layout without Delta: range-partition on the cluster keys and
     sort within files, so parquet min/max statistics prune scans on them.
 
@@ -35,8 +34,12 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], *,
     collect of data), so a hot key leading the list still spreads over files
     by the following keys."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").format(fmt).save(path))
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
+def write_clustered(df: DataFrame, path: str, keys: list[str], *,
+                    partitions: int | None = None, fmt: str = "parquet") -> None:
+    clustered(df, keys, partitions).write.mode("overwrite").format(fmt).save(path)
 
 
 def land_dated_json(df: DataFrame, path: str, date_col: str, label_col: str | None = None) -> None:

@@ -51,3 +51,18 @@ def test_dated_landing_layout(spark, tmp_path):
     assert os.path.isdir(os.path.join(path, "year=2024", "month=01", "day=02", "label=import"))
     assert os.path.isdir(os.path.join(path, "year=2025", "month=12", "day=31", "label=import"))
     assert spark.read.json(path).count() == 3
+
+
+def test_materialize_pipeline(spark, tmp_path):
+    from berthline.plans import pipeline
+    p = pipeline.from_testdata(spark, "/root/testdata/sf0.001", processing_time=True)
+    metrics = pipeline.materialize(p, str(tmp_path / "tables"))
+    assert set(metrics) == {"gold_container_export_flow_streaming",
+                            "gold_container_import_flow_streaming", "gold_crane_performance",
+                            "gold_anomaly_summary", "gold_terminal_daily_summary",
+                            "gold_gate_hourly_traffic"}
+    ex = spark.read.parquet(str(tmp_path / "tables" / "gold_container_export_flow_streaming"))
+    m = metrics["gold_container_export_flow_streaming"]
+    assert m["valid_container_number__passed"] + m["valid_container_number__failed"] == ex.count()
+    daily = spark.read.parquet(str(tmp_path / "tables" / "gold_terminal_daily_summary"))
+    assert daily.count() > 0 and "gold_processed_at" in daily.columns
