@@ -156,12 +156,19 @@ def _payload(schema, flat: dict, nested: dict) -> Column:
     return F.struct(*cols)
 
 
+# Partitions per topic of the stand-in Kafka topics.
+KAFKA_PARTITIONS = 12
+
+
 def _kafka_rows(events: DataFrame, predicate: str, payload: Column, topic: str) -> DataFrame:
-    return events.where(predicate).select(
+    """Kafka-shaped rows, spread like a Kafka source reads them: one Spark
+    partition per topic partition (records keyed by container)."""
+    part = F.expr(f"CAST(pmod(user_id, {KAFKA_PARTITIONS}) AS INT)")
+    return events.where(predicate).repartition(KAFKA_PARTITIONS, part).select(
         F.expr("CAST(CAST(user_id AS STRING) AS BINARY)").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.expr("CAST(pmod(user_id, 12) AS INT)").alias("partition"),
+        part.alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
