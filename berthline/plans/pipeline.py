@@ -95,13 +95,15 @@ def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipeline:
 
 
 _SILVER: dict = {}
+# Bumped when the written layout of the stand-in silver tables changes.
+SILVER_LAYOUT = "v2"
 
 
 def silver_from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipeline:
     """Bronze -> silver written once per input (as the streaming silver tables
     are in production), gold computed over the silver parquet tables.  The
     written tables are immutable, so their DataFrames are reused per session."""
-    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + SILVER_LAYOUT
     memo = (id(spark), key)
     if memo not in _SILVER:
         raw = []

@@ -36,20 +36,24 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_LOCAL_ROOTS: dict = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     Read from the cluster's `spark.checkpoint.dir`; only when it is unset
-    (local tests) is a private scratch folder created and registered.
-    """
+    (local tests) is a private scratch folder created, once per context."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    local = tempfile.mkdtemp(prefix="berthline-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    key = id(spark.sparkContext)
+    if key not in _LOCAL_ROOTS:
+        local = tempfile.mkdtemp(prefix="berthline-ckpt-")
+        spark.sparkContext.setCheckpointDir(local)
+        _LOCAL_ROOTS[key] = local
+    return _LOCAL_ROOTS[key]
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,10 +12,8 @@ def spark():
     from berthline.session import build_session
     s = build_session(master="local[4]", shuffle_partitions=4,
                       extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    # Tests set their own checkpoint folder only where the session has none.
-    if not s.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="berthline-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
+    # Where the session names no spark.checkpoint.dir, berthline.session
+    # falls back to a private scratch folder (tests only).
     yield s
 
 
