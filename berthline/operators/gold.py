@@ -74,11 +74,10 @@ def exact_avg_hundredths(col: str) -> Column:
 
     A double `avg` sums in partition order, so a mean on a .xx5 tie rounds
     either way depending on the cluster layout; summing integer hundredths and
-    rounding the exact mean HALF_UP gives one answer everywhere."""
-    k = F.round(F.col(col) * 100).cast("long")
-    s, n = F.sum(k), F.count(k)
-    q = F.floor((F.abs(s) * 2 + n) / (n * 2))
-    return F.when(n > 0, F.signum(s) * q / 100)
+    rounding the exact mean HALF_UP (integer `div`) gives one answer everywhere."""
+    k = f"CAST(round(`{col}` * 100) AS BIGINT)"
+    s, n = f"sum({k})", f"count({k})"
+    return F.expr(f"CASE WHEN {n} > 0 THEN sign({s}) * ((2 * abs({s}) + {n}) div (2 * {n})) / 100 END")
 
 
 def _flow_daily(flow: DataFrame, ts: str, side: str) -> DataFrame:

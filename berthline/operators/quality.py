@@ -42,7 +42,7 @@ EXPECTATIONS = {
 }
 
 
-def _counts(name: str, predicate: str):
+def counts(name: str, predicate: str):
     p = F.expr(f"({predicate})")
     return [F.count_if(p).alias(f"{name}__passed"),
             F.count_if(~p).alias(f"{name}__failed"),
@@ -53,13 +53,13 @@ def expect(df: DataFrame, checks: dict[str, str], name: str = "expectations"):
     """Return (df with an observation attached, Observation).  Read the counts
     with `obs.get` after an action / streaming batch has run."""
     obs = Observation(name)
-    aggs = [c for n, p in checks.items() for c in _counts(n, p)]
+    aggs = [c for n, p in checks.items() for c in counts(n, p)]
     return df.observe(obs, *aggs), obs
 
 
 def expectation_counts(table: str, df: DataFrame, checks: dict[str, str]) -> DataFrame:
     """One row per expectation: table, expectation, passed, failed, null_result."""
-    aggs = [c for n, p in checks.items() for c in _counts(n, p)]
+    aggs = [c for n, p in checks.items() for c in counts(n, p)]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{n}', `{n}__passed`, `{n}__failed`, `{n}__null`" for n in checks)
     return wide.selectExpr(

@@ -37,7 +37,7 @@ def _ckpt(root: str, name: str) -> str:
 
 def _observed(df: DataFrame, table: str) -> DataFrame:
     checks = quality.EXPECTATIONS[table]
-    aggs = [c for n, p in checks.items() for c in quality._counts(n, p)]
+    aggs = [c for n, p in checks.items() for c in quality.counts(n, p)]
     return df.observe(table, *aggs)
 
 
