@@ -30,8 +30,9 @@ HOIST_SPEED_MPS = (0.5, 1.2)
 GROSS_WEIGHT_FAULTS = (0, 99999, -100)
 
 
-def _range_lookup(code: Column, idx: int, default: int) -> Column:
-    m = F.create_map(*[x for k, v in CONTAINER_WEIGHT_KG.items() for x in (F.lit(k), F.lit(v[idx]))])
+def _range_lookup(code: Column, ranges: dict, idx: int, default: int) -> Column:
+    """Lookup in a literal map: a fixed, tiny table evaluated in codegen (no join)."""
+    m = F.create_map(*[x for k, v in ranges.items() for x in (F.lit(k), F.lit(v[idx]))])
     return F.coalesce(m[code], F.lit(default))
 
 
@@ -42,9 +43,12 @@ def _explode_rules(df: DataFrame, flags: list[tuple[str, Column]], keep: list) -
         .withColumn("matches_declared", F.col("detected_rule") == F.col("anomali_type"))
 
 
-def crane_anomalies(crane: DataFrame) -> DataFrame:
-    lo = _range_lookup(F.col("container_type"), 0, DEFAULT_WEIGHT_KG[0])
-    hi = _range_lookup(F.col("container_type"), 1, DEFAULT_WEIGHT_KG[1])
+def crane_anomalies(crane: DataFrame, ranges: dict | None = None,
+                    default: tuple = DEFAULT_WEIGHT_KG) -> DataFrame:
+    """`ranges`: container type code -> (min kg, max kg); the fleet's table by default."""
+    ranges = ranges or CONTAINER_WEIGHT_KG
+    lo = _range_lookup(F.col("container_type"), ranges, 0, default[0])
+    hi = _range_lookup(F.col("container_type"), ranges, 1, default[1])
     load, speed = F.col("load_cell_kg"), F.col("hoist_speed_mps")
     flags = [
         ("WEIGHT_EXTREME", (load < lo) | (load > hi)),

@@ -23,11 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY = 86400
-
+from ..functions.buckets import time_bucket
 
-def _bucket(c: str, w_us: int):
-    return F.expr(f"(unix_micros(`{c}`) - pmod(unix_micros(`{c}`), {w_us})) div {w_us}")
+DAY = 86400
 
 
 def _real_key(key: str):
@@ -50,11 +48,11 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
     l = left.select(*[F.col(c) for c in lcols],
                     F.when(unmatchable, synthetic).otherwise(_real_key(key)).alias("_a_key"),
                     F.col(left_ts).alias("_a_ts"),
-                    F.coalesce(_bucket(left_ts, w_us), F.lit(0)).alias("_a_b"),
+                    F.coalesce(time_bucket(left_ts, w_us), F.lit(0)).alias("_a_b"),
                     F.lit(1).alias("_a_side"), F.lit(None).cast(rtype).alias("_a_r"))
     r = rvalid.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields],
                       _real_key(key).alias("_a_key"), F.col(right_ts).alias("_a_ts"),
-                      _bucket(right_ts, w_us).alias("_a_b"), F.lit(0).alias("_a_side"),
+                      time_bucket(right_ts, w_us).alias("_a_b"), F.lit(0).alias("_a_side"),
                       rstruct.alias("_a_r"))
     # Right rows sort before left rows at equal time: "at or before".
     w = (Window.partitionBy("_a_key", "_a_b").orderBy("_a_ts", "_a_side")
@@ -65,7 +63,7 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
     # Carry-over table: for every (key, bucket) holding left rows, the latest right
     # row of any earlier bucket.  Left markers sort before right rows of the same
     # bucket, so a running max sees strictly earlier buckets only.
-    grp = rvalid.groupBy(_real_key(key).alias("_a_key"), _bucket(right_ts, w_us).alias("_a_b"))
+    grp = rvalid.groupBy(_real_key(key).alias("_a_key"), time_bucket(right_ts, w_us).alias("_a_b"))
     if values:
         per_bucket = grp.agg(F.max(rstruct).alias("_c_r"))
     else:   # plain max of the time: a hash aggregate, no sort

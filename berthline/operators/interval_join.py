@@ -27,13 +27,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.buckets import time_bucket
+
 _SALT_WAYS = 64
 
 
-def _floor_bucket(ts_name: str, shift_us: int, w_us: int) -> Column:
-    """floor((epoch_us(ts) - shift) / w) in exact integer arithmetic."""
-    x = f"(unix_micros(`{ts_name}`) - {shift_us})"
-    return F.expr(f"({x} - pmod({x}, {w_us})) div {w_us}")
 
 
 def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
@@ -56,7 +54,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     lo_us, hi_us = lower_seconds * 1_000_000, upper_seconds * 1_000_000
 
     lt = F.col(left_ts)
-    l_bucket = _floor_bucket(left_ts, 0, w_us)
+    l_bucket = time_bucket(left_ts, w_us)
     unmatched = lt.isNull()
     for k in keys:
         unmatched = unmatched | F.col(k).isNull()
@@ -68,8 +66,8 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     if right_filter is not None:
         right = right.where(right_filter)
     rt = F.col(right_ts)
-    first = _floor_bucket(right_ts, hi_us, w_us)
-    last = _floor_bucket(right_ts, lo_us, w_us)
+    first = time_bucket(right_ts, w_us, hi_us)
+    last = time_bucket(right_ts, w_us, lo_us)
     # The right salt is 0 for every row, written as a non-constant expression so
     # that the optimizer keeps `l._ij_salt = r._ij_salt` as a hash key (a literal 0
     # would be folded into a residual filter and the salt would spread nothing).

@@ -7,6 +7,8 @@ only committed files become visible, so jobs survive executor loss.
 from __future__ import annotations
 
 import os
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,17 +58,34 @@ def land_dated_json(df: DataFrame, path: str, date_col: str, label_col: str | No
     out.write.mode("overwrite").partitionBy(*parts).json(path)
 
 
+_BUILD_LOCK = threading.Lock()
+
+
 def cached_table(spark: SparkSession, name: str, key: str, build) -> DataFrame:
     """Write `build()` once as parquet under the shared checkpoint folder and read
-    it back: a lineage cut that survives executor loss (unlike localCheckpoint)."""
+    it back: a lineage cut that survives executor loss (unlike localCheckpoint).
+
+    The table is written to a unique temporary folder and renamed into place,
+    so concurrent builders (threads or processes) never see a partial table."""
     safe = "".join(c if c.isalnum() else "_" for c in key)
     path = os.path.join(checkpoint_root(spark), "berthline-tables", safe, name)
-    marker = os.path.join(path, "_SUCCESS")
-    if not _exists(spark, marker):
-        build().write.mode("overwrite").parquet(path)
+    with _BUILD_LOCK:
+        if not _exists(spark, os.path.join(path, "_SUCCESS")):
+            tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+            build().write.mode("overwrite").parquet(tmp)
+            if not _exists(spark, path):
+                _fs(spark, path).rename(_hpath(spark, tmp), _hpath(spark, path))
     return spark.read.parquet(path)
 
 
+def _hpath(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _hpath(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """path + length + modification time, so a cached derivation of a changed
     input is rebuilt."""
@@ -86,7 +105,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def fresh_path(spark: SparkSession, *parts: str) -> str:
     """A new folder under the shared checkpoint root (never reused or cleared)."""
-    import uuid
     return os.path.join(checkpoint_root(spark), "berthline-sinks", *parts, uuid.uuid4().hex[:12])
 
 

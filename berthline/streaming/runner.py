@@ -97,20 +97,26 @@ class Replay:
         df.write.mode("append").parquet(self.path("in", name))
 
     def stage_sentinels(self) -> None:
-        """One far-future row per input.  Every text column (ids, keys) holds the
-        sentinel text, so the row survives key filters that Catalyst may push
-        below the watermark, matches nothing but other sentinels, and is
-        removed by id afterwards."""
-        for name, (schema, ts_col) in self.inputs.items():
-            def value(f):
-                if f.name == ts_col:
-                    return F.to_timestamp(F.lit(SENTINEL_TS))
-                if isinstance(f.dataType, T.StringType):
-                    return F.lit(SENTINEL_ID)
-                return F.lit(None)
-            s = self.spark.range(1).select(*[value(f).cast(f.dataType).alias(f.name)
-                                             for f in schema.fields])
-            self.stage(name, s)
+        flush(self.spark, {self.path("in", n): v for n, v in self.inputs.items()})
+
+
+
+def flush(spark: SparkSession, inputs: dict) -> None:
+    """Append one far-future sentinel row to each file-stream input
+    ({path: (schema, event-time column)}).  Every text column (ids, keys)
+    holds the sentinel text, so the row survives key filters that Catalyst may
+    push below the watermark, matches nothing but other sentinels, and is
+    removed by id afterwards (`without_sentinels`).  Run the query twice after
+    flushing: the sentinel batch moves the watermark, the next run evicts."""
+    for path, (schema, ts_col) in inputs.items():
+        def value(f):
+            if f.name == ts_col:
+                return F.to_timestamp(F.lit(SENTINEL_TS))
+            if isinstance(f.dataType, T.StringType):
+                return F.lit(SENTINEL_ID)
+            return F.lit(None)
+        spark.range(1).select(*[value(f).cast(f.dataType).alias(f.name) for f in schema.fields]) \
+            .write.mode("append").parquet(path)
 
 
 def time_chunks(df: DataFrame, ts_col: str, bounds: list[str]) -> list[DataFrame]:

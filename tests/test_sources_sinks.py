@@ -66,3 +66,16 @@ def test_materialize_pipeline(spark, tmp_path):
     assert m["valid_container_number__passed"] + m["valid_container_number__failed"] == ex.count()
     daily = spark.read.parquet(str(tmp_path / "tables" / "gold_terminal_daily_summary"))
     assert daily.count() > 0 and "gold_processed_at" in daily.columns
+
+
+def test_cached_table_builds_once(spark):
+    import uuid
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5)
+    key = f"test-{uuid.uuid4().hex}"
+    a = sinks.cached_table(spark, "t", key, build)
+    b = sinks.cached_table(spark, "t", key, build)
+    assert a.count() == b.count() == 5 and len(calls) == 1
