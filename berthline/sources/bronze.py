@@ -59,3 +59,18 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """Manifest JSON documents (one pretty-printed object per file) with the fixed
     manifest schema; missing fields are NULL, unknown ones ignored."""
     return spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(path)
+
+
+def read_existing_manifests(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """Manifest documents from every path that exists (e.g. the import and the
+    export landing), missing ones skipped; None when none exists."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    present = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            present.append(p)
+    if not present:
+        return None
+    return spark.read.schema(schemas.MANIFEST).option("multiLine", True).json(present)

@@ -86,3 +86,15 @@ def test_manifest_summary_and_schedule(spark, tmp_path):
     with pytest.raises(ValueError):
         manifest.vessel_schedule_by_type(manifest.vessel_schedule(m), "03")
     assert manifest.vessel_schedule_by_type(manifest.vessel_schedule(m), "02").count() == 1
+
+
+def test_schedule_skips_missing_manifest(spark, tmp_path):
+    import json
+    from berthline.sources import bronze
+    (tmp_path / "import").mkdir()
+    (tmp_path / "import" / "m.json").write_text(json.dumps(
+        {"vessel_id": "V1", "process_type": "01", "containers": [{"container_id": "1"}]}, indent=2))
+    m = bronze.read_existing_manifests(spark, [str(tmp_path / "import"), str(tmp_path / "export")])
+    s = manifest.vessel_schedule(m)
+    assert s.count() == 1 and s.collect()[0].containers_summary.total == 1
+    assert bronze.read_existing_manifests(spark, [str(tmp_path / "none")]) is None
