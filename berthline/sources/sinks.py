@@ -34,9 +34,11 @@ def clustered(df: DataFrame, keys: list[str], partitions: int | None = None) ->
 
     `repartitionByRange` samples the keys to pick boundaries (no driver
     collect of data), so a hot key leading the list still spreads over files
-    by the following keys."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    by the following keys.  Without `partitions` the range count follows
+    `spark.sql.shuffle.partitions` (sized to the data, coalesced by AQE), so file
+    size tracks data size rather than the number of cores."""
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str], *,
