@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from berthline.operators import flows, gold, quality
 from helpers import silver_rows

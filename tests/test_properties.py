@@ -3,7 +3,6 @@ counts add up to the row count."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from berthline.functions import rules
 from berthline.operators import gold, quality
