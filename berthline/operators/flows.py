@@ -56,9 +56,10 @@ def _flow(gate: DataFrame, crane: DataFrame, *, gate_ts: str, prefix: str,
     ]
     if processing_time:
         cols.append(F.current_timestamp().alias("gold_processed_at"))
-    out = j.select(*cols)
-    return out.withColumn("dwell_time_category",
-                          rules.dwell_category("yard_dwell_time_hours", null_category=null_category))
+    # One projection (the rounded dwell is shared by codegen's subexpression
+    # elimination); the category comes last, as in the source table.
+    cols.append(rules.dwell_category(dwell, null_category=null_category).alias("dwell_time_category"))
+    return j.select(*cols)
 
 
 def export_flow(gate_in: DataFrame, crane: DataFrame, *, max_dwell_hours: int = 24,

@@ -15,10 +15,6 @@ def _is_anomaly() -> Column:
     return F.when(F.col("anomali_type").isNotNull(), 1).otherwise(0)
 
 
-def _stamp(df: DataFrame, processing_time: bool, name: str = "gold_processed_at") -> DataFrame:
-    return df.withColumn(name, F.current_timestamp()) if processing_time else df
-
-
 def crane_performance(crane: DataFrame, processing_time: bool = True) -> DataFrame:
     """Per crane, terminal, date, hour and operation.
 
@@ -126,10 +122,11 @@ def terminal_daily_summary(export: DataFrame, imports: DataFrame, crane: DataFra
     im = _flow_daily(imports, "gate_out_timestamp", "import")
     out = (ex.join(im, ["terminal_id", "date"], "full")
            .join(crane_daily(crane), ["terminal_id", "date"], "left"))
-    out = out.withColumn("total_throughput",
-                         F.coalesce(F.col("total_export_containers"), F.lit(0))
-                         + F.coalesce(F.col("total_import_containers"), F.lit(0)))
-    return _stamp(out, processing_time)
+    extra = [(F.coalesce(F.col("total_export_containers"), F.lit(0))
+              + F.coalesce(F.col("total_import_containers"), F.lit(0))).alias("total_throughput")]
+    if processing_time:
+        extra.append(F.current_timestamp().alias("gold_processed_at"))
+    return out.select("*", *extra)
 
 
 def _hourly(gate: DataFrame, ts: str, side: str, window: str) -> DataFrame:
@@ -155,12 +152,12 @@ def gate_hourly_traffic(gate_in: DataFrame, gate_out: DataFrame, *, busy: int =
     )
     total: Column = (F.coalesce(F.col("vehicles_in"), F.lit(0))
                      + F.coalesce(F.col("vehicles_out"), F.lit(0)))
-    out = (out.withColumn("date", F.to_date(F.col("window.start")))
-           .withColumn("hour", F.hour(F.col("window.start")))
-           .withColumn("total_traffic", total)
-           .withColumn("peak_category", rules.peak_category("total_traffic", busy, peak)))
-    cols = ["terminal_id", "gate_id", "date", "hour", "window", "vehicles_in",
-            "unique_trucks_in", "vehicles_out", "unique_trucks_out", "total_traffic",
-            "peak_category"]
-    out = _stamp(out, processing_time)
-    return out.select(*cols + (["gold_processed_at"] if processing_time else []))
+    cols = [F.col("terminal_id"), F.col("gate_id"),
+            F.to_date(F.col("window.start")).alias("date"),
+            F.hour(F.col("window.start")).alias("hour"), F.col("window"),
+            F.col("vehicles_in"), F.col("unique_trucks_in"), F.col("vehicles_out"),
+            F.col("unique_trucks_out"), total.alias("total_traffic"),
+            rules.peak_category(total, busy, peak).alias("peak_category")]
+    if processing_time:
+        cols.append(F.current_timestamp().alias("gold_processed_at"))
+    return out.select(*cols)

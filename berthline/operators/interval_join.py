@@ -61,7 +61,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     # Deterministic (recomputable after executor loss) spread of never-matching rows.
     l_salt = F.when(unmatched, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
                                       F.lit(_SALT_WAYS)) + 1).otherwise(F.lit(0))
-    l = left.withColumn("_ij_bucket", l_bucket).withColumn("_ij_salt", l_salt)
+    l = left.select("*", l_bucket.alias("_ij_bucket"), l_salt.alias("_ij_salt"))
 
     if right_filter is not None:
         right = right.where(right_filter)
@@ -74,8 +74,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     zero = F.pmod(F.xxhash64(*[F.col(k) for k in keys] or [rt]), F.lit(1))
     r = (right.where(rt.isNotNull() & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)
                                               if keys else "TRUE"))
-         .withColumn("_ij_bucket", F.explode(F.sequence(first, last)))
-         .withColumn("_ij_salt", zero))
+         .select("*", F.explode(F.sequence(first, last)).alias("_ij_bucket"), zero.alias("_ij_salt")))
 
     split = how == "left" and left.isStreaming
     if split:
