@@ -283,9 +283,9 @@ def q_work_orders(spark, sf_dir):
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Import and export manifests (one landing holds both; a single filtered scan)."""
     docs = manifest_docs(spark, sf_dir)
-    return manifest.vessel_schedule(docs.where(F.col("process_type") == "01"),
-                                    docs.where(F.col("process_type") == "02"))
+    return manifest.vessel_schedule(docs.where(F.col("process_type").isin("01", "02")))
 
 
 @query("vessel_schedule")
