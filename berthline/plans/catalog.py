@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import anomalies, manifest, quality, silver, yard
-from ..session import use_utc
+from ..session import session_key, use_utc
 from .. import schemas
 from ..sources import bronze, sinks, testdata
 from ..streaming import tables as stream_tables
@@ -66,7 +66,7 @@ def gold_pipeline(spark: SparkSession, sf_dir: str) -> pipeline.TerminalPipeline
     immutable and silver does not change, so the pipeline object (and the
     analyzed plans it holds) is reused per session and input."""
     use_utc(spark)
-    memo = (id(spark), sf_dir.rstrip("/"),
+    memo = (session_key(spark), sf_dir.rstrip("/"),
             sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
     if memo not in _PIPELINES:
         _PIPELINES[memo] = pipeline.silver_from_testdata(spark, sf_dir, processing_time=False)
@@ -255,7 +255,7 @@ def manifest_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sf_dir.rstrip("/")
     key = sinks.fingerprint(spark, f"{d}/orders.parquet") + \
         sinks.fingerprint(spark, f"{d}/lineitem.parquet")
-    memo = (id(spark), key)
+    memo = (session_key(spark), key)
     if memo not in _DOCS:
         _DOCS[memo] = sinks.cached_table(
             spark, "manifests", key,

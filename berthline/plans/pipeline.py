@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import flows, gold, silver
+from ..session import session_key
 from ..sources import sinks, testdata
 
 
@@ -104,7 +105,7 @@ def silver_from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipe
     are in production), gold computed over the silver parquet tables.  The
     written tables are immutable, so their DataFrames are reused per session."""
     key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + SILVER_LAYOUT
-    memo = (id(spark), key)
+    memo = (session_key(spark), key)
     if memo not in _SILVER:
         raw = []
 

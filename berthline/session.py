@@ -31,6 +31,12 @@ def build_session(master: str = "local[8]", app: str = "berthline",
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session: its application id plus the session object
+    (object ids alone can be reused after a session is stopped)."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def use_utc(spark: SparkSession) -> None:
     """Pin the session time zone (runtime setting) so dates and hours are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -48,7 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOTS:
         local = tempfile.mkdtemp(prefix="berthline-ckpt-")
         spark.sparkContext.setCheckpointDir(local)
