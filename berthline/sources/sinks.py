@@ -134,10 +134,13 @@ def land_dated_json_bounded(df: DataFrame, path: str, date_col: str, label_col:
     rows is cut into many ranges by the row hash and written by many tasks."""
     d = F.col(date_col)
     h = F.xxhash64(*[F.col(c) for c in df.columns])
+    # An explicit range count: the cost of this write is per folder and file, not
+    # per byte, so AQE must not coalesce a few small ranges into one long task.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = (df.withColumn("year", F.date_format(d, "yyyy"))
            .withColumn("month", F.date_format(d, "MM"))
            .withColumn("day", F.date_format(d, "dd"))
-           .repartitionByRange("year", "month", "day", label_col, h)
+           .repartitionByRange(n, "year", "month", "day", label_col, h)
            .drop(date_col))
     (out.write.mode("overwrite").option("timestampFormat", JSON_TS)
      .partitionBy("year", "month", "day", label_col).json(path))
