@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,22 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start stateful queries with `n` state partitions (default: the cluster's
+    cores).  A query fixes this number at its first start (it is stored in the
+    checkpoint), and each partition is a state store opened and committed every
+    micro-batch, so a bounded replay should not inherit a large session-wide
+    `spark.sql.shuffle.partitions` meant for batch shuffles."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_available_now(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
                       fmt: str = "parquet", name: str | None = None) -> list:
     """Process everything available now, then stop; returns the progress reports.

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import flows, gold
-from .runner import (Replay, dropped_by_watermark, run_available_now, time_chunks,
-                     use_rocksdb_state, without_sentinels)
+from .runner import (Replay, dropped_by_watermark, run_available_now, state_partitions,
+                     time_chunks, use_rocksdb_state, without_sentinels)
 
 FLOW_WATERMARK = "2 hours"
 TRAFFIC_WATERMARK = "1 hour"
@@ -36,15 +36,16 @@ def _replay(spark: SparkSession, label: str, tables: dict, build, *, bounds: lis
     chunks = {name: time_chunks(df, ts, bounds) for name, (df, ts) in tables.items()}
     out, ck = rp.path("out"), rp.path("checkpoint")
     progress = []
-    for i in range(len(bounds) + 1):
-        for name in tables:
-            rp.stage(name, chunks[name][i])
-        progress += run_available_now(query, out, ck, mode=mode)
-    if flush:
-        rp.stage_sentinels()
-        progress += run_available_now(query, out, ck, mode=mode)
-        # The sentinel batch moves the watermark; the next run's no-data batch evicts.
-        progress += run_available_now(query, out, ck, mode=mode)
+    with state_partitions(spark):
+        for i in range(len(bounds) + 1):
+            for name in tables:
+                rp.stage(name, chunks[name][i])
+            progress += run_available_now(query, out, ck, mode=mode)
+        if flush:
+            rp.stage_sentinels()
+            progress += run_available_now(query, out, ck, mode=mode)
+            # The sentinel batch moves the watermark; the next run's no-data batch evicts.
+            progress += run_available_now(query, out, ck, mode=mode)
     return spark.read.parquet(out), progress, rp
 
 
@@ -116,11 +117,12 @@ def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
     before = F.col(ts) < F.to_timestamp(F.lit(mid))
     stages = [gate_in.where(before & ~late), gate_in.where(~before), gate_in.where(before & late)]
     progress = []
-    for st in stages:
-        rp.stage("gate_in", st)
+    with state_partitions(spark):
+        for st in stages:
+            rp.stage("gate_in", st)
+            progress += run_available_now(q, out, ck)
+        rp.stage_sentinels()
+        progress += run_available_now(q, out, ck)
         progress += run_available_now(q, out, ck)
-    rp.stage_sentinels()
-    progress += run_available_now(q, out, ck)
-    progress += run_available_now(q, out, ck)
     return without_sentinels(spark.read.parquet(out), "terminal_id"), \
         dropped_by_watermark(progress)

@@ -111,9 +111,16 @@ def check(spark, sf_dir, keys=None, verbose=True):
 
 
 if __name__ == "__main__":
-    from berthline.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION") == "1":
+        # Spark defaults (200 shuffle partitions, session time zone of the host).
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false") \
+            .getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from berthline.session import build_session
+        spark = build_session()
     res = check(spark, sf, sys.argv[2:] or None)
     bad = {k: v for k, v in res.items() if v[0] not in ("match", "no-oracle")}
     print("SUMMARY", len(res), "checked;", len(bad), "not matching:", sorted(bad))
