@@ -79,3 +79,13 @@ def test_cached_table_builds_once(spark):
     a = sinks.cached_table(spark, "t", key, build)
     b = sinks.cached_table(spark, "t", key, build)
     assert a.count() == b.count() == 5 and len(calls) == 1
+
+
+def test_cli_batch_from_kafka_shaped_files(spark, tmp_path):
+    from berthline.__main__ import main
+    landing = str(tmp_path / "kafka")
+    testdata.all_topics_bronze(_events(spark)).write.parquet(landing)
+    out = str(tmp_path / "tables")
+    assert main(["batch", "--bronze", landing, "--out", out]) == 0
+    assert spark.read.parquet(f"{out}/gold_container_export_flow_streaming").count() == 317
+    assert spark.read.parquet(f"{out}/gold_terminal_daily_summary").count() > 0
