@@ -136,12 +136,21 @@ _EXPECT_NAMES = {"gold_container_export_flow_streaming": "gold_container_export_
                  "gold_container_import_flow_streaming": "gold_container_import_flow"}
 
 
-def materialize(p: TerminalPipeline, root: str) -> dict:
+def register_table(spark: SparkSession, name: str, path: str, database: str | None = None) -> None:
+    """Name a written table in the session catalog (external: dropping the name
+    keeps the files), so jobs can `spark.read.table(name)` / `readStream.table`."""
+    full = f"`{database}`.`{name}`" if database else f"`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+
+
+def materialize(p: TerminalPipeline, root: str, *, register: bool = False,
+                database: str | None = None) -> dict:
     """Batch run of the whole pipeline: write every table under `root` in
     dependency order (silver, flows and aggregates, then the daily view over the
     written gold tables), each gold table in its clustered layout, counting the
-    warn-only expectations while the rows are written.  Returns
-    {table: {expectation counts}}."""
+    warn-only expectations while the rows are written; with `register`, each
+    table is also named in the catalog.  Returns {table: {expectation counts}}."""
     from ..operators import gold as gold_ops
     from ..operators import quality
     spark = (p.crane_bronze or p.crane).sparkSession
@@ -166,5 +175,7 @@ def materialize(p: TerminalPipeline, root: str) -> dict:
         df.write.mode("overwrite").parquet(path)
         if obs is not None:
             metrics[table] = obs.get
+        if register:
+            register_table(spark, table, path, database)
         written[table] = spark.read.parquet(path)
     return metrics

@@ -56,7 +56,8 @@ def test_dated_landing_layout(spark, tmp_path):
 def test_materialize_pipeline(spark, tmp_path):
     from berthline.plans import pipeline
     p = pipeline.from_testdata(spark, "/root/testdata/sf0.001", processing_time=True)
-    metrics = pipeline.materialize(p, str(tmp_path / "tables"))
+    metrics = pipeline.materialize(p, str(tmp_path / "tables"), register=True)
+    assert spark.read.table("gold_crane_performance").count() > 0
     assert set(metrics) == {"gold_container_export_flow_streaming",
                             "gold_container_import_flow_streaming", "gold_crane_performance",
                             "gold_anomaly_summary", "gold_terminal_daily_summary",
