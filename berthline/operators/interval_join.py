@@ -32,8 +32,6 @@ from ..functions.buckets import time_bucket
 _SALT_WAYS = 64
 
 
-
-
 def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
                   left_ts: str, right_ts: str, lower_seconds: int, upper_seconds: int,
                   how: str = "left", bucket_seconds: int | None = None,
