@@ -161,10 +161,12 @@ KAFKA_PARTITIONS = 12
 
 
 def _kafka_rows(events: DataFrame, predicate: str, payload: Column, topic: str) -> DataFrame:
-    """Kafka-shaped rows, spread like a Kafka source reads them: one Spark
-    partition per topic partition (records keyed by container)."""
+    """Kafka-shaped rows (records keyed by container, KAFKA_PARTITIONS topic
+    partitions), spread over the cluster's cores the way a Kafka source with
+    `minPartitions` splits topic partitions into offset ranges."""
     part = F.expr(f"CAST(pmod(user_id, {KAFKA_PARTITIONS}) AS INT)")
-    return events.where(predicate).repartition(KAFKA_PARTITIONS, part).select(
+    tasks = max(KAFKA_PARTITIONS, events.sparkSession.sparkContext.defaultParallelism)
+    return events.where(predicate).repartition(tasks, part, F.col("event_id")).select(
         F.expr("CAST(CAST(user_id AS STRING) AS BINARY)").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
