@@ -43,8 +43,7 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
     rvalid = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
 
     unmatchable = F.col(key).isNull() | F.col(left_ts).isNull()
-    synthetic = F.concat(F.lit("n"), F.pmod(F.xxhash64(*[F.col(c) for c in lcols]),
-                                            F.lit(1024)).cast("string"))
+    synthetic = F.concat(F.lit("n"), F.xxhash64(*[F.col(c) for c in lcols]).cast("string"))
     l = left.select(*[F.col(c) for c in lcols],
                     F.when(unmatchable, synthetic).otherwise(_real_key(key)).alias("_a_key"),
                     F.col(left_ts).alias("_a_ts"),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
 
-_SALT_WAYS = 64
+_SALT_SPACE = 1 << 62
 
 
 def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
@@ -56,9 +56,11 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     unmatched = lt.isNull()
     for k in keys:
         unmatched = unmatched | F.col(k).isNull()
-    # Deterministic (recomputable after executor loss) spread of never-matching rows.
+    # Never-matching rows get a row hash (deterministic, so recomputation after an
+    # executor loss lands rows in the same place) as salt: as many ways as rows,
+    # however many of them there are.  Matchable rows keep salt 0.
     l_salt = F.when(unmatched, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
-                                      F.lit(_SALT_WAYS)) + 1).otherwise(F.lit(0))
+                                      F.lit(_SALT_SPACE)) + 1).otherwise(F.lit(0))
     l = left.select("*", l_bucket.alias("_ij_bucket"), l_salt.alias("_ij_salt"))
 
     if right_filter is not None:
