@@ -106,8 +106,9 @@ class Replay:
     def source(self, name: str, schema: T.StructType, ts_col: str) -> DataFrame:
         self.inputs[name] = (schema, ts_col)
         self._mkdirs(self.path("in", name))
-        return (self.spark.readStream.schema(schema)
-                .option("maxFilesPerTrigger", 64).parquet(self.path("in", name)))
+        # No maxFilesPerTrigger: each stage is one micro-batch, so the arrival order
+        # is exactly the staging order (files of one stage share a write time).
+        return self.spark.readStream.schema(schema).parquet(self.path("in", name))
 
     def stage(self, name: str, df: DataFrame) -> None:
         """Append rows to an input (they arrive with the next run)."""

@@ -106,7 +106,10 @@ def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
 
     Arrival: (1) rows before `mid` except the late ones, (2) rows from `mid` on,
     (3) the late rows, (4) a flush sentinel.  A row is judged by the watermark
-    of the previous batch, so every late row is dropped."""
+    of the previous batch, so every late row is dropped.  The returned count is
+    Spark's `numRowsDroppedByWatermark`, which counts rows reaching the state
+    operator -- after partial aggregation -- so it is a lower bound on the
+    dropped events."""
     use_rocksdb_state(spark)
     rp = Replay(spark, "late-data")
     ts = "gate_in_timestamp"
