@@ -90,3 +90,9 @@ def test_cli_batch_from_kafka_shaped_files(spark, tmp_path):
     assert main(["batch", "--bronze", landing, "--out", out]) == 0
     assert spark.read.parquet(f"{out}/gold_container_export_flow_streaming").count() == 317
     assert spark.read.parquet(f"{out}/gold_terminal_daily_summary").count() > 0
+
+
+def test_route_keeps_unknown_topics(spark):
+    rows = spark.createDataFrame([("crane_events",), ("other_topic",)], "topic string")
+    got = {r.topic: r.target_table for r in bronze.route(rows, bronze.ROUTES).collect()}
+    assert got == {"crane_events": "crane_events_bronze", "other_topic": None}
