@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash_ball
+from . import quality_rules, simhash_ball
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,14 @@ def query(name: str):
     return register
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the robust-distance verdict of all documents."""
+    found = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", "distance2")
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, at most 2 differing bits."""
