@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, simhash_ball
+from . import hilbert_packing, quality_rules, simhash_ball
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "distance2")
 
 
+@query("op7_hilbert_packing")
+def op7_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 ids."""
+    return hilbert_packing.pack(table(spark, sf_dir, "documents"), end_id=1, capacity=2048)
+
+
 @query("op8_simhash_near_dedup")
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, at most 2 differing bits."""
