@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert_packing, quality_rules, simhash_ball
+from . import hilbert_packing, quality_rules, simhash_ball, token_store
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "distance2")
 
 
+@query("op5_token_store")
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as binary ids with an index, and read back."""
+    found = token_store.store(table(spark, sf_dir, "documents"), end_id=2)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32", "indexed")
+
+
 @query("op7_hilbert_packing")
 def op7_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
