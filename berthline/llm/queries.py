@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import hilbert_packing, quality_rules, simhash_ball, token_store
-from .common import table
+from . import hilbert_packing, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
+from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -33,6 +34,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "distance2")
 
 
+def _held_out(modulus: int, remainder: int):
+    return F.coalesce(fold(F.col("doc_id"), modulus) == remainder, F.lit(False))
+
+
+@query("op3_quality_ranker")
+def op3_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairwise quality scores of all documents; fold 1 of 3 is held out."""
+    held_out = _held_out(3, 1)
+    found = quality_ranker.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op5_token_store")
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as binary ids with an index, and read back."""
@@ -51,3 +64,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, at most 2 differing bits."""
     found = simhash_ball.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return found.select("doc_id", simhash_ball.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; fold 0 of 5 is held out."""
+    held_out = _held_out(5, 0)
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
