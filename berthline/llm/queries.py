@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
+from . import hilbert_packing, license_scan, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "distance2")
 
 
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and texts of all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op2_license_scan"] = license_scan.oracle_sql()
+
+
 def _held_out(modulus: int, remainder: int):
     return F.coalesce(fold(F.col("doc_id"), modulus) == remainder, F.lit(False))
 
