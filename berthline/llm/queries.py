@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, license_scan, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
+from . import hilbert_packing, html_blocks, license_scan, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,12 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "indexed")
 
 
+@query("op6_html_blocks")
+def op6_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op7_hilbert_packing")
 def op7_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
