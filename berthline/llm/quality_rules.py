@@ -33,6 +33,7 @@ FLOORS = {
 }
 STATS = list(FLOORS)
 P = len(STATS)
+SALTS = 64                  # join keys a group is dealt over
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
@@ -152,6 +153,13 @@ def _distance2() -> Column:
         (d[i] * d[j] * F.col(f"p{i}{j}") * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0)))
 
 
+def _with_params(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """Rows with the estimates of their group.  A third of all rows may share a group, so
+    a group's rows are dealt over SALTS join keys and its one estimate is copied."""
+    copies = params.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(copies, ["grp", "salt"]).drop("salt")
+
+
 def _starts(rows: DataFrame) -> DataFrame:
     """Two deterministic starts a group: medians with a diagonal of quartile scales
     (start 0), and the same with the correlations of tanh-squashed values (start 1)."""
@@ -161,7 +169,7 @@ def _starts(rows: DataFrame) -> DataFrame:
     centre = written(quart.select("grp", *[F.get(f"z{i}", F.lit(1)).alias(f"m{i}") for i in range(P)], *[
         F.greatest((F.get(f"z{i}", F.lit(2)) - F.get(f"z{i}", F.lit(0))) / 1.349, F.lit(FLOORS[s])).alias(f"d{i}")
         for i, s in enumerate(STATS)]), "mcd-centre")
-    squashed = rows.join(centre, "grp").select("grp", *[
+    squashed = _with_params(rows, centre).select("grp", *[
         F.tanh((F.col(s) - F.col(f"m{i}")) / F.col(f"d{i}")).alias(s) for i, s in enumerate(STATS)])
     sums = squashed.groupBy("grp").agg(*_sums()).join(centre, "grp")
     cov = lambda i, j: F.col(f"q{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") ** 2
@@ -178,7 +186,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 def _step(rows: DataFrame, params: DataFrame, conf: Settings) -> DataFrame:
     """One concentration step for every group and start."""
     keys = ["grp", "start"]
-    binned = rows.join(params, "grp").withColumn(
+    binned = _with_params(rows, params).withColumn(
         "bin", F.floor(F.log(_distance2() + 1e-12) * conf.bins_per_e))
     per_bin = binned.groupBy(*keys, "bin").agg(*_sums())
     upto = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -190,7 +198,7 @@ def _step(rows: DataFrame, params: DataFrame, conf: Settings) -> DataFrame:
 
 
 def estimates(rows: DataFrame, conf: Settings) -> DataFrame:
-    """`rows(grp, statistics)` -> (grp, mean, inverse covariance): the start with the
+    """`rows(grp, salt, statistics)` -> (grp, mean, inverse covariance): the start with the
     smaller determinant, reweighted by all rows within the chi-square level."""
     params = written(_starts(rows), "mcd-start")
     for _ in range(conf.steps):
@@ -198,7 +206,7 @@ def estimates(rows: DataFrame, conf: Settings) -> DataFrame:
     cols = [c for c in params.columns if c not in ("grp", "start", "ln_det")]
     best = params.groupBy("grp").agg(F.min_by(F.struct(*cols), F.struct("ln_det", "start")).alias("b")).select(
         "grp", "b.*")
-    inside = rows.join(best, "grp").where(_distance2() <= chi2_quantile(conf.reweight, P))
+    inside = _with_params(rows, best).where(_distance2() <= chi2_quantile(conf.reweight, P))
     sums = inside.groupBy("grp").agg(*_sums())
     again = _from_sums(sums, ["grp"], consistency(conf.reweight)).drop("ln_det")
     return written(best.join(again.select(F.col("grp"), F.struct(*cols).alias("r")), "grp", "left").select(
@@ -234,8 +242,9 @@ def judge(docs: DataFrame, conf: Settings = Settings(), id_col: str = "doc_id",
     stats = written(base_counts(picked).withColumn("base_failed", failed).withColumns(
         dict(zip(STATS, _statistics()))), "quality-stats")
     groups = _groups(stats.where("not base_failed"), conf)
-    rows = written(stats.where("not base_failed").join(groups, "key"), "quality-groups")
-    scored = rows.join(estimates(rows, conf), "grp").withColumn("distance2", _distance2())
+    salt = F.pmod(F.xxhash64("doc_id", *STATS), F.lit(SALTS)).cast("int")
+    rows = written(stats.where("not base_failed").join(groups, "key").withColumn("salt", salt), "quality-groups")
+    scored = _with_params(rows, estimates(rows, conf)).withColumn("distance2", _distance2())
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return scored.select(*out, "distance2", (F.col("distance2") <= conf.cutoff).alias("kept")).unionByName(
         stats.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance2"),
