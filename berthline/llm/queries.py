@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, html_blocks, license_scan, quality_ranker, quality_rules, simhash_ball, token_store, toxicity
+from . import hilbert_packing, html_blocks, license_scan, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,15 @@ def op3_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@query("op4_sentencepiece_viterbi")
+def op4_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, decoded again."""
+    found = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "n_bytes", "score",
+                        F.xxhash64("ids").alias("ids_hash"),
+                        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
 @query("op5_token_store")
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as binary ids with an index, and read back."""
