@@ -224,9 +224,9 @@ def _groups(passed: DataFrame, conf: Settings) -> DataFrame:
 
 
 def judge(docs: DataFrame, conf: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """One row per row of `docs`: doc_id, the base counts, base_failed, distance2
-    (squared, null where the base rules fail), kept.
+          lang_col: str = "lang", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of `docs`: doc_id, the columns named in `carry`, the base counts,
+    base_failed, distance2 (squared, null where the base rules fail), kept.
 
     A null text has no words and fails; null languages and sources are values of
     their own; null and repeated ids keep their rows.  Estimates use every
@@ -234,7 +234,7 @@ def judge(docs: DataFrame, conf: Settings = Settings(), id_col: str = "doc_id",
     empty table gives an empty table."""
     lang, source = F.col(f"`{lang_col}`"), F.col(f"`{source_col}`")
     picked = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"),
+        F.col(f"`{id_col}`").alias("doc_id"), *[F.col(f"`{c}`") for c in carry],
         F.to_json(F.struct(lang.alias("l"), source.alias("s"))).alias("key"),
         F.to_json(F.struct(lang.alias("l"))).alias("lang_key"), F.col(f"`{text_col}`").alias("text"))
     failed = (F.col("n_words") < conf.min_words) | (
@@ -245,7 +245,7 @@ def judge(docs: DataFrame, conf: Settings = Settings(), id_col: str = "doc_id",
     salt = F.pmod(F.xxhash64("doc_id", *STATS), F.lit(SALTS)).cast("int")
     rows = written(stats.where("not base_failed").join(groups, "key").withColumn("salt", salt), "quality-groups")
     scored = _with_params(rows, estimates(rows, conf)).withColumn("distance2", _distance2())
-    out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    out = ["doc_id", *carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return scored.select(*out, "distance2", (F.col("distance2") <= conf.cutoff).alias("kept")).unionByName(
         stats.where("base_failed").select(*out, F.lit(None).cast("double").alias("distance2"),
                                           F.lit(False).alias("kept")))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, html_blocks, license_scan, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
+from . import hilbert_packing, hnsw, html_blocks, license_scan, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = _held_out(5, 0)
     found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op10_hnsw")
+def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every embedding whose id is divisible by 20."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
