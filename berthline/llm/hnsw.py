@@ -127,7 +127,7 @@ def _layer(x: np.ndarray, n: int, most: int, width: int, enter) -> np.ndarray:
         order = np.argsort(target, kind="stable")
         source, target = source[order], target[order]
         nodes, first, count = np.unique(target, return_index=True, return_counts=True)
-        back = np.full((len(nodes), count.max()), -1, np.int32)
+        back = np.full((len(nodes), count.max(initial=1)), -1, np.int32)    # a layer may hold a single node
         back[np.repeat(np.arange(len(nodes)), count), np.arange(len(target)) - np.repeat(first, count)] = source
         for i in range(0, len(nodes), _BLOCK):
             part = nodes[i:i + _BLOCK]
