@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 DENSITIES = ((0.002, "#2"), (0.008, "#8"))     # shares of a document's words, and their marks
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
+_COUNTED = 500_000          # features a task counts before it passes the counts on
 _REMEMBERED = 400_000       # words a worker remembers before it starts afresh
 
 # Group terms by kind; a swap stays within its kind.
@@ -63,12 +65,14 @@ def marked(counts: dict[str, int], n_words: int) -> list[str]:
     return out
 
 
-def document_features(text: str | None) -> list[str]:
+def document_features(text: str | None, stems: set[str] | None = None) -> list[str]:
+    """Features of a text, of the given stems only (default: of all)."""
     words = words_of(text)
     counts: dict[str, int] = {}
     for word, c in Counter(words).items():
         for f in word_features(word):
-            counts[f] = counts.get(f, 0) + c
+            if stems is None or f in stems:
+                counts[f] = counts.get(f, 0) + c
     return marked(counts, len(words))
 
 
@@ -150,33 +154,22 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
     workers_import_package(docs.sparkSession)
     rows, _ = labelled_sample(docs, labels, label_col, learn, max_rows, id_col, text_col)
     rows = written(rows, "toxicity-sample")
-
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = {0: Counter(), 1: Counter()}
-        for batch in batches:
-            for text, y in zip(batch["text"], batch["label"]):
-                seen[y].update(document_features(text))
-            if len(seen[0]) + len(seen[1]) > 500_000:
-                yield _counted(seen)
-                seen = {0: Counter(), 1: Counter()}
-        yield _counted(seen)
     sampled = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sampled.get(0) or not sampled.get(1):
         return Classifier({}, 4.0 if sampled.get(1) else -4.0 if sampled.get(0) else 0.0)
-    ones, zeros = F.lit(float(sampled[1])), F.lit(float(sampled[0]))
-    odds = F.log((F.col("p") + 0.5) / (ones + 1)) - F.log((F.col("n") + 0.5) / (zeros + 1))
-    chosen = rows.mapInPandas(count, "feature string, p long, n long").groupBy("feature").agg(
-        F.sum("p").alias("p"), F.sum("n").alias("n")).where("p >= 2").where(odds > 1.0).orderBy(
-        (odds * F.sqrt("p")).desc(), "feature").limit(max_features).collect()
-    names = [r["feature"] for r in chosen]
+    # stems first, then the densities of the stems that may matter
+    stems = set(_most_tied(rows, lambda t: {f for w in set(words_of(t)) for f in word_features(w)}, sampled, 0.5,
+                           4 * max_features))
+    names = _most_tied(rows, lambda t: document_features(t, stems), sampled, 1.0, max_features)
     names += sorted({f for t in SWAP for f in word_features(t)} - set(names))
     number = {f: i for i, f in enumerate(names)}
+    known = {f.partition("#")[0] for f in names}
 
     def select(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "label": batch["label"],
-                "at": [sorted(number[f] for f in document_features(t) if f in number) for t in batch["text"]],
+                "at": [sorted(number[f] for f in document_features(t, known) if f in number) for t in batch["text"]],
                 "swaps": [sorted(swaps_in(t)) for t in batch["text"]]})
     got = rows.mapInPandas(select, "doc_id long, label int, at array<int>, swaps array<string>").orderBy(
         "doc_id").toPandas()
@@ -187,9 +180,32 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
     return Classifier({f: float(w[i]) for f, i in number.items() if w[i] > 0}, float(b))
 
 
-def _counted(seen: dict[int, Counter]) -> pd.DataFrame:
+def _most_tied(rows: DataFrame, features: Callable[[str | None], Iterable[str]], sampled: dict[int, int],
+               least_odds: float, most: int) -> list[str]:
+    """The `most` features of `rows(label, text)` with the strongest tie to label 1: log odds
+    times the root of their number of documents with label 1, of two at least."""
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = (Counter(), Counter())
+        for batch in batches:
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
+                seen[y].update(features(text))
+                if len(seen[0]) + len(seen[1]) > _COUNTED:
+                    yield from _counts(seen)
+                    seen = (Counter(), Counter())
+        yield from _counts(seen)
+    odds = F.log((F.col("p") + 0.5) / (sampled[1] + 1)) - F.log((F.col("n") + 0.5) / (sampled[0] + 1))
+    found = rows.mapInArrow(count, "feature string, p long, n long").groupBy("feature").agg(
+        F.sum("p").alias("p"), F.sum("n").alias("n")).where("p >= 2").where(odds > least_odds)
+    return [r["feature"] for r in found.orderBy((odds * F.sqrt("p")).desc(), "feature").limit(most).collect()]
+
+
+def _counts(seen: tuple[Counter, Counter], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     names = sorted(seen[0].keys() | seen[1].keys())
-    return pd.DataFrame({"feature": names, "p": [seen[1][f] for f in names], "n": [seen[0][f] for f in names]})
+    for a in range(0, len(names), rows):
+        part = names[a:a + rows]
+        yield pa.RecordBatch.from_pydict({
+            "feature": pa.array(part, pa.string()), "p": pa.array([seen[1][f] for f in part], pa.int64()),
+            "n": pa.array([seen[0][f] for f in part], pa.int64())})
 
 
 def score_column(model: Classifier, text: Column) -> Column:
