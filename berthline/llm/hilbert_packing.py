@@ -22,7 +22,7 @@ from . import bpe
 from .common import shared_path, workers_import_package
 
 DIMS, BITS = 4, 15          # 60-bit keys
-_BUCKETS = 4096             # of the hashed document vector
+_BUCKETS = 1024             # of the hashed document vector
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -68,13 +68,17 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
     """(doc_id, curve, ids): ids with the end id as raw integers, and the curve key."""
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, projection = bpe.encoder(path), _projection()
-        end = np.array([end_id], enc.dtype).tobytes()
+        end = np.array([end_id], enc.dtype)
         for batch in batches:
-            raw = [enc.raw(t) + end for t in batch.column("text").to_pylist()]
-            points = np.array([coordinates(np.frombuffer(r, enc.dtype), projection) for r in raw])
+            raw, points = [], []
+            for ids in enc.batch(batch.column("text")):
+                ids = np.append(ids, end)
+                raw.append(ids.tobytes())
+                points.append(coordinates(ids, projection))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "width": pa.array([enc.width] * len(raw), pa.int32()),
-                "ids": pa.array(raw, pa.binary()), "curve": hilbert_key(points.reshape(-1, DIMS))})
+                "ids": pa.array(raw, pa.binary()),
+                "curve": hilbert_key(np.array(points, np.int64).reshape(-1, DIMS))})
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").alias("text")).mapInArrow(
         encode, "doc_id long, width int, ids binary, curve long")

@@ -183,8 +183,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2
                 store.create_dir(base, recursive=True)
                 out = store.open_output_stream(draft)
             first, lengths = at, []
-            for text in batch.column("text").to_pylist():
-                raw = enc.raw(text) + end
+            for found in enc.batch(batch.column("text")):
+                raw = found.tobytes() + end
                 out.write(raw)
                 lengths.append(len(raw) // enc.width)
                 at += lengths[-1]
