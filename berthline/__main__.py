@@ -7,7 +7,11 @@
 
 batch:  Kafka-shaped rows (key, value, topic, partition, offset, timestamp,
         timestampType) of the three topics from files -> every table under ROOT.
-stream: the same as long-running queries over Kafka (one checkpoint per table).
+stream: the same as long-running queries over Kafka (one checkpoint per table), with the
+        bronze tables in between; --database names the tables in the catalog.
+publish: after or between streaming runs, write the gold tables clustered and the
+        daily summary as new versions.
+land-schedule: manifests (JSON documents) -> dated schedule landing, one folder a day.
 demo:   bronze derived from the driver's tables (stand-in adapter), then batch.
 """
 
@@ -15,11 +19,12 @@ from __future__ import annotations
 
 import argparse
 import json
+import time
 
 from . import schemas
 from .plans import pipeline
 from .session import build_session
-from .sources import bronze, testdata
+from .sources import bronze, sinks
 
 
 def _batch(spark, crane, gate_in, gate_out, out: str) -> dict:
@@ -38,34 +43,54 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--kafka-option", action="append", default=[])
     s.add_argument("--trigger", default="1 minute")
+    s.add_argument("--database", default=None)
+    s.add_argument("--state-partitions", type=int, default=None)
+    s.add_argument("--salts", type=int, default=1)
+    u = sub.add_parser("publish")
+    u.add_argument("--out", required=True)
+    u.add_argument("--database", default=None)
+    v = sub.add_parser("land-schedule")
+    v.add_argument("--manifests", required=True, action="append")
+    v.add_argument("--out", required=True)
     d = sub.add_parser("demo")
     d.add_argument("--sf-dir", required=True)
     d.add_argument("--out", required=True)
-    for x in (b, s, d):
+    for x in (b, s, u, v, d):
         x.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
-    spark = build_session(master=a.master) if a.master else build_session()
+    spark = build_session(master=a.master)
     if a.cmd == "batch":
         read = lambda t: bronze.read_bronze(spark, t, fmt=a.format, path=a.bronze,
                                             streaming=False)
         metrics = _batch(spark, read(schemas.TOPIC_CRANE), read(schemas.TOPIC_GATE_IN),
                          read(schemas.TOPIC_GATE_OUT), a.out)
     elif a.cmd == "demo":
-        events = testdata.read_table(spark, a.sf_dir, "events")
-        metrics = _batch(spark, testdata.crane_bronze(events), testdata.gate_bronze(events, "in"),
-                         testdata.gate_bronze(events, "out"), a.out)
+        p = pipeline.from_testdata(spark, a.sf_dir)
+        metrics = pipeline.materialize(p, a.out)
+    elif a.cmd == "publish":
+        from .streaming import pipeline as sp
+        metrics = sp.publish_gold(spark, a.out, database=a.database)
+    elif a.cmd == "land-schedule":
+        from .operators import manifest
+        docs = bronze.read_existing_manifests(spark, a.manifests)
+        metrics = {} if docs is None else {"landed": sinks.land_schedule(manifest.vessel_schedule(docs), a.out)}
     else:
         from .streaming import pipeline as sp
         opts = dict(kv.split("=", 1) for kv in a.kafka_option)
-        src = {kind: bronze.read_bronze(spark, topic, options=opts)
-               for kind, topic in (("crane", schemas.TOPIC_CRANE),
-                                   ("gate_in", schemas.TOPIC_GATE_IN),
-                                   ("gate_out", schemas.TOPIC_GATE_OUT))}
+        src = {kind: bronze.read_bronze(spark, topic, options=opts) for kind, topic in sp.KINDS.items()}
         trigger = {"processingTime": a.trigger}
-        sp.silver_streams(spark, src, a.out, trigger=trigger)
-        sp.gold_streams(spark, a.out, trigger=trigger)
-        spark.streams.awaitAnyTermination()
+        queries = sp.bronze_streams(spark, src, a.out, trigger=trigger, database=a.database)
+        queries |= sp.silver_streams(spark, sp.bronze_sources(spark, a.out, database=a.database), a.out,
+                                     trigger=trigger, database=a.database)
+        queries |= sp.gold_streams(spark, a.out, trigger=trigger, database=a.database,
+                                   state_partitions=a.state_partitions, salts=a.salts)
+        while all(q.isActive for q in queries.values()):
+            time.sleep(5)
+        for q in queries.values():      # one has ended: stop the rest, raise its error
+            if q.isActive:
+                q.stop()
+            q.awaitTermination()
         return 0
     print(json.dumps({"tables": a.out, "expectations": metrics}, default=str))
     return 0

@@ -2,13 +2,14 @@
 before the left time (no upper bound on how far back).
 
 A plain `Window.partitionBy(key).orderBy(ts)` over the union sends every row of
-a hot key to one task.  Here the time axis is cut into buckets:
+a hot key to one task.  Here the time axis is cut into buckets of an hour:
 
 1. in-bucket: window over (key, bucket) ordered by time carrying the last right
    row forward (running frame; the sort spills, nothing is collected);
-2. carry-over: per (key, bucket) the latest right row (a partial+final
-   aggregate), then per key a running max over earlier buckets -- a window over
-   one row per key-bucket, not per event;
+2. carry-over: one aggregate over both sides (keys and times only) gives each
+   (key, bucket) its latest right row and whether left rows stand in it; a running
+   max over earlier buckets -- a window over one row per key-bucket, not per
+   event -- gives what comes before;
 3. left rows without an in-bucket match take the carry-over of their bucket
    through an equi-join on (key, bucket), which reuses the window's
    partitioning (no second shuffle of the left side).
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
 
-DAY = 86400
+HOUR = 3600
 
 
 def _real_key(key: str):
@@ -33,7 +34,7 @@ def _real_key(key: str):
 
 
 def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, right_ts: str,
-                values: list[str], bucket_seconds: int = DAY, prefix: str = "asof_") -> DataFrame:
+                values: list[str], bucket_seconds: int = HOUR, prefix: str = "asof_") -> DataFrame:
     """Left rows + `prefix<right_ts>` and `prefix<value>` of the latest right row
     with right_ts <= left_ts (NULL when none or when key/time is NULL)."""
     w_us = bucket_seconds * 1_000_000
@@ -60,23 +61,20 @@ def asof_latest(left: DataFrame, right: DataFrame, *, key: str, left_ts: str, ri
            .where(F.col("_a_side") == 1))
 
     # Carry-over table: for every (key, bucket) holding left rows, the latest right
-    # row of any earlier bucket.  Left markers sort before right rows of the same
-    # bucket, so a running max sees strictly earlier buckets only.
-    grp = rvalid.groupBy(_real_key(key).alias("_a_key"), time_bucket(right_ts, w_us).alias("_a_b"))
-    if values:
-        per_bucket = grp.agg(F.max(rstruct).alias("_c_r"))
-    else:   # plain max of the time: a hash aggregate, no sort
-        per_bucket = grp.agg(F.max(right_ts).alias("_c_t")) \
-            .select("_a_key", "_a_b", F.struct(F.col("_c_t").alias("t")).alias("_c_r"))
-    per_bucket = per_bucket.withColumn("_c_side", F.lit(1))
-    marks = lhs.where(F.col("_a_key").startswith("k")).select("_a_key", "_a_b").distinct() \
-        .withColumn("_c_r", F.lit(None).cast(rtype)).withColumn("_c_side", F.lit(0))
-    wc = (Window.partitionBy("_a_key").orderBy("_a_b", "_c_side")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (marks.unionByName(per_bucket)
-             .withColumn("_c_prev", F.max("_c_r").over(wc))
-             .where(F.col("_c_side") == 0)
-             .select("_a_key", "_a_b", "_c_prev"))
+    # row of any earlier bucket.
+    carried = rstruct if values else F.struct(F.col(right_ts).alias("t"))
+    marks = left.where(~unmatchable).select(
+        _real_key(key).alias("_a_key"), time_bucket(left_ts, w_us).alias("_a_b"),
+        F.lit(None).cast(rtype).alias("_c_r"), F.lit(True).alias("_c_left"))
+    found = rvalid.select(_real_key(key).alias("_a_key"), time_bucket(right_ts, w_us).alias("_a_b"),
+                          carried.alias("_c_r"), F.lit(False).alias("_c_left"))
+    both = marks.unionByName(found)
+    # without values a plain max of the time: a hash aggregate, no sort
+    latest = F.max("_c_r") if values else F.struct(F.max("_c_r.t").alias("t"))
+    per_bucket = both.groupBy("_a_key", "_a_b").agg(latest.alias("_c_r"), F.max("_c_left").alias("_c_left"))
+    wc = Window.partitionBy("_a_key").orderBy("_a_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (per_bucket.withColumn("_c_prev", F.max(F.when(F.col("_c_r.t").isNotNull(), F.col("_c_r"))).over(wc))
+             .where("_c_left").select("_a_key", "_a_b", "_c_prev"))
 
     out = lhs.join(carry, ["_a_key", "_a_b"], "left")
     best = F.coalesce(F.col("_a_in"), F.col("_c_prev"))

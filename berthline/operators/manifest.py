@@ -1,10 +1,11 @@
 """Vessel manifests: containers, summaries and the vessel schedule.
 
 A manifest is a nested document (header + `containers` array); the source
-summarises one document at a time in Python.  Here every step is a Spark job
-over all manifests: explode the containers, count per dimension with one
-aggregation, and rebuild the per-manifest summary maps from those counts
-(bounded by the number of distinct codes per manifest, never by containers).
+summarises one document at a time in Python.  Here codes are counted inside
+each document with array functions (no shuffle), and documents with the same
+full header -- the pages of one vessel call -- are summed.  Voyages, process
+types and NULL fields of the header keep documents apart; rows are grouped,
+never joined, so NULLs need no care.
 """
 
 from __future__ import annotations
@@ -33,45 +34,47 @@ def manifest_containers(manifests: DataFrame, keep_empty: bool = True) -> DataFr
         .select(*HEADER, *[F.col(f"c.{f}").alias(f) for f in CONTAINER_FIELDS])
 
 
+def _codes(field: str):
+    """(value, containers) pairs of one document, a missing code counted as 'unknown'."""
+    values = F.transform("containers", lambda c: F.coalesce(c[field], F.lit("unknown")))
+    return F.transform(F.array_distinct(values), lambda v: F.struct(
+        v.alias("value"), F.size(F.filter(values, lambda x: x == v)).cast("long").alias("containers")))
+
+
 def manifest_summary(manifests: DataFrame) -> DataFrame:
-    """Long form: (vessel_id, process_type, dimension, value, containers).
+    """Long form: (header, dimension, value, containers), one row a code of a vessel call.
 
     dimension 'total' (value 'all') counts every container, 0 for an empty
-    manifest; by_size / by_type / by_status count per code, a missing code
-    counted as 'unknown'.  One unpivot + one aggregation (partial+final)."""
-    c = manifests.select("vessel_id", "process_type", F.explode_outer("containers").alias("c"))
-    pairs = [("total", F.lit("all"))] + [
-        (d, F.coalesce(F.col(f"c.{f}"), F.lit("unknown"))) for d, f in DIMENSIONS.items()]
-    unpivot = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), v.alias("value"))
-                                  for d, v in pairs]))
-    long = c.select("vessel_id", "process_type", F.col("c").isNotNull().alias("present"),
-                    unpivot.alias("p"))
-    long = long.where(F.col("present") | (F.col("p.dimension") == "total"))
-    return long.groupBy("vessel_id", "process_type", F.col("p.dimension").alias("dimension"),
-                        F.col("p.value").alias("value")) \
-        .agg(F.count_if("present").alias("containers"))
+    manifest; by_size / by_type / by_status count per code."""
+    docs = manifests.withColumn("containers", F.filter("containers", lambda c: c.isNotNull()))
+    total = F.array(F.struct(F.lit("total").alias("dimension"), F.lit("all").alias("value"),
+                             F.coalesce(F.size("containers"), F.lit(0)).cast("long").alias("containers")))
+    none = F.array().cast("array<struct<value:string,containers:bigint>>")
+    pairs = [total, *[_labelled(F.coalesce(_codes(f), none), d) for d, f in DIMENSIONS.items()]]
+    long = docs.select(*HEADER, F.explode(F.concat(*pairs)).alias("p"))
+    return long.groupBy(*HEADER, F.col("p.dimension").alias("dimension"), F.col("p.value").alias("value")).agg(
+        F.sum("p.containers").alias("containers"))
+
+
+def _labelled(codes, dimension: str):
+    return F.transform(codes, lambda p: F.struct(
+        F.lit(dimension).alias("dimension"), p["value"].alias("value"), p["containers"].alias("containers")))
 
 
 def vessel_schedule(*manifest_sets: DataFrame) -> DataFrame:
     """Schedule entries of all given manifest sets (import, export, ...):
     renamed header, code descriptions, ISO eta/etd and the container summary
-    (total + count maps), one row per vessel call."""
+    (total + count maps), one row per vessel call.  Unknown process types stay,
+    described as UNKNOWN."""
     manifests = manifest_sets[0]
     for m in manifest_sets[1:]:
         manifests = manifests.unionByName(m)
-    summary = manifest_summary(manifests)
-    # Totals and the three count maps in one aggregation over the (small)
-    # per-manifest summary rows; a map holds one entry per distinct code.
+    # A map holds one entry per distinct code of the call.
     dim = F.col("dimension")
-    per_call = summary.groupBy("vessel_id", "process_type").agg(
+    s = manifest_summary(manifests).groupBy(*HEADER).agg(
         F.sum(F.when(dim == "total", F.col("containers"))).alias("total"),
         *[F.map_from_entries(F.collect_list(F.when(dim == d, F.struct("value", "containers"))))
           .alias(d) for d in DIMENSIONS])
-    # One header row per vessel call: pages of one manifest repeat the same
-    # header, so a hash distinct (partial + final) suffices -- no sort-based first().
-    header = manifests.select(*HEADER).distinct()
-    s = header.join(per_call, ["vessel_id", "process_type"], "left")
-    empty = F.create_map().cast("map<string,bigint>")
     return s.select(
         "vessel_id", "vessel_name", "imo_number", "call_sign", "mmsi_number",
         F.col("voyage").alias("voyage_number"), "process_type",
@@ -80,11 +83,16 @@ def vessel_schedule(*manifest_sets: DataFrame) -> DataFrame:
         "terminal_code", "customs_office_code", "captain_name",
         F.struct(rules.epoch_to_iso("eta").alias("eta"),
                  rules.epoch_to_iso("etd").alias("etd")).alias("schedule"),
-        F.struct(F.coalesce("total", F.lit(0)).alias("total"),
-                 *[F.coalesce(d, empty).alias(d) for d in DIMENSIONS]).alias("containers_summary"),
+        F.struct("total", *DIMENSIONS).alias("containers_summary"),
     )
 
 
+def schedule_total(schedule: DataFrame) -> DataFrame:
+    """Number of schedule entries, in all and per process type (NULL: of all)."""
+    return schedule.rollup("process_type").agg(
+        F.grouping("process_type").cast("boolean").alias("all_types"), F.count("*").alias("total"))
+
+
 def vessel_schedule_by_type(schedule: DataFrame, process_type: str) -> DataFrame:
     if process_type not in rules.PROCESS_TYPE_DESC:
         raise ValueError("process_type must be '01' (import) or '02' (export)")

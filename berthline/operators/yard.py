@@ -17,22 +17,26 @@ CONTAINER_REF_FIELDS = ("container_id", "container_number", "container_type",
                         "seal_number")
 
 
-def yard_log(crane: DataFrame, gate_in: DataFrame) -> DataFrame:
+def moves(crane: DataFrame) -> DataFrame:
     """Crane moves with a readable OCR number (blank = OCR failed, skipped),
-    DISCHARGE and LOAD.  For LOAD the gate-in time is the container's latest
-    gate-in at or before the crane event (the source invents one 1-4 h earlier).
-    """
-    moves = crane.where((F.coalesce(F.col("ocr_container_no"), F.lit("")) != "")
-                        & F.col("crane_operation").isin("DISCHARGE", "LOAD"))
-    moves = moves.select(
+    DISCHARGE and LOAD."""
+    read = crane.where((F.coalesce(F.col("ocr_container_no"), F.lit("")) != "")
+                       & F.col("crane_operation").isin("DISCHARGE", "LOAD"))
+    return read.select(
         "container_number", "container_id", F.col("crane_operation").alias("operation"),
         F.col("event_id").alias("crane_event_id"), "crane_id", "crane_timestamp",
         "load_cell_kg", F.struct(*CONTAINER_REF_FIELDS).alias("container_ref"))
+
+
+def yard_log(crane: DataFrame, gate_in: DataFrame) -> DataFrame:
+    """Crane moves; for LOAD the gate-in time is the container's latest gate-in at or
+    before the crane event (the source invents one 1-4 h earlier)."""
+    log = moves(crane)
     gin = gate_in.select("container_id", "gate_in_timestamp")
-    loads = asof_latest(moves.where(F.col("operation") == "LOAD"), gin, key="container_id",
+    loads = asof_latest(log.where(F.col("operation") == "LOAD"), gin, key="container_id",
                         left_ts="crane_timestamp", right_ts="gate_in_timestamp", values=[],
                         prefix="")
-    discharges = moves.where(F.col("operation") == "DISCHARGE") \
+    discharges = log.where(F.col("operation") == "DISCHARGE") \
         .withColumn("gate_in_timestamp", F.lit(None).cast("timestamp"))
     cols = ["container_number", "container_id", "operation", "crane_event_id", "crane_id",
             "crane_timestamp", "gate_in_timestamp", "load_cell_kg", "container_ref"]
@@ -40,7 +44,7 @@ def yard_log(crane: DataFrame, gate_in: DataFrame) -> DataFrame:
 
 
 def operation_counts(yard: DataFrame) -> DataFrame:
-    """Totals of DISCHARGE and LOAD moves (one row)."""
+    """Totals of DISCHARGE and LOAD moves (one row); `moves` or a yard log."""
     return yard.agg(F.count_if(F.col("operation") == "DISCHARGE").alias("total_discharge"),
                     F.count_if(F.col("operation") == "LOAD").alias("total_load"))
 

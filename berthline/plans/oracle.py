@@ -101,15 +101,35 @@ SQL["silver_gate_in"] = f"SELECT * FROM ({gate_silver_sql('in')})"
 SQL["silver_gate_out"] = f"SELECT * FROM ({gate_silver_sql('out')})"
 
 
-def _bronze(pred: str, topic: str) -> str:
-    return (f"SELECT CAST(user_id AS VARCHAR) AS key, '{topic}' AS topic, "
-            f"CAST(user_id % 12 AS INTEGER) AS partition, event_id AS offset, "
-            f"ts AS timestamp, 0 AS timestampType FROM events WHERE {pred}")
+# The payload as it is on the wire: ISO text for the time, nested records.
+_ISO_TS = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"
+_CRANE_PAYLOAD = [("timestamp", _ISO_TS), *td.CRANE.items(),
+                  *[(f"ocr_{n}", e) for n, e in td.CRANE_OCR.items()],
+                  *[(f"container_ref_{n}", e) for n, e in td.CONTAINER_REF.items()]]
 
 
-SQL["bronze_crane"] = _bronze(td.CRANE_PREDICATE, "crane_events")
-SQL["bronze_gate_in"] = _bronze(td.GATE_IN_PREDICATE, "gate_in_events")
-SQL["bronze_gate_out"] = _bronze(td.GATE_OUT_PREDICATE, "gate_out_events")
+def _gate_payload(gate: dict) -> list:
+    return [("timestamp", _ISO_TS), *gate.items(), *[(f"truck_{n}", e) for n, e in td.TRUCK.items()],
+            *[(f"ocr_{n}", e) for n, e in td.GATE_OCR.items()], *[(f"weight_{n}", e) for n, e in td.WEIGHT.items()],
+            *[(f"container_ref_{n}", e) for n, e in td.CONTAINER_REF.items()]]
+
+
+_TOPICS = (("crane_events", "crane_events_bronze", td.CRANE_PREDICATE, _CRANE_PAYLOAD),
+           ("gate_in_events", "gate_in_events_bronze", td.GATE_IN_PREDICATE, _gate_payload(td.GATE_IN)),
+           ("gate_out_events", "gate_out_events_bronze", td.GATE_OUT_PREDICATE, _gate_payload(td.GATE_OUT)))
+_KAFKA = ("CAST(user_id AS VARCHAR) AS key, '{topic}' AS topic, CAST(user_id % 12 AS INTEGER) AS partition, "
+          "event_id AS offset, ts AS timestamp, 0 AS timestampType")
+
+for _key, (_topic, _table, _pred, _fields) in zip(("bronze_crane", "bronze_gate_in", "bronze_gate_out"), _TOPICS):
+    SQL[_key] = (f"SELECT {_KAFKA.format(topic=_topic)}, "
+                 + ", ".join(f"{e} AS payload_{n}" for n, e in _fields) + f" FROM events WHERE {_pred}")
+
+
+def _some_fields(fields: list) -> str:
+    """Payload fields that are compared as JSON text, by name (nested: with a dot)."""
+    f = dict(fields)
+    return (f"{f['event_id']} AS event_id, {f['timestamp']} AS event_time, {f['terminal_id']} AS terminal_id, "
+            f"{f['container_ref_container_number']} AS container_number, {f['ocr_status']} AS ocr_status")
 
 
 # ------------------------------------------------------------- flows
@@ -245,24 +265,32 @@ FROM j"""
 
 
 # ------------------------------------------------------------- quality
+# The expectations of each gold table.
+_CHECKS = [
+    ("gold_container_export_flow", "gold_export_flow", "valid_container_number", "container_number IS NOT NULL"),
+    ("gold_container_export_flow", "gold_export_flow", "valid_dwell_time",
+     "yard_dwell_time_hours >= 0 OR yard_dwell_time_hours IS NULL"),
+    ("gold_container_export_flow", "gold_export_flow", "valid_operation", "crane_operation IN ('LOAD', 'DISCHARGE')"),
+    ("gold_container_import_flow", "gold_import_flow", "valid_container_number", "container_number IS NOT NULL"),
+    ("gold_container_import_flow", "gold_import_flow", "valid_dwell_time",
+     "yard_dwell_time_hours >= 0 OR yard_dwell_time_hours IS NULL"),
+    ("gold_container_import_flow", "gold_import_flow", "valid_operation", "crane_operation IN ('LOAD', 'DISCHARGE')"),
+    ("gold_crane_performance", "gold_crane_performance", "valid_crane_id", "crane_id IS NOT NULL"),
+    ("gold_crane_performance", "gold_crane_performance", "valid_total_moves", "total_moves > 0"),
+    ("gold_anomaly_summary", "gold_anomaly_summary", "valid_anomaly_type", "anomali_type IS NOT NULL"),
+    ("gold_terminal_daily_summary", "gold_terminal_daily_summary", "valid_terminal", "terminal_id IS NOT NULL"),
+    ("gold_terminal_daily_summary", "gold_terminal_daily_summary", "valid_date", "date IS NOT NULL"),
+    ("gold_gate_hourly_traffic", "gold_gate_hourly_traffic", "valid_gate", "gate_id IS NOT NULL"),
+]
+
+
 def _expectations_sql() -> str:
-    from ..operators.quality import EXPECTATIONS
-    src = {"gold_container_export_flow": "gold_export_flow",
-           "gold_container_import_flow": "gold_import_flow",
-           "gold_crane_performance": "gold_crane_performance",
-           "gold_anomaly_summary": "gold_anomaly_summary",
-           "gold_terminal_daily_summary": "gold_terminal_daily_summary",
-           "gold_gate_hourly_traffic": "gold_gate_hourly_traffic"}
-    parts = []
-    for table, checks in EXPECTATIONS.items():
-        for name, pred in checks.items():
-            parts.append(
-                f"SELECT '{table}' AS table_name, '{name}' AS expectation, "
-                f"CAST(count_if(({pred})) AS BIGINT) AS passed, "
-                f"CAST(count_if(NOT ({pred})) AS BIGINT) AS failed, "
-                f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS null_result "
-                f"FROM ({SQL[src[table]]}) t")
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS expectation, "
+        f"CAST(count_if(({pred})) AS BIGINT) AS passed, "
+        f"CAST(count_if(NOT ({pred})) AS BIGINT) AS failed, "
+        f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS null_result "
+        f"FROM ({SQL[key]}) t" for table, key, name, pred in _CHECKS)
 
 
 SQL["expectations"] = _expectations_sql()
@@ -276,20 +304,21 @@ SQL["silver_parse_errors"] = " UNION ALL ".join(
                         ("gate_in_events", td.GATE_IN_PREDICATE),
                         ("gate_out_events", td.GATE_OUT_PREDICATE)))
 
-SQL["approx_trucks_error"] = " UNION ALL ".join(
-    f"SELECT '{side}' AS side, count(*) AS groups, count(*) AS groups_within_bound FROM "
-    f"(SELECT DISTINCT 'TERM-' || CAST(user_id % 3 AS STRING) AS t, "
-    f"'GATE-0' || CAST(1 + event_id % 4 AS STRING) AS g, date_trunc('hour', ts) AS w "
-    f"FROM events WHERE {pred}) x"
-    for side, pred in (("in", td.GATE_IN_PREDICATE), ("out", td.GATE_OUT_PREDICATE)))
+# Distinct trucks of a gate and ten days, exactly; every group is to lie within the bound.
+SQL["approx_trucks_error"] = f"""
+WITH {silver_ctes()},
+i AS (SELECT terminal_id, gate_id, time_bucket(INTERVAL 10 DAY, gate_in_timestamp, TIMESTAMP '1970-01-01') AS w,
+             count(DISTINCT truck_plate_no) AS n FROM gate_in GROUP BY ALL),
+o AS (SELECT terminal_id, gate_id, time_bucket(INTERVAL 10 DAY, gate_out_timestamp, TIMESTAMP '1970-01-01') AS w,
+             count(DISTINCT truck_plate_no) AS n FROM gate_out GROUP BY ALL)
+SELECT coalesce(i.terminal_id, o.terminal_id) AS terminal_id, coalesce(i.gate_id, o.gate_id) AS gate_id,
+       coalesce(i.w, o.w) AS window_start, i.n AS exact_in, o.n AS exact_out,
+       CASE WHEN i.n IS NOT NULL THEN true END AS in_within, CASE WHEN o.n IS NOT NULL THEN true END AS out_within
+FROM i FULL OUTER JOIN o ON i.terminal_id = o.terminal_id AND i.gate_id = o.gate_id AND i.w = o.w"""
 
 SQL["route_by_topic"] = " UNION ALL ".join(
-    f"SELECT CAST(user_id AS VARCHAR) AS key, '{topic}' AS topic, "
-    f"CAST(user_id % 12 AS INTEGER) AS partition, event_id AS offset, ts AS timestamp, "
-    f"'{table}' AS target_table FROM events WHERE {pred}"
-    for topic, table, pred in (("crane_events", "crane_events_bronze", td.CRANE_PREDICATE),
-                               ("gate_in_events", "gate_in_events_bronze", td.GATE_IN_PREDICATE),
-                               ("gate_out_events", "gate_out_events_bronze", td.GATE_OUT_PREDICATE)))
+    f"SELECT {_KAFKA.format(topic=topic)}, '{table}' AS target_table, {_some_fields(fields)} FROM events WHERE {pred}"
+    for topic, table, pred, fields in _TOPICS)
 
 # ------------------------------------------------------------- yard
 _REF = ["container_id", "container_number", "container_type", "container_type_name",
@@ -326,16 +355,16 @@ FROM gate_in g JOIN crane c ON g.container_id = c.container_id
 
 # ------------------------------------------------------------- anomaly rules
 def _crane_rules_sql() -> str:
-    from ..operators.anomalies import CONTAINER_WEIGHT_KG, DEFAULT_WEIGHT_KG, HOIST_SPEED_MPS
-    lo = "CASE container_type " + " ".join(
-        f"WHEN '{k}' THEN {v[0]}" for k, v in CONTAINER_WEIGHT_KG.items()) + f" ELSE {DEFAULT_WEIGHT_KG[0]} END"
-    hi = "CASE container_type " + " ".join(
-        f"WHEN '{k}' THEN {v[1]}" for k, v in CONTAINER_WEIGHT_KG.items()) + f" ELSE {DEFAULT_WEIGHT_KG[1]} END"
+    # Least and greatest load by container type, normal hoist speed.
+    lo = ("CASE container_type WHEN '1' THEN 5000 WHEN '2' THEN 5000 WHEN '3' THEN 5000 WHEN '4' THEN 4000 "
+          "WHEN '5' THEN 8000 WHEN '6' THEN 5000 WHEN '7' THEN 5000 WHEN '8' THEN 10000 ELSE 5000 END")
+    hi = ("CASE container_type WHEN '1' THEN 30480 WHEN '2' THEN 30480 WHEN '3' THEN 28000 WHEN '4' THEN 25000 "
+          "WHEN '5' THEN 34000 WHEN '6' THEN 30000 WHEN '7' THEN 30000 WHEN '8' THEN 26000 ELSE 30000 END")
     keep = ("event_id, crane_id, terminal_id, crane_timestamp, container_id, container_type, "
             "load_cell_kg, hoist_speed_mps, anomali_type")
     rules = [
         ("WEIGHT_EXTREME", f"load_cell_kg < ({lo}) OR load_cell_kg > ({hi})"),
-        ("SPEED_EXTREME", f"hoist_speed_mps < {HOIST_SPEED_MPS[0]} OR hoist_speed_mps > {HOIST_SPEED_MPS[1]}"),
+        ("SPEED_EXTREME", "hoist_speed_mps < 0.5 OR hoist_speed_mps > 1.2"),
         ("MISSING_OCR", "coalesce(ocr_container_no, '') = '' AND ocr_confidence_score = 0.0 "
                         "AND ocr_status = 'FAILED'"),
     ]
@@ -398,11 +427,12 @@ _CF = list(td.MANIFEST_CONTAINER)
 SQL["manifest_containers"] = f"SELECT {', '.join(_HDR + _CF)} FROM ({MANIFEST_ROWS}) m"
 
 _DIMS = {"by_size": "container_size", "by_type": "container_type", "by_status": "status_code"}
+_H = ", ".join(_HDR)
 MANIFEST_SUMMARY_SQL = (
     f"WITH m AS ({MANIFEST_ROWS}) "
-    "SELECT vessel_id, process_type, 'total' AS dimension, 'all' AS value, "
-    "CAST(count_if(present) AS BIGINT) AS containers FROM m GROUP BY vessel_id, process_type "
-    + " ".join(f"UNION ALL SELECT vessel_id, process_type, '{d}' AS dimension, "
+    f"SELECT {_H}, 'total' AS dimension, 'all' AS value, "
+    f"CAST(count_if(present) AS BIGINT) AS containers FROM m GROUP BY {_H} "
+    + " ".join(f"UNION ALL SELECT {_H}, '{d}' AS dimension, "
                f"coalesce({f}, 'unknown') AS value, count(*) AS containers FROM m WHERE present "
                "GROUP BY ALL" for d, f in _DIMS.items()))
 SQL["manifest_summary"] = MANIFEST_SUMMARY_SQL
@@ -425,24 +455,25 @@ def _schedule_sql(where: str = "") -> str:
         f"AS containers_summary_{d}" for d in _DIMS)
     return f"""
 WITH s AS ({MANIFEST_SUMMARY_SQL}),
-h AS (SELECT DISTINCT {', '.join(_HDR)} FROM ({MANIFEST_ROWS}) m WHERE process_type IN ('01', '02')),
-agg AS (SELECT vessel_id, process_type,
-          max(CASE WHEN dimension = 'total' THEN containers END) AS containers_summary_total, {maps}
-        FROM s GROUP BY vessel_id, process_type)
-SELECT h.vessel_id, vessel_name, imo_number, call_sign, mmsi_number, voyage AS voyage_number,
-       h.process_type,
-       CASE h.process_type WHEN '01' THEN 'IMPORT' WHEN '02' THEN 'EXPORT' ELSE 'UNKNOWN' END AS process_type_desc,
+h AS (SELECT {_H}, max(CASE WHEN dimension = 'total' THEN containers END) AS containers_summary_total, {maps}
+      FROM s GROUP BY {_H})
+SELECT vessel_id, vessel_name, imo_number, call_sign, mmsi_number, voyage AS voyage_number,
+       process_type,
+       CASE process_type WHEN '01' THEN 'IMPORT' WHEN '02' THEN 'EXPORT' ELSE 'UNKNOWN' END AS process_type_desc,
        transport_mode,
        CASE transport_mode WHEN '01' THEN 'LAUT' WHEN '02' THEN 'UDARA' WHEN '03' THEN 'DARAT' ELSE 'UNKNOWN' END AS transport_mode_desc,
        terminal_code, customs_office_code, captain_name,
-       {_iso('eta')} AS schedule_eta, {_iso('etd')} AS schedule_etd,
-       coalesce(containers_summary_total, 0) AS containers_summary_total,
+       {_iso('eta')} AS schedule_eta, {_iso('etd')} AS schedule_etd, containers_summary_total,
        {', '.join(f'containers_summary_{d}' for d in _DIMS)}
-FROM h LEFT JOIN agg ON h.vessel_id = agg.vessel_id AND h.process_type = agg.process_type {where}"""
+FROM h {where}"""
 
 
 SQL["vessel_schedule"] = _schedule_sql()
-SQL["vessel_schedule_by_type"] = _schedule_sql("WHERE h.process_type = '01'")
+SQL["vessel_schedule_by_type"] = _schedule_sql("WHERE process_type = '01'")
+SQL["vessel_schedule_total"] = f"""
+WITH s AS ({SQL["vessel_schedule"]})
+SELECT process_type, false AS all_types, count(*) AS total FROM s GROUP BY process_type
+UNION ALL SELECT NULL, true, count(*) FROM s"""
 
 
 # ------------------------------------------------------------- streaming twins
@@ -466,12 +497,8 @@ GROUP BY ALL"""
 SQL["clustered_export_flow"] = SQL["gold_export_flow"]
 
 SQL["raw_landing"] = " UNION ALL ".join(
-    f"SELECT '{topic}' AS topic, CAST(ts AS DATE) AS date, CAST(user_id AS VARCHAR) AS key, "
-    f"CAST(user_id % 12 AS INTEGER) AS partition, event_id AS offset, ts AS timestamp, "
-    f"CAST(event_id AS VARCHAR) AS event_id FROM events WHERE {pred}"
-    for topic, pred in (("crane_events", td.CRANE_PREDICATE),
-                        ("gate_in_events", td.GATE_IN_PREDICATE),
-                        ("gate_out_events", td.GATE_OUT_PREDICATE)))
+    f"SELECT {_KAFKA.format(topic=topic)}, CAST(ts AS DATE) AS date, {_some_fields(fields)} FROM events WHERE {pred}"
+    for topic, _, pred, fields in _TOPICS)
 
 _LAND_EPOCH = f"coalesce(nullif({td.MANIFEST_ETA.format(epoch=_EPOCH)}, 0), {td.MANIFEST_ETD.format(epoch=_EPOCH)})"
 SQL["manifest_landing_counts"] = f"""

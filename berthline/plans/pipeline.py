@@ -13,15 +13,18 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import flows, gold, silver
+from .. import schemas
+from ..operators import flows, gold, quality, silver
 from ..session import session_key
-from ..sources import sinks, testdata
+from ..sources import bronze, sinks, testdata
 
 
 class TerminalPipeline:
     def __init__(self, crane_bronze: DataFrame, gate_in_bronze: DataFrame,
                  gate_out_bronze: DataFrame, *, processing_time: bool = True,
                  max_dwell_hours: int = 24, flow_operation: bool = False):
+        self.settings = {"processing_time": processing_time, "max_dwell_hours": max_dwell_hours,
+                         "flow_operation": flow_operation}
         self.crane_bronze = crane_bronze
         self.gate_in_bronze = gate_in_bronze
         self.gate_out_bronze = gate_out_bronze
@@ -83,28 +86,41 @@ class TerminalPipeline:
         return gold.gate_hourly_traffic(self.gate_in, self.gate_out,
                                         processing_time=self.processing_time)
 
-    TABLES = ("crane", "gate_in", "gate_out", "export_flow", "import_flow",
-              "crane_performance", "anomaly_summary", "terminal_daily_summary",
-              "gate_hourly_traffic")
+
+# Bumped when the written layout of the stand-in bronze or silver tables changes.
+LAYOUT = "v4"
+_TOPIC_OF = {"crane": schemas.TOPIC_CRANE, "gate_in": schemas.TOPIC_GATE_IN, "gate_out": schemas.TOPIC_GATE_OUT}
+
+
+def bronze_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Folder of a stand-in bronze table, written once per input: what the Kafka
+    reader would have kept of the topic."""
+    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + LAYOUT
+
+    def build() -> DataFrame:
+        events = testdata.read_table(spark, sf_dir, "events")
+        return testdata.crane_bronze(events) if kind == "crane" else \
+            testdata.gate_bronze(events, kind.removeprefix("gate_"))
+    return sinks.cached_path(spark, f"{kind}_events_bronze", key, build)
+
+
+def bronze_table(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return bronze.read_bronze(spark, _TOPIC_OF[kind], fmt="parquet", path=bronze_path(spark, sf_dir, kind),
+                              streaming=False)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipeline:
-    events = testdata.read_table(spark, sf_dir, "events")
-    return TerminalPipeline(testdata.crane_bronze(events),
-                            testdata.gate_bronze(events, "in"),
-                            testdata.gate_bronze(events, "out"), **kw)
+    return TerminalPipeline(*(bronze_table(spark, sf_dir, kind) for kind in _TOPIC_OF), **kw)
 
 
 _SILVER: dict = {}
-# Bumped when the written layout of the stand-in silver tables changes.
-SILVER_LAYOUT = "v3"
 
 
 def silver_from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipeline:
     """Bronze -> silver written once per input (as the streaming silver tables
     are in production), gold computed over the silver parquet tables.  The
     written tables are immutable, so their DataFrames are reused per session."""
-    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + SILVER_LAYOUT
+    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + LAYOUT
     memo = (session_key(spark), key)
     if memo not in _SILVER:
         raw = []
@@ -122,6 +138,9 @@ def silver_from_testdata(spark: SparkSession, sf_dir: str, **kw) -> TerminalPipe
 
 # Table names and cluster keys of the source pipeline.
 TABLE_LAYOUT = {
+    "crane_events_bronze": ("crane_bronze", None),
+    "gate_in_events_bronze": ("gate_in_bronze", None),
+    "gate_out_events_bronze": ("gate_out_bronze", None),
     "crane_events_silver": ("crane", None),
     "gate_in_events_silver": ("gate_in", None),
     "gate_out_events_silver": ("gate_out", None),
@@ -146,24 +165,29 @@ def register_table(spark: SparkSession, name: str, path: str, database: str | No
 
 def materialize(p: TerminalPipeline, root: str, *, register: bool = False,
                 database: str | None = None) -> dict:
-    """Batch run of the whole pipeline: write every table under `root` in
-    dependency order (silver, flows and aggregates, then the daily view over the
-    written gold tables), each gold table in its clustered layout, counting the
-    warn-only expectations while the rows are written; with `register`, each
-    table is also named in the catalog.  Returns {table: {expectation counts}}."""
-    from ..operators import gold as gold_ops
-    from ..operators import quality
-    spark = (p.crane_bronze or p.crane).sparkSession
-    written, metrics = {}, {}
+    """Batch run of the whole pipeline: write every table under `root` in dependency
+    order, each from the written tables before it: bronze, silver parsed once from
+    the written bronze, gold over the written silver in its clustered layout, and the
+    daily view over the written gold flows.  The warn-only expectations are
+    counted while the rows are written; with `register`, each table is also named
+    in the catalog.  Returns {table: {expectation counts}}."""
+    spark = (p.crane if p.crane_bronze is None else p.crane_bronze).sparkSession
+    written, metrics, now = {}, {}, p
     for table, (attr, keys) in TABLE_LAYOUT.items():
         path = f"{root.rstrip('/')}/{table}"
+        if attr.endswith("_bronze") and p.crane_bronze is None:
+            continue
+        if attr == "crane" and p.crane_bronze is not None:
+            now = TerminalPipeline(*(written[f"{k}_events_bronze"] for k in _TOPIC_OF), **p.settings)
+        if attr == "export_flow":
+            now = TerminalPipeline.from_silver(*(written[f"{k}_events_silver"] for k in _TOPIC_OF), **p.settings)
         if table == "gold_terminal_daily_summary":
-            df = gold_ops.terminal_daily_summary(
+            df = gold.terminal_daily_summary(
                 written["gold_container_export_flow_streaming"],
                 written["gold_container_import_flow_streaming"],
                 written["crane_events_silver"], p.processing_time)
         else:
-            df = getattr(p, attr)
+            df = getattr(now, attr)
         if keys:
             df = sinks.clustered(df, keys)
         # Observed above the range shuffle, so the boundary-sampling job of

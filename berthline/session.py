@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,11 +17,16 @@ SESSION_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "berthline",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "berthline",
+                  shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+    """Session with the defaults above.  Master and shuffle partitions belong to the
+    cluster (spark-submit, spark-defaults): they are set only when asked for."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -45,22 +49,27 @@ def use_utc(spark: SparkSession) -> None:
 _LOCAL_ROOTS: dict = {}
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM: driver and executors share a machine and its folders."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
-    Read from the cluster's `spark.checkpoint.dir`; only when it is unset
-    (local tests) is a private scratch folder created, once per context."""
+    Read from the cluster's `spark.checkpoint.dir`.  Where it is unset, a local
+    master (tests) gets a private scratch folder, once per context; a cluster
+    gets an error, for executors would not see the driver's folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOTS:
         local = tempfile.mkdtemp(prefix="berthline-ckpt-")
         spark.sparkContext.setCheckpointDir(local)
         _LOCAL_ROOTS[key] = local
     return _LOCAL_ROOTS[key]
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    return os.path.join(checkpoint_root(spark), *parts)

@@ -17,7 +17,7 @@ Containers are users (`container_id` = user_id), terminals are user_id % 3.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -66,8 +66,8 @@ CRANE = {
     "load_cell_kg": f"CASE WHEN {_WEIGHT_X} THEN (CASE event_id % 180 WHEN 0 THEN 0 "
                     f"WHEN 60 THEN 99999 ELSE -100 END) ELSE {_LOAD} END",
     "spreader_locked": "event_id % 5 <> 0",
-    "gps_lat": "-7.1945 - CAST(user_id % 8 AS DOUBLE) / 8000",
-    "gps_lng": "112.8914 + CAST(user_id % 8 AS DOUBLE) / 6000",
+    "gps_lat": "51.25 + CAST(event_id % 40 AS DOUBLE) / 1024",
+    "gps_lng": "4.5 - CAST(event_id % 56 AS DOUBLE) / 2048",
     "anomali_type": f"CASE WHEN {_CRANE_ANOMALY_ROW} THEN (CASE event_id % 3 "
                     "WHEN 0 THEN 'WEIGHT_EXTREME' WHEN 1 THEN 'SPEED_EXTREME' "
                     "ELSE 'MISSING_OCR' END) END",
@@ -88,7 +88,7 @@ _RFID_FAILED = "(event_id % 80 = 0)"
 _OCR_MISMATCH = "(event_id % 80 = 20)"
 _GROSS_X = "(event_id % 80 = 40)"
 _MISSING_DO = "(event_id % 80 = 60)"
-_TARE = "18000 + event_id % 4001"
+_TARE = "12500 + 10 * (event_id % 173)"
 _NETT = f"{_LOAD} + event_id % 301 - 150"
 
 
@@ -113,7 +113,7 @@ TRUCK = {
     "rfid_tag": f"CASE WHEN {_RFID_FAILED} THEN '' "
                 "ELSE 'RFID-' || lpad(CAST(user_id % 500 AS STRING), 5, '0') END",
     "rfid_read_success": f"NOT {_RFID_FAILED} AND event_id % 10 <> 3",
-    "driver_id": "'DRV-' || CAST(1000 + user_id % 200 AS STRING)",
+    "driver_id": "'DRV-' || lpad(CAST(user_id % 331 AS STRING), 4, '0')",
     "do_number": f"CASE WHEN {_MISSING_DO} THEN '' "
                  "ELSE 'DO-' || lpad(CAST(event_id AS STRING), 8, '0') END",
 }
@@ -161,16 +161,13 @@ KAFKA_PARTITIONS = 12
 
 
 def _kafka_rows(events: DataFrame, predicate: str, payload: Column, topic: str) -> DataFrame:
-    """Kafka-shaped rows (records keyed by container, KAFKA_PARTITIONS topic
-    partitions), spread over the cluster's cores the way a Kafka source with
-    `minPartitions` splits topic partitions into offset ranges."""
-    part = F.expr(f"CAST(pmod(user_id, {KAFKA_PARTITIONS}) AS INT)")
-    tasks = max(KAFKA_PARTITIONS, events.sparkSession.sparkContext.defaultParallelism)
-    return events.where(predicate).repartition(tasks, part, F.col("event_id")).select(
+    """Kafka-shaped rows: records keyed by container, dealt to KAFKA_PARTITIONS topic
+    partitions.  No shuffle: tasks follow the splits of the scan."""
+    return events.where(predicate).select(
         F.expr("CAST(CAST(user_id AS STRING) AS BINARY)").alias("key"),
         F.to_json(payload).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        part.alias("partition"),
+        F.expr(f"CAST(pmod(user_id, {KAFKA_PARTITIONS}) AS INT)").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
@@ -239,13 +236,14 @@ MANIFEST_CONTAINER = {
 MANIFEST_PAGE = 1000
 
 
-def manifest_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def manifest_documents(orders: DataFrame, lineitem: DataFrame, page_size: int = MANIFEST_PAGE) -> DataFrame:
     """Nested manifest documents shaped like `schemas.MANIFEST`.
 
-    Containers are grouped per (order, page) where page = l_linenumber div
-    MANIFEST_PAGE, so no document array exceeds the page size however many
-    lines one order has.  Orders without lines get an empty container list.
-    """
+    Lines of an order are counted first (combined before the shuffle).  A long order's
+    lines are dealt by row hash to groups of about half a page, each group is
+    numbered and cut at the page size: no array exceeds it and no task sees
+    more than a group of any order.  Orders without lines get an empty
+    container list."""
     epoch = "unix_seconds(CAST(o_orderdate AS TIMESTAMP))"
     header = orders.select(
         "o_orderkey",
@@ -253,11 +251,20 @@ def manifest_documents(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.expr(MANIFEST_ETA.format(epoch=epoch)).alias("eta"),
         F.expr(MANIFEST_ETD.format(epoch=epoch)).alias("etd"),
     )
-    pages = (lineitem
-             .select("l_orderkey", F.expr(f"l_linenumber div {MANIFEST_PAGE}").alias("page"),
-                     _struct_of(MANIFEST_CONTAINER).alias("c"))
-             .groupBy("l_orderkey", "page")
-             .agg(F.collect_list("c").alias("containers")))
+    groups = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines")).where(
+        F.col("lines") > page_size).select(
+        F.col("l_orderkey").alias("long_key"), F.ceil(F.col("lines") * 2 / page_size).alias("groups"))
+    row = F.struct(*[F.col(c) for c in lineitem.columns])
+    lines = lineitem.withColumn("row_hash", F.xxhash64(row)).join(
+        groups, F.col("l_orderkey") == F.col("long_key"), "left").select(
+        "l_orderkey", "row_hash", F.col("groups").isNotNull().alias("long"),
+        F.when(F.col("groups").isNull(), 0).otherwise(F.pmod("row_hash", "groups")).alias("part"),
+        _struct_of(MANIFEST_CONTAINER).alias("c"))
+    in_part = Window.partitionBy("l_orderkey", "part").orderBy("row_hash")
+    cut = lines.where("long").withColumn("number", F.row_number().over(in_part) - 1).withColumn(
+        "page", F.expr(f"CAST(number AS BIGINT) div {page_size}")).drop("number")
+    whole = lines.where("not long").withColumn("page", F.lit(0).cast("long"))
+    pages = whole.unionByName(cut).groupBy("l_orderkey", "part", "page").agg(F.collect_list("c").alias("containers"))
     docs = header.join(pages, header.o_orderkey == pages.l_orderkey, "left")
     names = [f.name for f in schemas.MANIFEST.fields]
     return docs.select(

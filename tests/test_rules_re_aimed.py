@@ -98,3 +98,27 @@ def test_schedule_skips_missing_manifest(spark, tmp_path):
     s = manifest.vessel_schedule(m)
     assert s.count() == 1 and s.collect()[0].containers_summary.total == 1
     assert bronze.read_existing_manifests(spark, [str(tmp_path / "none")]) is None
+
+
+def test_schedule_grain_is_the_whole_header(spark):
+    """Voyages of one vessel, and manifests without a process type, stay apart; unknown types stay."""
+    from berthline import schemas
+    c = [("1", "n", "t", "T", "20", "FULL", "s", "F")] * 8
+
+    def doc(vessel, voyage, process, n, eta=1704067200):
+        return (vessel, "MV", "imo", "call", "mmsi", voyage, process, "01", "term", "office", "captain", eta, 0,
+                None if n is None else c[:n])
+    rows = [doc("V1", "001N", "01", 3), doc("V1", "002N", "01", 5), doc("V1", "001N", None, 2),
+            doc("V2", "001N", "07", 1), doc("V3", None, "02", None), doc("V1", "001N", "01", 4)]
+    docs = spark.createDataFrame(rows, schemas.MANIFEST)
+    s = manifest.vessel_schedule(docs)
+    got = {(r.vessel_id, r.voyage_number, r.process_type): r for r in s.collect()}
+    assert len(got) == 5 == s.count()
+    total = {k: r.containers_summary.total for k, r in got.items()}
+    assert total == {("V1", "001N", "01"): 7, ("V1", "002N", "01"): 5, ("V1", "001N", None): 2,
+                     ("V2", "001N", "07"): 1, ("V3", None, "02"): 0}
+    assert got[("V1", "001N", "01")].containers_summary.by_type == {"t": 7}
+    assert got[("V3", None, "02")].containers_summary.by_size == {}
+    assert got[("V2", "001N", "07")].process_type_desc == "UNKNOWN"
+    counts = {(r.process_type, r.all_types): r.total for r in manifest.schedule_total(s).collect()}
+    assert counts == {(None, True): 5, ("01", False): 2, ("02", False): 1, ("07", False): 1, (None, False): 1}

@@ -47,24 +47,34 @@ def test_dated_landing_layout(spark, tmp_path):
                                 ("c", "2025-12-31", "import")], "id string, d string, label string") \
         .withColumn("d", F.to_date("d"))
     path = str(tmp_path / "landing")
-    sinks.land_dated_json_bounded(df, path, "d", "label")
+    sinks.land_dated_json(df, path, "d", "label")
     assert os.path.isdir(os.path.join(path, "year=2024", "month=01", "day=02", "label=import"))
     assert os.path.isdir(os.path.join(path, "year=2025", "month=12", "day=31", "label=import"))
     assert spark.read.json(path).count() == 3
 
 
-def test_materialize_pipeline(spark, tmp_path):
+def test_materialize_pipeline(spark, tmp_path, monkeypatch):
     from berthline.plans import pipeline
     p = pipeline.from_testdata(spark, "/root/testdata/sf0.001", processing_time=True)
+    plans = {}
+    write = pipeline.sinks.clustered
+    monkeypatch.setattr(pipeline.sinks, "clustered", lambda df, keys: plans.setdefault(
+        tuple(keys) + (len(plans),), df) and write(df, keys))
     metrics = pipeline.materialize(p, str(tmp_path / "tables"), register=True)
+    # gold reads written silver: nothing is parsed again
+    assert len(plans) == 6
+    for df in plans.values():
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert spark.read.table("gold_crane_performance").count() > 0
+    assert spark.read.table("crane_events_bronze").schema == schemas.KAFKA_ROW
     assert set(metrics) == {"gold_container_export_flow_streaming",
                             "gold_container_import_flow_streaming", "gold_crane_performance",
                             "gold_anomaly_summary", "gold_terminal_daily_summary",
                             "gold_gate_hourly_traffic"}
-    ex = spark.read.parquet(str(tmp_path / "tables" / "gold_container_export_flow_streaming"))
-    m = metrics["gold_container_export_flow_streaming"]
-    assert m["valid_container_number__passed"] + m["valid_container_number__failed"] == ex.count()
+    for table, m in metrics.items():
+        n = spark.read.parquet(str(tmp_path / "tables" / table)).count()
+        for check in {k.rsplit("__", 1)[0] for k in m}:
+            assert n and sum(m[f"{check}__{x}"] for x in ("passed", "failed", "null")) == n
     daily = spark.read.parquet(str(tmp_path / "tables" / "gold_terminal_daily_summary"))
     assert daily.count() > 0 and "gold_processed_at" in daily.columns
 
@@ -96,3 +106,78 @@ def test_route_keeps_unknown_topics(spark):
     rows = spark.createDataFrame([("crane_events",), ("other_topic",)], "topic string")
     got = {r.topic: r.target_table for r in bronze.route(rows, bronze.ROUTES).collect()}
     assert got == {"crane_events": "crane_events_bronze", "other_topic": None}
+
+
+def test_fingerprint_sees_every_file(spark, tmp_path):
+    """A file added to, changed in or taken from a partition folder is another input."""
+    path = str(tmp_path / "t")
+    spark.range(4).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(path)
+    first = sinks.fingerprint(spark, path)
+    assert sinks.fingerprint(spark, path) == first
+    spark.range(4, 6).write.mode("append").parquet(f"{path}/p=1")
+    assert sinks.fingerprint(spark, path) != first
+
+
+def test_new_rows_of_a_folder_input_reach_silver(spark, tmp_path):
+    from berthline.plans import pipeline
+    d = str(tmp_path / "sf")
+    events = _events(spark)
+    half = events.where("event_id % 2 = 0").withColumn("day", F.to_date("ts"))
+    half.write.partitionBy("day").parquet(f"{d}/events.parquet")
+    before = pipeline.silver_from_testdata(spark, d).crane.count()
+    rest = events.where("event_id % 2 = 1").withColumn("day", F.to_date("ts"))
+    rest.write.mode("append").partitionBy("day").parquet(f"{d}/events.parquet")
+    after = pipeline.silver_from_testdata(spark, d).crane.count()
+    whole = events.where("event_type IN ('click', 'purchase', 'error')").count()
+    assert before < after == whole
+
+
+def test_versions_are_published_whole(spark, tmp_path):
+    folder = str(tmp_path / "v")
+    for n in (3, 5):
+        sinks.publish_version(spark, folder, spark.range(n), ["id"])
+        assert spark.read.parquet(sinks.current_version(spark, folder)).count() == n
+    import pytest
+    with pytest.raises(FileNotFoundError):
+        sinks.current_version(spark, str(tmp_path / "none"))
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    import pytest
+    from types import SimpleNamespace
+
+    from berthline import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+    context = SimpleNamespace(master="yarn", getConf=Conf, applicationId="app")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(SimpleNamespace(conf=Conf(), sparkContext=context))
+
+
+def test_long_manifests_are_cut_into_pages(spark):
+    """A third of all lines in one order: no array beyond the page size, nothing lost."""
+    orders = testdata.read_table(spark, "/root/testdata/sf0.001", "orders").limit(40)
+    key = orders.orderBy("o_orderkey").first().o_orderkey
+    lines = testdata.read_table(spark, "/root/testdata/sf0.001", "lineitem").join(
+        orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    many = spark.range(700).crossJoin(lines.where(F.col("l_orderkey") == key).limit(1)).drop("id")
+    docs = testdata.manifest_documents(orders, lines.unionByName(many), page_size=50)
+    sizes = docs.select("vessel_id", F.size("containers").alias("n")).collect()
+    assert max(r.n for r in sizes) <= 50
+    from berthline.operators import manifest
+    total = {r.vessel_id: r.containers for r in manifest.manifest_summary(docs).where("dimension = 'total'").collect()}
+    want = {str(r.l_orderkey): r.n for r in
+            lines.unionByName(many).groupBy("l_orderkey").agg(F.count("*").alias("n")).collect()}
+    assert {k: v for k, v in total.items() if v} == want and len(total) == 40
+
+
+def test_schedule_landing(spark, tmp_path):
+    from berthline.operators import manifest
+    docs = testdata.manifest_documents(testdata.read_table(spark, "/root/testdata/sf0.001", "orders").limit(5),
+                                       testdata.read_table(spark, "/root/testdata/sf0.001", "lineitem"))
+    folder = sinks.land_schedule(manifest.vessel_schedule(docs), str(tmp_path))
+    assert "/vessel_schedule_api/20" in folder
+    back = spark.read.json(folder)
+    assert back.count() == 5 and "containers_summary" in back.columns
