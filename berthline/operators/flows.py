@@ -23,7 +23,7 @@ HOUR = 3600
 def _flow(gate: DataFrame, crane: DataFrame, *, gate_ts: str, prefix: str,
           matched_label: str, lower: int, upper: int, export: bool,
           operation: str | None, processing_time: bool, bucket_seconds: int | None,
-          null_category: str) -> DataFrame:
+          null_category: str, salts: int) -> DataFrame:
     gate = gate.select("container_number", "container_id", "container_size", "container_type",
                        "seal_number", "terminal_id", "event_id", gate_ts, "gate_id",
                        "truck_plate_no", "do_number", "gross_weight_kg", "nett_weight_kg",
@@ -34,7 +34,7 @@ def _flow(gate: DataFrame, crane: DataFrame, *, gate_ts: str, prefix: str,
     flt = (F.col("crane_operation") == operation) if operation else None
     j = interval_join(gate, crane, keys=["container_id"], left_ts=gate_ts,
                       right_ts="crane_timestamp", lower_seconds=lower, upper_seconds=upper,
-                      how="left", bucket_seconds=bucket_seconds, left_alias="g",
+                      how="left", bucket_seconds=bucket_seconds, salts=salts, left_alias="g",
                       right_alias="c", right_filter=flt)
     g, c = (lambda n: F.col(f"g.{n}")), (lambda n: F.col(f"c.{n}"))
     start, end = (g(gate_ts), c("crane_timestamp")) if export else (c("crane_timestamp"), g(gate_ts))
@@ -64,19 +64,21 @@ def _flow(gate: DataFrame, crane: DataFrame, *, gate_ts: str, prefix: str,
 
 def export_flow(gate_in: DataFrame, crane: DataFrame, *, max_dwell_hours: int = 24,
                 operation: str | None = None, processing_time: bool = True,
-                bucket_seconds: int | None = None, null_category: str = "CRITICAL") -> DataFrame:
+                bucket_seconds: int | None = None, null_category: str = "CRITICAL",
+                salts: int = 1) -> DataFrame:
     """gold_container_export_flow: gate-in rows kept; crane LOAD expected later."""
     return _flow(gate_in, crane, gate_ts="gate_in_timestamp", prefix="gate_in",
                  matched_label="LOADED_TO_VESSEL", lower=0, upper=max_dwell_hours * HOUR,
                  export=True, operation=operation, processing_time=processing_time,
-                 bucket_seconds=bucket_seconds, null_category=null_category)
+                 bucket_seconds=bucket_seconds, null_category=null_category, salts=salts)
 
 
 def import_flow(gate_out: DataFrame, crane: DataFrame, *, max_dwell_hours: int = 24,
                 operation: str | None = None, processing_time: bool = True,
-                bucket_seconds: int | None = None, null_category: str = "CRITICAL") -> DataFrame:
+                bucket_seconds: int | None = None, null_category: str = "CRITICAL",
+                salts: int = 1) -> DataFrame:
     """gold_container_import_flow: gate-out rows kept; crane DISCHARGE expected earlier."""
     return _flow(gate_out, crane, gate_ts="gate_out_timestamp", prefix="gate_out",
                  matched_label="DISCHARGE_FROM_VESSEL", lower=-max_dwell_hours * HOUR, upper=0,
                  export=False, operation=operation, processing_time=processing_time,
-                 bucket_seconds=bucket_seconds, null_category=null_category)
+                 bucket_seconds=bucket_seconds, null_category=null_category, salts=salts)

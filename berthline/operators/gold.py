@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import rules
 
 
+PERFORMANCE_KEYS = ["crane_id", "terminal_id", "operation_date", "operation_hour", "crane_operation"]
+ANOMALY_KEYS = ["crane_id", "terminal_id", "anomali_type", "date"]
+
+
 def _is_anomaly() -> Column:
     return F.when(F.col("anomali_type").isNotNull(), 1).otherwise(0)
 
