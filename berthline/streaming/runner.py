@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import os
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_root
+from .progress import totals
 
 SENTINEL_ID = "__flush__"
 SENTINEL_TS = "2200-01-01 00:00:00"
@@ -32,65 +32,72 @@ def watermarked(df: DataFrame, col: str, delay: str) -> DataFrame:
     return df.withWatermark(col, delay)
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Large join/aggregation state lives in RocksDB (off-heap, spills to local
-    disk, checkpointed to the shared folder) instead of the JVM heap."""
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for stateful queries, with the caller's settings: RocksDB state (off-heap,
+    spills to local disk, checkpointed to the shared folder) and, if given, its own
+    number of state partitions.  A query fixes that number at its first start (it is
+    stored in the checkpoint), so it is the caller's to choose; other queries of
+    the caller's session keep their settings."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k) and own.conf.get(k, None) != v:
+            own.conf.set(k, v)
     key = "spark.sql.streaming.stateStore.providerClass"
-    cur = spark.conf.get(key, None)
+    cur = own.conf.get(key, None)
     if not cur or "HDFSBackedStateStoreProvider" in cur:
-        spark.conf.set(key, ROCKSDB)
+        own.conf.set(key, ROCKSDB)
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    return own
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Start stateful queries with `n` state partitions (default: the cluster's
-    cores).  A query fixes this number at its first start (it is stored in the
-    checkpoint), and each partition is a state store opened and committed every
-    micro-batch, so a bounded replay should not inherit a large session-wide
-    `spark.sql.shuffle.partitions` meant for batch shuffles."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def batch_writer(path: str, fmt: str = "parquet"):
+    """foreachBatch sink of updated rows: each batch in a folder of its own, so a batch that
+    runs again replaces itself and readers never see a table without files."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
+    return write
+
+
+def latest(spark: SparkSession, path: str, keys: list[str], fmt: str = "parquet") -> DataFrame:
+    """The current rows of a table of updates: of each key, the row of the last batch."""
+    updates = spark.read.option("basePath", path).format(fmt).load(f"{path}/batch=*")
+    rows = [c for c in updates.columns if c not in (*keys, "batch")]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rows), "batch").alias("_row")).select(
+        *keys, "_row.*").select(*[c for c in updates.columns if c != "batch"])
 
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
-                      fmt: str = "parquet", name: str | None = None) -> list:
-    """Process everything available now, then stop; returns the progress reports.
+                      fmt: str = "parquet", name: str | None = None) -> list[dict]:
+    """Process everything available now, then stop; returns [the run's totals] (see
+    `progress.Totals`), to be added up over runs.
 
-    append/update: rows go to `path` as files (the file sink is exactly-once via
-    its metadata log).  complete: each batch's full result overwrites `path`
-    through foreachBatch (idempotent on retry)."""
+    append: rows go to `path` as files (the file sink is exactly-once via its
+    metadata log).  update: changed rows go to `path` batch by batch (see `latest`)."""
+    seen = totals(df.sparkSession)
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
-    if mode == "complete":
-        def overwrite(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").format(fmt).save(path)
-        q = w.outputMode("complete").foreachBatch(overwrite).start()
+    if mode == "update":
+        q = w.outputMode("update").foreachBatch(batch_writer(path, fmt)).start()
     else:
         q = w.outputMode(mode).format(fmt).start(path)
     q.awaitTermination()
-    return list(q.recentProgress)
+    return [seen.of(q)]
 
 
-def dropped_by_watermark(progress: list) -> int:
-    total = 0
-    for p in progress:
-        for s in (p.get("stateOperators") if isinstance(p, dict) else p.stateOperators) or []:
-            total += (s.get("numRowsDroppedByWatermark", 0) if isinstance(s, dict)
-                      else getattr(s, "numRowsDroppedByWatermark", 0))
-    return total
+def dropped_by_watermark(runs: list[dict]) -> int:
+    return sum(r["dropped"] for r in runs)
 
 
 class Replay:
     """A bounded, ordered replay of batch tables through streaming queries."""
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, state_partitions: int | None = None):
+        """`state_partitions`: by default the cluster's cores, for a replay opens every
+        state store in each of its few batches."""
         self.spark = spark
+        self.session = stream_session(spark, state_partitions or spark.sparkContext.defaultParallelism)
         self.root = os.path.join(checkpoint_root(spark), "berthline-streams",
                                  f"{label}-{uuid.uuid4().hex[:12]}")
         self.inputs: dict[str, tuple[T.StructType, str]] = {}
@@ -108,7 +115,7 @@ class Replay:
         self._mkdirs(self.path("in", name))
         # No maxFilesPerTrigger: each stage is one micro-batch, so the arrival order
         # is exactly the staging order (files of one stage share a write time).
-        return self.spark.readStream.schema(schema).parquet(self.path("in", name))
+        return self.session.readStream.schema(schema).parquet(self.path("in", name))
 
     def stage(self, name: str, df: DataFrame) -> None:
         """Append rows to an input (they arrive with the next run)."""

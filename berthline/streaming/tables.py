@@ -7,8 +7,8 @@ the watermarks and the sinks differ:
   (append mode; unmatched rows leave when the watermark passes);
 * gate traffic: 1 h watermarks, windowed aggregates, full outer join of the
   two aggregates (chained stateful operators, append mode);
-* crane performance / anomaly summary: aggregations without watermark, which
-  only complete mode allows; every batch overwrites the table.
+* crane performance / anomaly summary: aggregations without watermark, in update
+  mode; every batch adds its changed rows, the table is each key's last row.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import flows, gold
-from .runner import (Replay, dropped_by_watermark, run_available_now, state_partitions,
-                     time_chunks, use_rocksdb_state, without_sentinels)
+from .runner import (Replay, dropped_by_watermark, latest, run_available_now, time_chunks,
+                     without_sentinels)
 
 FLOW_WATERMARK = "2 hours"
 TRAFFIC_WATERMARK = "1 hour"
@@ -29,24 +29,22 @@ def _replay(spark: SparkSession, label: str, tables: dict, build, *, bounds: lis
     """Stage every table chunk by chunk (in time order), run the query once per
     stage from one checkpoint, optionally flush with sentinels; return
     (result path reader, progress list, replay)."""
-    use_rocksdb_state(spark)
     rp = Replay(spark, label)
     streams = {name: rp.source(name, df.schema, ts) for name, (df, ts) in tables.items()}
     query = build(streams)
     chunks = {name: time_chunks(df, ts, bounds) for name, (df, ts) in tables.items()}
     out, ck = rp.path("out"), rp.path("checkpoint")
     progress = []
-    with state_partitions(spark):
-        for i in range(len(bounds) + 1):
-            for name in tables:
-                rp.stage(name, chunks[name][i])
-            progress += run_available_now(query, out, ck, mode=mode)
-        if flush:
-            rp.stage_sentinels()
-            progress += run_available_now(query, out, ck, mode=mode)
-            # The sentinel batch moves the watermark; the next run's no-data batch evicts.
-            progress += run_available_now(query, out, ck, mode=mode)
-    return spark.read.parquet(out), progress, rp
+    for i in range(len(bounds) + 1):
+        for name in tables:
+            rp.stage(name, chunks[name][i])
+        progress += run_available_now(query, out, ck, mode=mode)
+    if flush:
+        rp.stage_sentinels()
+        progress += run_available_now(query, out, ck, mode=mode)
+        # The sentinel batch moves the watermark; the next run's no-data batch evicts.
+        progress += run_available_now(query, out, ck, mode=mode)
+    return (out if mode == "update" else spark.read.parquet(out)), progress, rp
 
 
 def stream_export_flow(spark, gate_in: DataFrame, crane: DataFrame, bounds: list[str]) -> DataFrame:
@@ -85,17 +83,17 @@ def stream_gate_traffic(spark, gate_in: DataFrame, gate_out: DataFrame,
 
 
 def stream_crane_performance(spark, crane: DataFrame, bounds: list[str]) -> DataFrame:
-    df, _, _ = _replay(spark, "crane-performance", {"crane": (crane, "crane_timestamp")},
-                       lambda s: gold.crane_performance(s["crane"], processing_time=False),
-                       bounds=bounds, mode="complete", flush=False)
-    return df
+    out, _, _ = _replay(spark, "crane-performance", {"crane": (crane, "crane_timestamp")},
+                        lambda s: gold.crane_performance(s["crane"], processing_time=False),
+                        bounds=bounds, mode="update", flush=False)
+    return latest(spark, out, gold.PERFORMANCE_KEYS)
 
 
 def stream_anomaly_summary(spark, crane: DataFrame, bounds: list[str]) -> DataFrame:
-    df, _, _ = _replay(spark, "anomaly-summary", {"crane": (crane, "crane_timestamp")},
-                       lambda s: gold.anomaly_summary(s["crane"], processing_time=False),
-                       bounds=bounds, mode="complete", flush=False)
-    return df
+    out, _, _ = _replay(spark, "anomaly-summary", {"crane": (crane, "crane_timestamp")},
+                        lambda s: gold.anomaly_summary(s["crane"], processing_time=False),
+                        bounds=bounds, mode="update", flush=False)
+    return latest(spark, out, gold.ANOMALY_KEYS)
 
 
 def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
@@ -110,7 +108,6 @@ def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
     Spark's `numRowsDroppedByWatermark`, which counts rows reaching the state
     operator -- after partial aggregation -- so it is a lower bound on the
     dropped events."""
-    use_rocksdb_state(spark)
     rp = Replay(spark, "late-data")
     ts = "gate_in_timestamp"
     src = rp.source("gate_in", gate_in.schema, ts).withWatermark(ts, watermark)
@@ -120,12 +117,11 @@ def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
     before = F.col(ts) < F.to_timestamp(F.lit(mid))
     stages = [gate_in.where(before & ~late), gate_in.where(~before), gate_in.where(before & late)]
     progress = []
-    with state_partitions(spark):
-        for st in stages:
-            rp.stage("gate_in", st)
-            progress += run_available_now(q, out, ck)
-        rp.stage_sentinels()
-        progress += run_available_now(q, out, ck)
+    for st in stages:
+        rp.stage("gate_in", st)
         progress += run_available_now(q, out, ck)
+    rp.stage_sentinels()
+    progress += run_available_now(q, out, ck)
+    progress += run_available_now(q, out, ck)
     return without_sentinels(spark.read.parquet(out), "terminal_id"), \
         dropped_by_watermark(progress)
