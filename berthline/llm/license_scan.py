@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = "[\\x00-/:-`\\{-\\x7f]+"       # what words are split at, after lower-casing A-Z
 MAX_GRAMS = 60                          # k-grams of a template: they are bits of a long
@@ -171,7 +173,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
     picked = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"),
                          F.coalesce(text, F.lit("")).alias("text"))
     keys = ["doc_id", "text_hash"]
-    found = spans(votes(picked, keys, templates), keys, templates)
+    # written: phrases and merged spans both read the votes, the texts are cut up once
+    found = spans(written(votes(picked, keys, templates), "license-votes"), keys, templates)
     per_doc = found.groupBy(*keys).agg(
         F.count(F.when(F.col("phrase"), 1)).alias("n_base"),
         F.min(F.when(F.col("phrase"), F.col("first_word"))).cast("long").alias("first_word"),
