@@ -326,4 +326,4 @@ def store(docs: DataFrame, path: str | None = None, end_id: int = 2, folder: str
     back = look_up(read_all(placed, folder), folder, n_buckets)
     first = F.struct("at_shard", "at_offset") <= F.struct(F.col("shard").alias("at_shard"), F.col("offset").alias("at_offset"))
     return back.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset",
-                       F.coalesce(first, F.lit(False)).alias("indexed"))
+                       (F.col("at_shard").isNotNull() & first).alias("indexed"))

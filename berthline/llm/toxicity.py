@@ -108,7 +108,7 @@ class Classifier:
 
 
 def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[int, int]], swap_weight: np.ndarray,
-        n_features: int, penalty: float, sparse: float = 3e-3, steps: int = 400) -> tuple[np.ndarray, float]:
+        n_features: int, penalty: float, sparse: float = 3e-3, steps: int = 3000) -> tuple[np.ndarray, float]:
     """Balanced logistic loss + `sparse` * sum(w) + `penalty` * mean over swaps of the squared
     score change, w >= 0, by accelerated projected gradient steps.
 
@@ -139,6 +139,11 @@ def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[int, int]],
         gradient = np.bincount(feat, error[doc], n_features) + 2 * penalty * change.T @ (share * (change @ yw))
         nw = np.maximum(0.0, yw - (gradient + sparse) / (1.2 * bound))
         nb = yb - error.sum() / (1.2 * bound)
+        moved = max(np.abs(nw - w).max(initial=0.0), abs(nb - b))
+        if moved < 1e-5 and t > 10:
+            break
+        if (yw - nw) @ (nw - w) + (yb - nb) * (nb - b) > 0:     # past the lowest point: start the momentum anew
+            t = 1.0
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         yw, yb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
@@ -174,7 +179,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
     got = rows.mapInPandas(select, "doc_id long, label int, at array<int>, swaps array<string>").orderBy(
         "doc_id").toPandas()
     terms = Counter(t for s in got["swaps"] for t in s)
-    swaps = [([number[f] for f in word_features(t)], [number[f] for f in word_features(SWAP[t])]) for t in sorted(terms)]
+    # a swap changes the term's stems at any density
+    marks = ["", *(mark for _, mark in DENSITIES)]
+    parts = {t: [number[f + m] for f in word_features(t) for m in marks if f + m in number] for t in SWAP}
+    swaps = [(parts[t], parts[SWAP[t]]) for t in sorted(terms)]
     w, b = fit([np.asarray(r, int) for r in got["at"]], got["label"].to_numpy(float), swaps,
                np.array([terms[t] for t in sorted(terms)], float), len(names), penalty)
     return Classifier({f: float(w[i]) for f, i in number.items() if w[i] > 0}, float(b))

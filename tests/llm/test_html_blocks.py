@@ -53,7 +53,7 @@ def test_long_page():
 
 
 def test_spans():
-    assert H.kept_spans([0, 5, 50, 60, 3, 0, 4, 0, 90, 0], 3, 80) == [(1, 5), (8, 9)]
+    assert H.kept_spans([0, 5, 50, 60, 3, 0, 4, 0, 0, 90, 0], 3, 80) == [(1, 5), (9, 10)]
     assert H.kept_spans([], 3, 80) == []
 
 

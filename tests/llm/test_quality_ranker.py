@@ -6,7 +6,10 @@ from berthline.llm import queries
 from berthline.llm import quality_ranker as R
 from berthline.llm.common import table
 
-ALL = F.lit(True)
+
+
+def every():
+    return F.lit(True)
 
 
 def auc(score, label):
@@ -47,14 +50,14 @@ def test_one_label_or_none(spark):
     docs = odd(spark)
     for rows, want in (([(4, 1)], 1), ([(4, 0)], 0), ([], 0)):
         labels = spark.createDataFrame(rows, "doc_id long, quality int")
-        got = R.rank(docs, labels, ALL).collect()
+        got = R.rank(docs, labels, every()).collect()
         assert len(got) == len(ODD) and {r.predicted for r in got} == {want}
 
 
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(5, 1), (8, 0), (5, 1), (None, 1), (4, None), (99, 0)], "doc_id long, quality int")
-    got = R.rank(odd(spark), labels, ALL).collect()
+    got = R.rank(odd(spark), labels, every()).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in ODD)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
     assert len({r.score for r in got if r.doc_id in (1, 2, 3)}) == 1
-    assert R.rank(empty(spark), labels, ALL).collect() == []
+    assert R.rank(empty(spark), labels, every()).collect() == []

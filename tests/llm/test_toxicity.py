@@ -6,7 +6,10 @@ from berthline.llm import queries
 from berthline.llm import toxicity as T
 from berthline.llm.common import table
 
-ALL = F.lit(True)
+
+
+def every():
+    return F.lit(True)
 
 
 def test_held_out_accuracy(spark):
@@ -39,7 +42,7 @@ def test_penalty_takes_the_group_out_of_the_score(spark):
     said = "a {} neighbour came by with word1 word2"
     gap = {}
     for penalty in (0.0, 100.0):
-        score = T.train(docs, labels, ALL, penalty=penalty).scorer()
+        score = T.train(docs, labels, every(), penalty=penalty).scorer()
         gap[penalty] = score(said.format("muslim")) - score(said.format("christian"))
         assert score("these idiots word3") > score("these people word3") + 1
     assert gap[0.0] > 0.5 and abs(gap[100.0]) < 0.15 * gap[0.0]
@@ -60,13 +63,13 @@ def test_features():
 def test_labels_missing_or_one_sided(spark):
     docs = odd(spark)
     for rows in ([], [(4, 0)], [(4, 1)], [(None, 1), (5, None), (77, 1)]):
-        got = T.classify(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), ALL).collect()
+        got = T.classify(docs, spark.createDataFrame(rows, "doc_id long, toxic int"), every()).collect()
         assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in ODD)
         assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
 
 
 def test_odd_rows(spark):
     labels = spark.createDataFrame([(5, 1), (6, 1), (8, 0), (7, 0), (7, 0)], "doc_id long, toxic int")
-    got = T.classify(odd(spark), labels, ALL).collect()
+    got = T.classify(odd(spark), labels, every()).collect()
     assert len(got) == len(ODD) and len({r.score for r in got if r.doc_id in (1, 2, 3)}) == 1
-    assert T.classify(empty(spark), labels, ALL).collect() == []
+    assert T.classify(empty(spark), labels, every()).collect() == []
