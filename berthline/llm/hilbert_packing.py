@@ -22,6 +22,7 @@ from . import bpe
 from .common import shared_path, workers_import_package
 
 DIMS, BITS = 4, 15          # 60-bit keys
+_PASSED_ON = 4 << 20        # bytes of ids a task holds before it passes them on
 _BUCKETS = 1024             # of the hashed document vector
 
 
@@ -70,15 +71,18 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
         enc, projection = bpe.encoder(path), _projection()
         end = np.array([end_id], enc.dtype)
         for batch in batches:
-            raw, points = [], []
-            for ids in enc.batch(batch.column("text")):
+            raw, points, size, at = [], [], 0, 0
+            for i, ids in enumerate(enc.batch(batch.column("text"))):
                 ids = np.append(ids, end)
                 raw.append(ids.tobytes())
                 points.append(coordinates(ids, projection))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"), "width": pa.array([enc.width] * len(raw), pa.int32()),
-                "ids": pa.array(raw, pa.binary()),
-                "curve": hilbert_key(np.array(points, np.int64).reshape(-1, DIMS))})
+                size += len(raw[-1])
+                if size > _PASSED_ON or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": batch.column("doc_id").slice(at, len(raw)),
+                        "width": pa.array([enc.width] * len(raw), pa.int32()), "ids": pa.array(raw, pa.binary()),
+                        "curve": hilbert_key(np.array(points, np.int64))})
+                    raw, points, size, at = [], [], 0, i + 1
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").alias("text")).mapInArrow(
         encode, "doc_id long, width int, ids binary, curve long")
