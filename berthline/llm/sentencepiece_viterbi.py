@@ -21,7 +21,7 @@ from .common import workers_import_package
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0          # below the lowest piece score, for a character without a piece
-_REMEMBERED = 400_000           # words a worker remembers before it starts afresh
+_REMEMBERED = 250_000           # words a worker remembers before it starts afresh
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -154,6 +154,13 @@ def pieces(path: str) -> Pieces:
     return _MODELS[path]
 
 
+def _parts(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches: a task holds the ids of few texts at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, text, ids, n_bytes (byte pieces among them), score.
 
@@ -164,7 +171,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = [model.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text"), pa.array(ids, pa.list_(pa.int32())),
@@ -182,7 +189,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = batch.column("ids")
             texts = [model.decode(i.values.to_numpy(zero_copy_only=False)) if i.is_valid else None for i in ids]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())],
