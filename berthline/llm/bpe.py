@@ -20,8 +20,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_REMEMBERED = 300_000       # words a worker remembers before it starts afresh
-_GROUP = 4 << 20            # bytes of texts cut and numbered together
+_REMEMBERED = 700_000       # words a worker remembers before it starts afresh
+_GROUP = 8 << 20            # bytes of texts cut and numbered together
 _LAID_OUT = 1 << 20         # ids laid out at a time, about
 _SLICE = 1 << 20            # characters of a longer text that are cut as texts of their own
 _SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
