@@ -45,7 +45,9 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Ids of texts as little-endian integers of `width` bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = _REMEMBERED, group: int = 0):
+        """`remembered` words and `group` bytes of texts at a time: less memory for more time."""
+        self.remembered, self.group = remembered, group or _GROUP
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -105,12 +107,12 @@ class Encoder:
                 yield np.frombuffer(self._whole(texts[a].as_py()), self.dtype)
                 a += 1
                 continue
-            if sizes[a] > _GROUP:
+            if sizes[a] > self.group:
                 yield np.concatenate(list(self._slices(texts[a].as_py())))
                 a += 1
                 continue
             b, total = a, 0
-            while b < len(texts) and not whole[b] and total + sizes[b] <= _GROUP:
+            while b < len(texts) and not whole[b] and total + sizes[b] <= self.group:
                 total += sizes[b]
                 b += 1
             yield from self._group(texts.slice(a, b - a))
@@ -129,7 +131,7 @@ class Encoder:
             at = end
 
     def _group(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        if len(self._spaced) + len(self._opening) > _REMEMBERED:
+        if len(self._spaced) + len(self._opening) > self.remembered:
             self._spaced.clear()
             self._opening.clear()
         lines = pc.split_pattern(texts, "\n")
@@ -177,11 +179,12 @@ class Encoder:
             i = j
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, remembered: int = _REMEMBERED, group: int = 0) -> Encoder:
+    """One encoder a worker process, vocabulary and memory setting."""
+    key = (path, remembered, group)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(path, remembered, group)
+    return _ENCODERS[key]

@@ -65,10 +65,11 @@ def coordinates(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
     return np.minimum((0.5 + 0.5 * np.tanh(flat)) * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str,
+            memory: dict | None = None) -> DataFrame:
     """(doc_id, curve, ids): ids with the end id as raw integers, and the curve key."""
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, projection = bpe.encoder(path), _projection()
+        enc, projection = bpe.encoder(path, **(memory or {})), _projection()
         end = np.array([end_id], enc.dtype)
         for batch in batches:
             raw, points, size, at = [], [], 0, 0
@@ -133,18 +134,19 @@ PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, capacity: int = 2048,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", memory: dict | None = None) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id of every document lies in exactly one piece.  Sequences hold
     `capacity` ids, but for the last ones of a range, which hold smaller powers
     of two; their ids are unique, not consecutive.  A null or empty text is its
     end id alone; null and repeated ids keep their rows.  Other columns are not
-    read.  An empty table gives an empty table."""
+    read.  An empty table gives an empty table.  `memory` sets what an encoding
+    worker holds (see `bpe.Encoder`); the result is the same."""
     spark = docs.sparkSession
     workers_import_package(spark)
     path = path or bpe.default_path()
-    rows = encoded(docs, path, end_id, id_col, text_col)
+    rows = encoded(docs, path, end_id, id_col, text_col, memory)
     folder = shared_path(spark, "packing-ids")
     rows.write.option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(rows.schema).parquet(folder)

@@ -44,8 +44,9 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed along the curve into sequences of at most 2048 ids."""
-    return hilbert_packing.pack(docs, end_id=1, capacity=2048)
+    """What is left, packed along the curve into sequences of at most 2048 ids.  Workers that ran
+    the stages before hold less, beside an executor heap that has grown."""
+    return hilbert_packing.pack(docs, end_id=1, capacity=2048, memory={"remembered": 300_000, "group": 4 << 20})
 
 
 STAGES = [

@@ -27,18 +27,16 @@ def test_pieces_make_the_library_s_ids(text):
 
 @pytest.mark.parametrize("group, laid_out", [(16 << 20, 4 << 20), (60, 10), (1, 1)])
 def test_batches_make_the_library_s_ids(monkeypatch, group, laid_out):
-    monkeypatch.setattr(bpe, "_GROUP", group)
     monkeypatch.setattr(bpe, "_LAID_OUT", laid_out)
     texts = [r[1] for r in ODD] + ["a\nb", "", "\n", "x \ny", " lead", "tail ", "Word, word.\nNext\n", "a  b", "d"]
-    e = bpe.encoder(bpe.default_path())
+    e = bpe.encoder(bpe.default_path(), group=group)
     got = [x.tolist() for x in e.batch(pa.array(texts, pa.string()))]
     assert got == [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_long_texts_are_cut_without_a_trace(monkeypatch):
     monkeypatch.setattr(bpe, "_SLICE", 5)
-    monkeypatch.setattr(bpe, "_GROUP", 4)
-    e = bpe.encoder(bpe.default_path())
+    e = bpe.encoder(bpe.default_path(), group=4)
     for text in ["one two three four five six", "a\nb c.\nd e", "longwordwithoutanyspace and so on"]:
         assert e.ids(text).tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
