@@ -23,13 +23,15 @@ SYMBOLS = "[#*$%&|<>]"
 
 # Statistic -> smallest standard deviation it is judged by.  A group whose
 # documents agree in a statistic (all copies, no symbols at all) would
-# otherwise reject any document that differs in the least.
+# otherwise reject any document that differs in the least.  A floor must stay
+# well below reach / sqrt(cutoff), or its statistic can reject nothing: the
+# repeated lines reach 1, the repeated words sqrt(0.5), where the base rule ends.
 FLOORS = {
-    "ln_words": 1.0,            # ln(1 + words)
+    "ln_words": 0.5,            # ln(1 + words)
     "ln_word_length": 0.1,      # ln of the mean word length
     "root_symbols": 0.03,       # square root of symbols per word character
-    "root_dup_lines": 0.25,     # square root of the share of repeated lines
-    "root_repeats": 0.15,       # square root of the share of repeated words
+    "root_dup_lines": 0.15,     # square root of the share of repeated lines
+    "root_repeats": 0.105,      # square root of the share of repeated words
 }
 STATS = list(FLOORS)
 P = len(STATS)
@@ -44,10 +46,15 @@ class Settings:
     share: float = 0.75          # of a group in the concentrated half
     steps: int = 4               # concentration steps from each start
     reweight: float = 0.975      # chi-square level of the final reweighting
-    cutoff: float = 45.0         # squared distance; chi-square tail about 1.4e-8
+    level: float = 1 - 1e-6      # chi-square level of the verdict
     min_group: int = 50          # smaller groups pool by language, then together
     bins_per_e: int = 20         # distance bins per factor e
 
+    @property
+    def cutoff(self) -> float:
+        """Squared distance beyond which a document goes (35.9)."""
+        return chi2_quantile(self.level, P)
+
 
 # ---------------------------------------------------------------- base counts
 def _word_array(text: Column) -> Column:

@@ -113,5 +113,51 @@ def test_copies_and_constant_groups(spark):
     assert all(got[i] for i in range(90)) and not any(got[100 + i] for i in range(10)) and got[200]
 
 
+def without_repeated_triples(letters):
+    out, seen = [letters[0]] * 2, set()
+    while True:
+        after = [c for c in reversed(letters) if (*out[-2:], c) not in seen]
+        if not after:
+            return out
+        seen.add((*out[-2:], after[0]))
+        out.append(after[0])
+
+
+@pytest.mark.parametrize("name, outlier", [
+    ("ln_words", " ".join(f"v{i:04d}" for i in range(8000))),
+    ("ln_word_length", " ".join(f"v{i:04d}" * 4 for i in range(120))),
+    ("root_symbols", " ".join(f"#{i:04d}" for i in range(120))),
+    # five lines in an order without a repeated window of three
+    ("root_dup_lines", "\n".join(without_repeated_triples("abcde"))),
+    ("root_repeats", " ".join([f"v{i:04d}" for i in range(61)] + [f"u{i:04d}" for i in range(29)] * 2)),
+])
+def test_each_statistic_alone_rejects(spark, name, outlier):
+    """The bound of any estimate: a group that agrees in all statistics, so only floors count."""
+    plain = [" ".join(f"{chr(97 + i % 26)}{j:04d}" for j in range(120 + i % 3)) for i in range(90)]
+    if name == "root_dup_lines":
+        plain = ["\n".join(chr(200 + j) for j in range(124 + i % 3)) for i in range(90)]
+    rows = [(i, t, "en", "a") for i, t in enumerate([*plain, outlier])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in Q.judge(docs).collect()}
+    assert all(got[i].kept for i in range(90))
+    assert not got[90].base_failed and not got[90].kept
+    # and it is this statistic that rejects: at the floor it reaches beyond the cutoff by itself
+    x = dict(zip(Q.STATS, Q.base_counts(docs).where("doc_id = 90").select(*Q._statistics()).first()))
+    y = dict(zip(Q.STATS, Q.base_counts(docs).where("doc_id = 1").select(*Q._statistics()).first()))
+    far = {s: ((x[s] - y[s]) / Q.FLOORS[s]) ** 2 for s in Q.STATS}
+    assert far[name] > Q.Settings().cutoff > 3 * sum(far[s] for s in Q.STATS if s != name)
+
+
+def test_repeated_lines_and_words_reject_together(spark):
+    """Every line repeated and 45 % of the words: nothing else in the source repeats anything."""
+    plain = ["\n".join(f"a{j} b{j} c{j} d{j}" for j in range(30 + i % 5)) for i in range(90)]
+    half = [f"a{j} b{j}" for j in range(33)]
+    outlier = "\n".join(half * 2) + "\n" + " ".join(f"p{j}" for j in range(20))
+    rows = [(i, t, "en", "a") for i, t in enumerate([*plain, outlier])]
+    got = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i] for i in range(90)) and not got[90]
+
+
 def test_empty_table(spark):
     assert Q.judge(empty(spark)).collect() == []
