@@ -26,18 +26,28 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small "
     "span strike strong sub sup time tt u var wbr nobr img picture source br".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Elements that hold no text of the article wherever they stand.
-_DROPPED = frozenset(
-    "head title script style noscript template svg math iframe object canvas audio video nav aside footer form "
-    "button select option textarea fieldset dialog menu map".split())
-# Words of a class or id that name such parts.  Headers inside an article hold its title.
+# Elements that hold no text of the page wherever they stand.
+_TEXTLESS = frozenset(
+    "title script style noscript template svg math iframe object canvas audio video select option textarea".split())
+# Elements that hold no text of the article, unless they are wrapped round it.
+_DROPPED = frozenset("head nav aside footer form button fieldset dialog menu map".split())
+# Words that name such parts: a class or id does if all its words stand here or in _NEUTRAL,
+# and one of them here.  Headers inside an article hold its title.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner cookie cookies "
     "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup "
     "sidebar sidebars aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer comment "
     "comments commentlist disqus replies respond share sharing social related recommended recommendations toolbar "
     "pagination pager login search masthead paywall".split())
+_REPLIES = frozenset("comment comments commentlist disqus replies respond".split())
+_NEUTRAL = frozenset(
+    "site page main post posts article articles entry entries item items list box block body area bar section container "
+    "wrapper wrap inner outer top bottom left right primary secondary global header content link links button buttons "
+    "icon icons form field thread group text title 1 2 3".split())
 _HEADER_MARKS = frozenset(("header", "topbar"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Ids of other elements are anchors, which take their words from the text.
+_NAMED_BY_ID = frozenset("div section ul ol dl table header details center".split())
 _ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"))
 _CLOSED_BY = {          # end tags that HTML lets an author leave out
     "p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -48,16 +58,28 @@ _CLOSED_BY = {          # end tags that HTML lets an author leave out
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _named(value: str, marks: frozenset) -> bool:
+    """Whether a whole class or id of `value` names a part by `marks`."""
+    for token in value.lower().split():
+        words = set(filter(None, _SPLIT.split(token)))
+        if words & marks and words <= marks | _MARKS | _NEUTRAL:
+            return True
+    return False
+
+
 def _is_dropped(tag: str, attrs: list, in_article: bool) -> bool:
     if tag in _DROPPED:
         return True
     if tag == "header" and not in_article:
         return True
     for name, value in attrs:
-        if name in ("class", "id") and value and tag not in ("html", "body", "article", "main") or \
-                tag == "article" and name in ("class", "id") and value and in_article:
-            words = set(_SPLIT.split(value.lower()))
-            if words & _MARKS or (not in_article and words & _HEADER_MARKS):
+        if name in ("class", "id") and value and tag not in ("html", "body", "main"):
+            if name == "id" and (tag not in _NAMED_BY_ID or (
+                    tag == "section" and in_article and not _named(value, _REPLIES))):
+                continue
+            if tag in _HEADINGS and in_article:
+                continue
+            if _named(value, _MARKS) or (not in_article and _named(value, _HEADER_MARKS)):
                 return True
         elif name == "role" and value and value.lower() in _ROLES:
             return True
@@ -66,24 +88,32 @@ def _is_dropped(tag: str, attrs: list, in_article: bool) -> bool:
     return False
 
 
+def _are_replies(attrs: list) -> bool:
+    return any(name in ("class", "id") and value and _named(value, _REPLIES) for name, value in attrs)
+
+
 class _Lines(HTMLParser):
-    """Collects lines as [text, link characters, in article]; a dropped part leaves a gap (None)."""
+    """Collects lines as (text, link characters, in article); a dropped part leaves a gap (None).
+
+    Which parts are dropped is known when the page has been read: a part that is wrapped
+    round the article, or round most of the running text, stays."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list = []
-        self.stack: list[tuple[str, bool, bool]] = []     # tag, dropped here or above, article
+        self.lines: list = []           # text (None: a gap), link characters, part, article
+        self.parts_seen: list[list] = []    # part above (-1: none), replies
+        self.articles: list[list] = []      # article above (-1: none), part it stands in
+        self.stack: list[tuple[str, bool, int, int]] = []     # tag, textless here or above, part, article
         self.parts: list[str] = []
         self.links = 0
-        self.articles = False
 
-    def _state(self) -> tuple[bool, bool]:
-        return self.stack[-1][1:] if self.stack else (False, False)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.stack[-1][1:] if self.stack else (False, -1, -1)
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.links, self._state()[1]))
+            self.lines.append((text, self.links, *self._state()[1:]))
         self.parts, self.links = [], 0
 
     def _pop(self, depth: int) -> None:
@@ -102,17 +132,23 @@ class _Lines(HTMLParser):
                 break
             if above not in _INLINE and above != "p":
                 break
-        dropped, article = self._state()
+        textless, part, article = self._state()
         if tag not in _INLINE:
             self._end_line()
-        if not dropped and _is_dropped(tag, attrs, article):
+        if tag in _TEXTLESS:
             self._end_line()
-            self.lines.append(None)
-            dropped = True
-        if tag in ("article", "main") and not dropped:
-            article = self.articles = True
+            self.lines.append((None, 0, part, article))
+            textless = True
+        if not textless and _is_dropped(tag, attrs, article >= 0):
+            self._end_line()
+            self.parts_seen.append([part, _are_replies(attrs)])
+            part = len(self.parts_seen) - 1
+            self.lines.append((None, 0, part, article))
+        if tag in ("article", "main") and not textless:
+            self.articles.append([article, part])
+            article = len(self.articles) - 1
         if tag not in _VOID:
-            self.stack.append((tag, dropped, article))
+            self.stack.append((tag, textless, part, article))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,15 +170,60 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        dropped, _ = self._state()
-        if not dropped:
+        if not self._state()[0]:
             self.parts.append(data)
             if any(tag == "a" for tag, *_ in self.stack):
                 self.links += len(data.strip())
 
+    def _stays(self) -> list[bool]:
+        """Of every part that could be dropped, whether it stays."""
+        above = [up for up, _ in self.parts_seen]
+        running, own = [0] * len(above), [0] * len(self.articles)
+        whole = 0
+        for text, links, part, article in self.lines:
+            if text:
+                n = max(0, len(text) - links)
+                whole += n
+                if part >= 0:
+                    running[part] += n
+                if article >= 0 and part == self.articles[article][1]:
+                    own[article] += n               # text of dropped parts is none of the article's
+        for part in range(len(above) - 1, -1, -1):  # a part comes after the one above it
+            if above[part] >= 0:
+                running[above[part]] += running[part]
+        for article in range(len(own) - 1, -1, -1):
+            if self.articles[article][0] >= 0:
+                own[self.articles[article][0]] += own[article]
+        outermost = [i for i, (up, _) in enumerate(self.articles) if up < 0 and own[i]]
+        free = [i for i in outermost if self.articles[i][1] < 0]
+        stays = [False] * len(above)
+        if not free and outermost:      # the article is wrapped in parts: they stay
+            part = self.articles[max(outermost, key=lambda i: (own[i], -i))][1]
+            while part >= 0:
+                stays[part] = True
+                part = above[part]
+        for part, (up, replies) in enumerate(self.parts_seen):
+            # beside an article of the page it takes more to be the main text; replies never are
+            if not (replies and running[part] < whole) and running[part] * (4 if free else 2) > whole * (3 if free else 1):
+                stays[part] = True
+        return stays
+
     def done(self) -> list:
         self._end_line()
-        return self.lines
+        stays = self._stays()
+        gone = []
+        for part, (up, _) in enumerate(self.parts_seen):
+            gone.append(not stays[part] or (up >= 0 and gone[up]))
+        lines = []
+        for text, links, part, article in self.lines:
+            if part >= 0 and gone[part]:
+                if lines and lines[-1] is not None:
+                    lines.append(None)
+            elif text:
+                lines.append((text, links, article >= 0))
+            elif not (part >= 0 and stays[part]):
+                lines.append(None)
+        return lines
 
 
 def kept_spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
@@ -171,7 +252,7 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     parser.feed(html)
     parser.close()
     lines = parser.done()
-    if parser.articles and any(x and x[2] for x in lines):
+    if any(x and x[2] for x in lines):
         weights = [len(x[0]) if x and x[2] else 0 for x in lines]
         surge = 1
     else:                       # lines that are mostly links are menus

@@ -45,6 +45,36 @@ def test_cut_off_and_wrongly_nested():
     assert H.main_text("<main><p>a</p></main>") == "a"
 
 
+TEXT = "".join(f"<p>{'running text of the page ' * 5}</p>" for _ in range(4))
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "sidebar", "social", "page-with-comments"])
+def test_wrappers_round_the_article_stay(name):
+    page = f'<body><div class="{name}"><article>{TEXT}</article><div class="sidebar">side</div></div></body>'
+    assert H.main_text(page).count("running text") == 20 and "side" not in H.main_text(page)
+
+
+@pytest.mark.parametrize("tag", ["form", "aside", 'div id="search"', "div hidden", "header", "nav"])
+def test_wrappers_round_most_of_the_text_stay(tag):
+    for inner in (TEXT, f"<article>{TEXT}</article>"):
+        page = f"<body><div class=ad>Buy now</div><{tag}>{inner}</{tag.split()[0]}><footer>us</footer></body>"
+        assert H.main_text(page).count("running text") == 20
+        assert "Buy" not in H.main_text(page) and "us" not in H.main_text(page).split()
+
+
+def test_headings_and_sections_named_by_such_words_stay():
+    inner = ('<h2 id="related-work">Related</h2><p>one</p><section id="social-impact"><h2 id="search">Search</h2><p>two</p>'
+             '</section><section id="search"><p id="menu">three</p></section><p><a id="share">four</a></p>')
+    assert H.main_text(f"<article>{inner}</article>").split("\n") == ["Related", "one", "Search", "two", "three", "four"]
+
+
+def test_names_of_parts_are_still_dropped():
+    for name in ("related-posts", "share_buttons", "cookie-notice", "sidebar widget", "post-comments"):
+        assert H.main_text(f'<article><p>one</p><div class="{name}">no</div><p>two</p></article>') == "one\ntwo"
+    replies = f'<div id="comments"><article class="comment">{TEXT}</article></div>'
+    assert H.main_text(f"<article><p>short</p></article>{replies}") == "short"
+
+
 def test_long_page():
     page = "<article>" + "<p>some words</p>" * 20000 + "</article>"
     assert H.main_text(page).count("\n") == 19999
