@@ -4,8 +4,9 @@ Markup is stripped to lines, one a block element.  Text lengths are summed over
 a sliding window of lines; the sum surges where running text begins and dives
 where it ends, and the text between is kept.  Lines of menus, forms, adverts,
 comments and the like weigh nothing: they are gaps, at which the sum dives.
-Where the page marks its article, only lines of the article have weight and
-any text of it makes a surge.
+Where the page marks its article and most running text stands in it, lines of
+the article have weight added, enough for a surge, and beside it only long
+running text surges.  Otherwise the marks count for nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import workers_import_package
 
 WINDOW = 3              # lines of a block sum
-SURGE = 80              # characters of a block sum at which text begins on unmarked pages
+SURGE = 80              # characters of a block sum at which text begins
+BESIDE = 4              # times as many beside a marked article; the weight added to its lines
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small "
@@ -251,13 +253,22 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = parser.done()
-    if any(x and x[2] for x in lines):
-        weights = [len(x[0]) if x and x[2] else 0 for x in lines]
-        surge = 1
-    else:                       # lines that are mostly links are menus
-        weights = [len(x[0]) if x and 2 * x[1] <= len(x[0]) else 0 for x in lines]
-    return "\n".join(lines[i][0] for a, b in kept_spans(weights, window, surge) for i in range(a, b))
+    lines, inside = [], None    # no block sum reaches over where the article begins or ends
+    for x in parser.done():
+        if x:
+            if inside not in (None, x[2]):
+                lines += [None] * window
+            inside = x[2]
+        lines.append(x)
+    # lines that are mostly links are menus, but for the article's
+    plain = [len(x[0]) if x and 2 * x[1] <= len(x[0]) else 0 for x in lines]
+    running = [i for a, b in kept_spans(plain, window, surge) for i in range(a, b)]
+    marked = sum(len(x[0]) for x in lines if x and x[2])
+    if marked and marked >= sum(plain[i] for i in running if not lines[i][2]):
+        added = BESIDE * surge
+        weights = [len(x[0]) + added if x and x[2] else n for x, n in zip(lines, plain)]
+        running = [i for a, b in kept_spans(weights, window, added) for i in range(a, b)]
+    return "\n".join(lines[i][0] for i in running)
 
 
 def text_column(html: Column) -> Column:

@@ -75,6 +75,21 @@ def test_names_of_parts_are_still_dropped():
     assert H.main_text(f"<article><p>short</p></article>{replies}") == "short"
 
 
+def test_text_beside_a_teaser_article():
+    body = TEXT.replace("<p>", "<div>").replace("</p>", "</div>")
+    for name in ("card", "comment", "related"):
+        page = f'<body><article class="{name}"><p>A teaser.</p></article><nav>x</nav>{body}</body>'
+        assert H.main_text(page).count("running text") == 20 and "teaser" not in H.main_text(page)
+
+
+def test_block_sums_choose_beside_an_article():
+    page = (f"<body><div>Share this page with others.</div><article><h1>Title</h1>{TEXT}{TEXT}</article><div>Menu</div>"
+            f"<nav>x</nav>{TEXT.replace('running', 'further')}<nav>y</nav><div>{'side ' * 20}</div></body>")
+    got = H.main_text(page)
+    assert got.startswith("Title\n") and got.count("running text") == 40 and got.count("further text") == 20
+    assert not any(x in got for x in ("Share", "Menu", "side"))
+
+
 def test_long_page():
     page = "<article>" + "<p>some words</p>" * 20000 + "</article>"
     assert H.main_text(page).count("\n") == 19999
