@@ -4,23 +4,25 @@ A document has a latent worth w.x; a preferred document beats another with
 probability sigmoid(w.(x - y)).  Preference pairs come from a bounded sample of
 labelled documents (label 1 over label 0); w minimises the logistic loss on
 their feature differences.  Documents are accepted above a quantile of the
-scores: the share of low-quality labels.
+scores of all labelled documents: the share of low-quality labels.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import workers_import_package
-from .labelled import labelled_sample, sigmoid
+from .common import workers_import_package, written
+from .labelled import labelled_rows, labelled_sample, sigmoid
 
 MAX_ROWS = 20_000           # labelled documents the ranker is fitted on, at most
 MAX_PAIRS = 100_000         # preference pairs drawn from them
+BINS = 4096                 # counts a pass of the distributed quantile brings to the driver
 _BLOCK = 1 << 20            # bytes of a very long text counted at a time
 
 _CLASSES = {                # byte classes whose shares are features
@@ -91,9 +93,28 @@ def quantile_threshold(worth: np.ndarray, weight: np.ndarray, share: float) -> f
     return float((worth[order[at - 1]] + worth[order[at]]) / 2)
 
 
+def distributed_threshold(worths: DataFrame, share: float) -> float:
+    """`quantile_threshold` of the column `worth`, each row once, exactly: counts of BINS
+    equal bins a pass, then of the bin that holds the wanted rank, until it is one value."""
+    low, high, n = worths.agg(F.min("worth"), F.max("worth"), F.count("worth")).first()
+    rank, before = min(max(math.ceil((share - 1e-9) * n), 1), max(n - 1, 1)), 0
+    worth = F.col("worth")
+    while low < high:
+        at = F.least(F.floor((worth - low) / (high - low) * BINS), F.lit(BINS - 1))
+        for b in worths.where((worth >= low) & (worth <= high)).groupBy(at.alias("bin")).agg(
+                F.count("*").alias("n"), F.min(worth).alias("low"), F.max(worth).alias("high")).orderBy("bin").collect():
+            if before + b["n"] >= rank:
+                low, high = b["low"], b["high"]
+                break
+            before += b["n"]
+    upto, after = worths.agg(F.count(F.when(worth <= low, 1)), F.min(F.when(worth > low, worth))).first()
+    return float((low + (low if upto > rank or after is None else after)) / 2)
+
+
 def fit(x: np.ndarray, label: np.ndarray, counts: dict[int, int], max_pairs: int = MAX_PAIRS) -> Ranker:
     """Fit on sampled rows; `counts` are the label counts over all labelled rows, from
-    which the quantile and the rows' weights follow.  Without both labels
+    which the quantile and the rows' weights follow.  The threshold is the sample's:
+    `train` sets it over all labelled documents.  Without both labels
     every document scores the same: 1 if only label 1 was seen, else 0."""
     zeros = np.zeros(x.shape[1])
     if not (label == 0).any() or not (label == 1).any():
@@ -121,7 +142,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "q
     rows, counts = labelled_sample(docs, labels, label_col, learn, max_rows, id_col, text_col)
     got = rows.select("doc_id", "label", featurise("text").alias("x")).orderBy("doc_id").toPandas()
     x = np.array(got["x"].tolist(), float).reshape(-1, len(FEATURES))
-    return fit(x, got["label"].to_numpy(int), counts)
+    ranker = fit(x, got["label"].to_numpy(int), counts)
+    if not ranker.weights.any():        # a label is missing: the threshold is a constant
+        return ranker
+
+    @F.pandas_udf("double")
+    def worth(texts: pd.Series) -> pd.Series:
+        return pd.Series(ranker.worth(np.array([features(t) for t in texts], float).reshape(-1, len(FEATURES))))
+    # sampling is for the fit alone: the threshold is taken over all labelled documents
+    worths = written(labelled_rows(docs, labels, label_col, learn, id_col, text_col).select(
+        worth("text").alias("worth")), "ranker-worths")
+    return replace(ranker, threshold=distributed_threshold(worths, counts[0] / (counts[0] + counts[1])))
 
 
 def score_column(ranker: Ranker, text: Column) -> Column:

@@ -46,6 +46,27 @@ def test_pairwise_fit_orders_and_thresholds():
     assert abs(again.threshold - ranker.threshold) < 0.5 * np.std(ranker.worth(x))
 
 
+def test_threshold_covers_all_labelled_documents(spark):
+    """However few rows the fit may use, the quantile is that of all labelled documents."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    ranker = R.train(docs, labels, every(), max_rows=20)
+    rows = docs.join(labels, "doc_id").select("text", "quality").collect()
+    worth = ranker.worth(np.array([R.features(r.text) for r in rows]))
+    share = sum(r.quality == 0 for r in rows) / len(rows)
+    assert len(rows) > 20
+    assert ranker.threshold == R.quantile_threshold(worth, np.ones(len(rows)), share)
+    got = R.rank(docs.join(labels, "doc_id", "left_semi"), labels, every(), max_rows=20).collect()
+    assert sum(r.predicted == 0 for r in got) == sum(r.quality == 0 for r in rows)
+
+
+def test_distributed_threshold(spark):
+    rng = np.random.default_rng(3)
+    for worth in (rng.normal(size=500), np.r_[np.zeros(300), rng.normal(size=40) * 1e-9, 1e6], np.zeros(9), np.array([1., 2.])):
+        df = spark.createDataFrame([(float(x),) for x in worth], "worth double")
+        for share in (0.0, 0.3, 0.5, 1.0):
+            assert R.distributed_threshold(df, share) == R.quantile_threshold(worth, np.ones(len(worth)), share)
+
+
 def test_one_label_or_none(spark):
     docs = odd(spark)
     for rows, want in (([(4, 1)], 1), ([(4, 0)], 0), ([], 0)):
