@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, hnsw, html_blocks, license_scan, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
+from . import hilbert_packing, hnsw, html_blocks, license_scan, pareto_mix, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op11_pareto_mix")
+def op11_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words, sources weighted 5, 2, 1 in turn."""
+    found = pareto_mix.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), total_percent=150, most=2)
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE_SQL["op11_pareto_mix"] = pareto_mix.oracle_sql()
