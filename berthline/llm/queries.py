@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert_packing, hnsw, html_blocks, license_scan, pareto_mix, quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity
+from . import (hilbert_packing, hnsw, html_blocks, importance_resampling, lanczos_whitening, license_scan, pareto_mix,
+               quality_ranker, quality_rules, sentencepiece_viterbi, simhash_ball, token_store, toxicity)
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +113,17 @@ def op11_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op11_pareto_mix"] = pareto_mix.oracle_sql()
+
+
+@query("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents, drawn by how much they look like the benchmark's texts."""
+    found = importance_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                           percent=25, min_words=20, seed=7)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_lanczos_whitening")
+def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings along their 16 leading components, scaled to unit variance."""
+    return lanczos_whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
