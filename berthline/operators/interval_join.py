@@ -6,8 +6,9 @@ Plain Spark plans this as a hash/sort-merge join on `k` with the range as a
 residual, so every row of one key meets every row of the same key on the other
 side: a container that sees millions of events becomes one quadratic task.
 
-Here the time axis is cut into buckets of `bucket_seconds` (an eighth of the
-interval, an hour at least).  The preserved (left) side keeps exactly ONE bucket,
+Here the time axis is cut into buckets of `bucket_seconds`: in batch as wide as
+the interval, so the other side is copied twice; on streams, where hot keys
+cannot be counted ahead, an eighth of it (an hour at least).  The preserved (left) side keeps exactly ONE bucket,
 floor(left_ts / w); the other side is copied into every bucket b with
 floor((right_ts - upper) / w) <= b <= floor((right_ts - lower) / w), i.e. each
 bucket a matching left time can fall in.  A matching pair therefore meets in
@@ -36,7 +37,7 @@ the join (stateless) and unioned back with NULL right columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
@@ -51,9 +52,11 @@ def _hot(left: DataFrame, keys: list[str], bucket: Column, matchable: Column) ->
     Counts are combined before the shuffle; at most 1 / HOT_SHARE rows reach the driver."""
     counts = left.where(matchable).groupBy(*[F.col(k) for k in keys], bucket.alias("_ij_bucket")).agg(
         F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    limit = max(total * HOT_SHARE, HOT_LEAST)
-    rows = counts.where(F.col("n") > limit).collect()
+    # one job: the total is observed while the largest groups are taken
+    seen = Observation()
+    largest = counts.observe(seen, F.sum("n").alias("total")).orderBy(F.desc("n")).limit(int(1 / HOT_SHARE)).collect()
+    limit = max((seen.get["total"] or 0) * HOT_SHARE, HOT_LEAST)
+    rows = [r for r in largest if r["n"] > limit]
     if not rows:
         return None
     schema = counts.select(*keys, "_ij_bucket").schema.add("_ij_salts", "integer")
@@ -77,7 +80,8 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
         raise ValueError("interval_join supports how='left' or 'inner'")
     if upper_seconds < lower_seconds:
         raise ValueError("upper bound below lower bound")
-    width = bucket_seconds or max((upper_seconds - lower_seconds) // 8, 3600)
+    streaming = left.isStreaming or right.isStreaming
+    width = bucket_seconds or max((upper_seconds - lower_seconds) // (8 if streaming else 1), 3600)
     w_us = width * 1_000_000
     lo_us, hi_us = lower_seconds * 1_000_000, upper_seconds * 1_000_000
     if right_filter is not None:
@@ -92,7 +96,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     r = right.where(rt.isNotNull() & F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys) if keys else "TRUE")) \
         .select("*", F.explode(F.sequence(time_bucket(right_ts, w_us, hi_us),
                                           time_bucket(right_ts, w_us, lo_us))).alias("_ij_bucket"))
-    hot = None if left.isStreaming or right.isStreaming else _hot(left, keys, time_bucket(left_ts, w_us), ~unmatched)
+    hot = None if streaming else _hot(left, keys, time_bucket(left_ts, w_us), ~unmatched)
     n_salts = F.lit(salts)
     if hot is not None:
         hot = F.broadcast(hot)          # at most 1 / HOT_SHARE rows
