@@ -3,7 +3,7 @@
     Kafka topics       --bronze_streams-->  <root>/<kind>_events_bronze
     bronze tables      --silver_streams-->  <root>/<kind>_events_silver
     silver tables      --gold_streams-->    <root>/gold_* tables
-    gold tables        --publish_gold-->    <root>/published/gold_* (clustered), daily view
+    gold tables        --publish_gold-->    <root>/published/gold_* (clustered, kept up), daily view
 
 With `database`, every streamed table is named in the catalog and the next layer
 reads it by name; without, tables are folders below `root`.
@@ -22,14 +22,18 @@ updated in place they are counted over the current rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import flows, gold, quality, silver
-from ..sources import bronze, sinks
+from ..sources import bronze, clustered, sinks
+from .daily_view import DailyView, Refresh
 from .progress import run_totals, totals
-from .runner import batch_writer, latest, stream_session
+from .runner import stream_session
+from .updated import batch_writer, latest
 
 KINDS = {"crane": schemas.TOPIC_CRANE, "gate_in": schemas.TOPIC_GATE_IN, "gate_out": schemas.TOPIC_GATE_OUT}
 SILVER_TABLES = {kind: f"{kind}_events_silver" for kind in KINDS}
@@ -141,7 +145,8 @@ def gold_streams(spark: SparkSession, root: str, *, trigger: dict | None = None,
         # written, batch by batch; the table is the last row of each key.
         totals(own)
         return (df.writeStream.option("checkpointLocation", _checkpoint(root, table)).trigger(**trigger)
-                .queryName(table).outputMode("update").foreachBatch(batch_writer(_path(root, table))).start())
+                .queryName(table).outputMode("update").foreachBatch(
+                    batch_writer(_path(root, table), keys=UPDATED[table])).start())
 
     gate_in = gin.withWatermark("gate_in_timestamp", FLOW_WATERMARK)
     gate_out = gout.withWatermark("gate_out_timestamp", FLOW_WATERMARK)
@@ -188,27 +193,65 @@ def daily_summary_view(spark: SparkSession, root: str) -> DataFrame:
                                        spark.read.parquet(_path(root, SILVER_TABLES["crane"])))
 
 
-def publish_gold(spark: SparkSession, root: str, *, database: str | None = None) -> dict[str, dict]:
-    """Batch step after (or between) streaming runs: write every gold table whole, in its
-    clustered layout, and the daily summary from them, each as a new version below
-    <root>/published; with `database`, name the versions <table>_published (the daily
-    summary by its own name).  Returns {table: expectation counts}."""
-    from ..plans.pipeline import register_table
-    out = {}
+def refresh_daily(spark: SparkSession, root: str, processing_time: bool = True) -> Refresh:
+    """Bring the kept-up daily view below <root>/published in line with the streamed tables:
+    only (terminal, date) keys that new rows touch are computed again."""
+    return daily_view(spark, root).refresh(
+        {"export": (gold_table(spark, root, EXPORT), "gate_in_timestamp"),
+         "import": (gold_table(spark, root, IMPORT), "gate_out_timestamp"),
+         "crane": (spark.read.parquet(_path(root, SILVER_TABLES["crane"])), "crane_timestamp")}, processing_time)
+
+
+def daily_view(spark: SparkSession, root: str) -> DailyView:
+    return DailyView(spark, _path(root, f"published/{DAILY}"))
+
 
-    def publish(table: str, df: DataFrame, keys: list[str]) -> DataFrame:
-        checked, seen = quality.expect(sinks.clustered(df, keys), quality.EXPECTATIONS[CHECKS.get(table, table)], table)
-        path = sinks.publish_version(spark, _path(root, f"published/{table}"), checked)
-        out[table] = seen.get
-        if database:
-            register_table(spark, table if table == DAILY else f"{table}_published", path, database)
-        return spark.read.parquet(path)
-    done = {t: publish(t, gold_table(spark, root, t), keys) for t, keys in CLUSTER_KEYS.items()}
-    publish(DAILY, gold.terminal_daily_summary(done[EXPORT], done[IMPORT],
-                                               spark.read.parquet(_path(root, SILVER_TABLES["crane"]))), DAILY_KEYS)
+def publish_gold(spark: SparkSession, root: str, *, database: str | None = None,
+                 file_rows: int = clustered.FILE_ROWS) -> dict[str, dict]:
+    """Batch step after (or between) streaming runs: bring the clustered gold tables and the
+    daily view below <root>/published in line with the streamed ones.
+
+    Appended tables take their new files' rows, tables of updates their current rows;
+    either way only the clustered files that hold the keys are rewritten (see
+    `sources.clustered`), and only touched dates of the daily view (see
+    `daily_view`).  With `database`, views named <table>_published, and the daily
+    summary by its own name, show the versions.  Returns {table: expectation counts}."""
+    out = {}
+    for table, keys in CLUSTER_KEYS.items():
+        kept_up = clustered.ClusteredTable(spark, _path(root, f"published/{table}"))
+        streamed = gold_table(spark, root, table)
+        if table in UPDATED:
+            if kept_up.version:     # rows that differ from the published ones, processing time apart
+                same = [c for c in streamed.columns if c != "gold_processed_at"]
+                changed = streamed.select(*same).exceptAll(kept_up.read().select(*same)).select(*UPDATED[table]).distinct()
+                on = reduce(lambda a, b: a & b, [streamed[k].eqNullSafe(changed[k]) for k in UPDATED[table]])
+                streamed = streamed.join(changed, on, "left_semi")
+            kept_up.merge(streamed, keys=keys, replace=UPDATED[table], file_rows=file_rows)
+        else:
+            files = sorted(set(streamed.inputFiles()) - kept_up.inputs())
+            rows = spark.read.schema(streamed.schema).parquet(*files) if files else streamed.limit(0)
+            kept_up.merge(rows, keys=keys, file_rows=file_rows, inputs=files)
+        out[table] = _counted(table, published(spark, root, table))
+    refresh_daily(spark, root)
+    out[DAILY] = _counted(DAILY, published(spark, root, DAILY))
+    if database:
+        for table in [*CLUSTER_KEYS, DAILY]:
+            name_published(spark, root, table, database)
     return out
 
 
 def published(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The version of a gold table published last."""
-    return spark.read.parquet(sinks.current_version(spark, _path(root, f"published/{table}")))
+    if table == DAILY:
+        return daily_view(spark, root).read()
+    return clustered.ClusteredTable(spark, _path(root, f"published/{table}")).read()
+
+
+def name_published(spark: SparkSession, root: str, table: str, database: str) -> None:
+    """Name the version published last in the catalog, as a view of its files."""
+    base = _path(root, f"published/{table}")
+    files = daily_view(spark, root).days().values() if table == DAILY else clustered.ClusteredTable(spark, base).files()
+    below = ",".join(sorted(f"data/{f.rsplit('/data/', 1)[1]}" for f in files))
+    name = _name(database, table if table == DAILY else f"{table}_published")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{base}/{{{below}}}`")

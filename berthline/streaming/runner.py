@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ..session import checkpoint_root
 from .progress import totals
+from .updated import batch_writer
 
 SENTINEL_ID = "__flush__"
 SENTINEL_TS = "2200-01-01 00:00:00"
@@ -51,35 +52,20 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return own
 
 
-def batch_writer(path: str, fmt: str = "parquet"):
-    """foreachBatch sink of updated rows: each batch in a folder of its own, so a batch that
-    runs again replaces itself and readers never see a table without files."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
-    return write
-
-
-def latest(spark: SparkSession, path: str, keys: list[str], fmt: str = "parquet") -> DataFrame:
-    """The current rows of a table of updates: of each key, the row of the last batch."""
-    updates = spark.read.option("basePath", path).format(fmt).load(f"{path}/batch=*")
-    rows = [c for c in updates.columns if c not in (*keys, "batch")]
-    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rows), "batch").alias("_row")).select(
-        *keys, "_row.*").select(*[c for c in updates.columns if c != "batch"])
-
-
 def run_available_now(df: DataFrame, path: str, checkpoint: str, *, mode: str = "append",
-                      fmt: str = "parquet", name: str | None = None) -> list[dict]:
+                      fmt: str = "parquet", name: str | None = None, keys: list[str] | None = None) -> list[dict]:
     """Process everything available now, then stop; returns [the run's totals] (see
     `progress.Totals`), to be added up over runs.
 
     append: rows go to `path` as files (the file sink is exactly-once via its
-    metadata log).  update: changed rows go to `path` batch by batch (see `latest`)."""
+    metadata log).  update: changed rows go to `path` batch by batch (see `updated`), and
+    with `keys` are compacted."""
     seen = totals(df.sparkSession)
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
     if mode == "update":
-        q = w.outputMode("update").foreachBatch(batch_writer(path, fmt)).start()
+        q = w.outputMode("update").foreachBatch(batch_writer(path, fmt, keys)).start()
     else:
         q = w.outputMode(mode).format(fmt).start(path)
     q.awaitTermination()

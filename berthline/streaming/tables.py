@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import flows, gold
-from .runner import (Replay, dropped_by_watermark, latest, run_available_now, time_chunks,
+from .runner import (Replay, dropped_by_watermark, run_available_now, time_chunks,
                      without_sentinels)
+from .updated import latest
 
 FLOW_WATERMARK = "2 hours"
 TRAFFIC_WATERMARK = "1 hour"
