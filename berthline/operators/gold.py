@@ -165,3 +165,26 @@ def gate_hourly_traffic(gate_in: DataFrame, gate_out: DataFrame, *, busy: int =
     if processing_time:
         cols.append(F.current_timestamp().alias("gold_processed_at"))
     return out.select(*cols)
+
+
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)      # relative standard error
+
+
+def gate_hourly_sketches(gate: DataFrame, ts: str, window: str = "1 hour") -> DataFrame:
+    """Hourly vehicles and a mergeable sketch of the trucks at every gate, to be stored: counts of
+    trucks do not add up over hours, sketches do.  Batch, or a stream with a watermark on `ts`."""
+    return gate.groupBy("terminal_id", "gate_id", F.window(ts, window).alias("window")).agg(
+        F.count(F.lit(1)).alias("vehicles"), F.hll_sketch_agg("truck_plate_no", F.lit(SKETCH_BITS)).alias("truck_sketch"))
+
+
+def truck_rollup(sketches: DataFrame, period: str) -> DataFrame:
+    """Vehicles and distinct trucks per gate and `period` (day, week, month, quarter, year), from
+    stored hourly sketches alone."""
+    units = ("day", "week", "month", "quarter", "year")
+    if period not in units:
+        raise ValueError(f"period must be one of {', '.join(units)}")
+    start = F.to_date(F.date_trunc(period, F.col("window.start")))
+    return sketches.groupBy("terminal_id", "gate_id", start.alias("period")).agg(
+        F.sum("vehicles").alias("vehicles"),
+        F.hll_sketch_estimate(F.hll_union_agg("truck_sketch")).alias("trucks"))

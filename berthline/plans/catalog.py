@@ -18,7 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators import anomalies, gold, manifest, quality, silver, yard
 from ..session import session_key, use_utc
 from .. import schemas
-from ..sources import bronze, sinks, testdata
+from ..sources import bronze, clustered, sinks, testdata
+from ..streaming import daily_view
 from ..streaming import tables as stream_tables
 from . import pipeline
 
@@ -119,6 +120,10 @@ def silver_gate_out(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ gold
+LATE_MID = "2024-01-15"         # middle of the stand-in month: replays and late rows are split here
+CLUSTER_FILE_ROWS = 100_000
+
+
 @query("gold_export_flow")
 def gold_export_flow(spark, sf_dir):
     return compare_form(gold_pipeline(spark, sf_dir).export_flow)
@@ -139,9 +144,38 @@ def gold_anomaly_summary(spark, sf_dir):
     return compare_form(gold_pipeline(spark, sf_dir).anomaly_summary)
 
 
+def written_flows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The flow tables, written once per input, as views over them read them."""
+    p = gold_pipeline(spark, sf_dir)
+    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + pipeline.LAYOUT
+    return (sinks.cached_table(spark, "gold_export_flow", key, lambda: p.export_flow),
+            sinks.cached_table(spark, "gold_import_flow", key, lambda: p.import_flow))
+
+
 @query("gold_terminal_daily_summary")
 def gold_terminal_daily_summary(spark, sf_dir):
-    return compare_form(gold_pipeline(spark, sf_dir).terminal_daily_summary)
+    return compare_form(gold.terminal_daily_summary(*written_flows(spark, sf_dir), gold_pipeline(spark, sf_dir).crane, False))
+
+
+@query("daily_view_refreshed")
+def daily_view_refreshed(spark, sf_dir):
+    """The daily view as a written, kept-up table: most rows before LATE_MID first, then all
+    rows from it on and every tenth row late; the second refresh recomputes touched keys."""
+    export, imports = written_flows(spark, sf_dir)
+    root = sinks.fresh_path(spark, "daily_view")
+    whole = {"export": (export, "gate_in_timestamp", "gate_in_event_id"),
+             "import": (imports, "gate_out_timestamp", "gate_out_event_id"),
+             "crane": (gold_pipeline(spark, sf_dir).crane, "crane_timestamp", "event_id")}
+    view = daily_view.DailyView(spark, f"{root}/view")
+    for first in (True, False):
+        inputs = {}
+        for name, (df, ts, event_id) in whole.items():
+            early = F.coalesce((F.col(ts) < F.to_timestamp(F.lit(LATE_MID))) & (
+                F.col(event_id).cast("bigint") % 10 != 0), F.lit(False))
+            df.where(early if first else ~early).write.mode("append").parquet(f"{root}/{name}")
+            inputs[name] = (spark.read.schema(df.schema).parquet(f"{root}/{name}"), ts)
+        view.refresh(inputs, processing_time=False)
+    return compare_form(view.read())
 
 
 @query("gold_gate_hourly_traffic")
@@ -156,9 +190,7 @@ def gold_gate_hourly_traffic(spark, sf_dir):
 def expectations(spark, sf_dir):
     p = gold_pipeline(spark, sf_dir)
     # Each flow is computed once: its checks and its part of the daily summary read the written table.
-    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + pipeline.LAYOUT
-    export = sinks.cached_table(spark, "gold_export_flow", key, lambda: p.export_flow)
-    imports = sinks.cached_table(spark, "gold_import_flow", key, lambda: p.import_flow)
+    export, imports = written_flows(spark, sf_dir)
     tables = {"gold_container_export_flow": export,
               "gold_container_import_flow": imports,
               "gold_crane_performance": p.crane_performance,
@@ -186,6 +218,30 @@ def silver_parse_errors(spark, sf_dir):
 TRUCK_WINDOW = "10 days"        # windows with tens of trucks at a gate
 
 
+@query("truck_rollups")
+def truck_rollups(spark, sf_dir):
+    """Trucks per gate and month from the stored hourly sketches, against exact counts: within
+    three standard errors and no less than one truck.  The exact counts alone scan events."""
+    p = gold_pipeline(spark, sf_dir)
+    key = sinks.fingerprint(spark, f"{sf_dir.rstrip('/')}/events.parquet") + pipeline.LAYOUT
+    sides = {"in": (p.gate_in, "gate_in_timestamp"), "out": (p.gate_out, "gate_out_timestamp")}
+    out = None
+    for side, (gate, ts) in sides.items():
+        stored = sinks.cached_table(spark, f"gate_{side}_truck_sketches", key,
+                                    lambda g=gate, t=ts: gold.gate_hourly_sketches(g, t))
+        rolled = gold.truck_rollup(stored, "month")
+        exact = gate.groupBy("terminal_id", "gate_id", F.trunc(ts, "month").alias("period")).agg(
+            F.count("*").alias("exact_vehicles"), F.count_distinct("truck_plate_no").alias("exact_trucks"))
+        both = rolled.alias("r").join(exact.alias("e"), [
+            F.col(f"r.{k}").eqNullSafe(F.col(f"e.{k}")) for k in ("terminal_id", "gate_id", "period")], "full")
+        near = F.abs(F.col("trucks") - F.col("exact_trucks")) <= F.greatest(
+            F.lit(1.0), 3 * gold.SKETCH_ERROR * F.col("exact_trucks"))
+        part = both.select(F.lit(side).alias("side"), "e.terminal_id", "e.gate_id", "e.period", "vehicles", "exact_trucks",
+                           near.alias("within"))
+        out = part if out is None else out.unionByName(part)
+    return compare_form(out)
+
+
 @query("approx_trucks_error")
 def approx_trucks_error(spark, sf_dir):
     """The approximate truck counts of the traffic table itself, over long windows, against
@@ -345,8 +401,7 @@ def q_vessel_schedule_total(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming twins
 # Arrival stages of the replays (event time; rows arrive stage by stage).
-STREAM_STAGES = ["2024-01-15"]
-LATE_MID = "2024-01-15"
+STREAM_STAGES = [LATE_MID]
 
 
 @query("stream_export_flow")
@@ -394,12 +449,16 @@ def q_late_data_dropped(spark, sf_dir):
 # ------------------------------------------------------------------ sinks
 @query("clustered_export_flow")
 def q_clustered_export_flow(spark, sf_dir):
-    """Export flow written in clustered layout (terminal_id, container_number)
-    and read back."""
+    """Export flow kept in clustered layout (terminal_id, container_number): laid out with the
+    rows before LATE_MID, the others merged into the files their keys lie in, read back."""
+    flow, _ = written_flows(spark, sf_dir)
     path = sinks.fresh_path(spark, "clustered_export_flow")
-    sinks.write_clustered(gold_pipeline(spark, sf_dir).export_flow, path,
-                          ["terminal_id", "container_number"])
-    return compare_form(spark.read.parquet(path))
+    first = F.coalesce(F.col("gate_in_timestamp") < F.to_timestamp(F.lit(LATE_MID)), F.lit(False))
+    clustered.ClusteredTable(spark, path).merge(flow.where(first), keys=["terminal_id", "container_number"],
+                                                file_rows=CLUSTER_FILE_ROWS)
+    table = clustered.ClusteredTable(spark, path)
+    table.merge(flow.where(~first))
+    return compare_form(table.read())
 
 
 @query("raw_landing")

@@ -316,6 +316,15 @@ SELECT coalesce(i.terminal_id, o.terminal_id) AS terminal_id, coalesce(i.gate_id
        CASE WHEN i.n IS NOT NULL THEN true END AS in_within, CASE WHEN o.n IS NOT NULL THEN true END AS out_within
 FROM i FULL OUTER JOIN o ON i.terminal_id = o.terminal_id AND i.gate_id = o.gate_id AND i.w = o.w"""
 
+SQL["truck_rollups"] = f"""
+WITH {silver_ctes()}
+""" + " UNION ALL ".join(f"""
+SELECT '{side}' AS side, terminal_id, gate_id, CAST(date_trunc('month', gate_{side}_timestamp) AS DATE) AS period,
+       count(*) AS vehicles, count(DISTINCT truck_plate_no) AS exact_trucks, true AS "within"
+FROM gate_{side} GROUP BY ALL""" for side in ("in", "out"))
+
+SQL["daily_view_refreshed"] = SQL["gold_terminal_daily_summary"]
+
 SQL["route_by_topic"] = " UNION ALL ".join(
     f"SELECT {_KAFKA.format(topic=topic)}, '{table}' AS target_table, {_some_fields(fields)} FROM events WHERE {pred}"
     for topic, table, pred, fields in _TOPICS)

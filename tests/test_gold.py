@@ -93,3 +93,40 @@ def test_expectations_pass_fail_null(spark):
     assert observed.count() == 3                                   # rows never dropped
     m = obs.get
     assert m["valid_operation__null"] == 1 and m["valid_container_number__failed"] == 1
+
+
+def test_truck_rollups_from_stored_sketches(spark, tmp_path):
+    """Day and month counts come from written hourly sketches, within three standard errors of exact ones;
+    and so do a stream's."""
+    from pyspark.sql import functions as F
+
+    from berthline.streaming.runner import Replay, run_available_now, without_sentinels
+    gate = spark.range(30000).select(
+        F.format_string("T%d", F.col("id") % 2).alias("terminal_id"), F.lit("G1").alias("gate_id"),
+        F.when(F.col("id") % 50 > 0, F.format_string("P%d", F.pmod(F.xxhash64("id"), F.lit(4000)))).alias("truck_plate_no"),
+        (F.to_timestamp(F.lit("2024-01-01")) + F.make_interval(hours=(F.col("id") % 1400).cast("int"))).alias("t"))
+    path = str(tmp_path / "sketches")
+    gold.gate_hourly_sketches(gate, "t").write.parquet(path)
+    stored = spark.read.parquet(path)
+    for period in ("day", "month"):
+        exact = {(r.terminal_id, r.p): (r.n, r.v) for r in gate.groupBy("terminal_id", F.trunc("t", period).alias("p") if period == "month"
+                 else F.to_date("t").alias("p")).agg(F.count_distinct("truck_plate_no").alias("n"), F.count("*").alias("v")).collect()}
+        rolled = gold.truck_rollup(stored, period).collect()
+        assert len(rolled) == len(exact) > 2
+        for r in rolled:
+            n, v = exact[r.terminal_id, r.period]
+            assert r.vehicles == v and abs(r.trucks - n) <= max(1, 3 * gold.SKETCH_ERROR * n)
+    rp = Replay(spark, "sketches")
+    rp.stage("gate", gate.repartition(3))
+    stream = rp.source("gate", gate.schema, "t").withWatermark("t", "1 hour")
+    q = gold.gate_hourly_sketches(stream, "t")
+    run_available_now(q, rp.path("out"), rp.path("ck"))
+    rp.stage_sentinels()
+    for _ in range(2):
+        run_available_now(q, rp.path("out"), rp.path("ck"))
+    streamed = without_sentinels(spark.read.parquet(rp.path("out")), "terminal_id")
+    # the estimate depends on the order of merging, within its error
+    for r in gold.truck_rollup(streamed, "month").collect():
+        n, v = exact[r.terminal_id, r.period]
+        assert r.vehicles == v and abs(r.trucks - n) <= max(1, 3 * gold.SKETCH_ERROR * n)
+    assert streamed.count() == stored.count()
