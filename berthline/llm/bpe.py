@@ -62,6 +62,7 @@ class Encoder:
         self._cut = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                      and not pre.get("add_prefix_space") and spec.get("normalizer") is None
                      and not (spec["model"].get("dropout") or spec["model"].get("ignore_merges")))
+        self._ends = {end: self._whole(end) for end in ",."}
         # raw ids of words after a space, and of words that open a line
         self._spaced: dict[str, bytes] = {}
         self._opening: dict[str, bytes] = {}
@@ -72,15 +73,17 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _fresh(self, word: str, lead: str) -> bytes:
+    def _fresh(self, word: str, lead: str, known: dict[str, bytes]) -> bytes:
         """Raw ids of a word not seen before, `lead` (a space or nothing) before it.  A run of
         letters is one unit of the library's splitting rule, and a comma or full stop after
         it another: the model merges such a run without the rest of the library's steps."""
-        stem, end = (word[:-1], word[-1]) if word[-1:] in (",", ".") else (word, "")
+        stem, end = (word[:-1], word[-1]) if word[-1:] in self._ends else (word, "")
         if stem.isalpha() and (stem.isascii() or max(stem) < _LATIN):
-            letters = (lead + stem).encode().decode("latin1").translate(self._letters)
-            raw = self._raw([t.id for t in self.tokenizer.model.tokenize(letters)])
-            return raw + self._whole(end) if end else raw
+            raw = known.get(stem) if end else None
+            if raw is None:
+                letters = (lead + stem).encode().decode("latin1").translate(self._letters)
+                raw = self._raw([t.id for t in self.tokenizer.model.tokenize(letters)])
+            return raw + self._ends[end] if end else raw
         return self._whole(lead + word)
 
     def _look_up(self, words: list[str], known: dict[str, bytes], lead: str) -> list[bytes]:
@@ -91,7 +94,7 @@ class Encoder:
             if word.isascii() and word.isalpha():       # the common case of `_fresh`
                 raw = array(code, [t.id for t in merge(start + word)]).tobytes()
             else:
-                raw = self._fresh(word, lead)
+                raw = self._fresh(word, lead, known)
             known[word] = found[i] = raw
         return found
 

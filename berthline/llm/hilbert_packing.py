@@ -24,6 +24,7 @@ from .common import shared_path, workers_import_package
 DIMS, BITS = 4, 15          # 60-bit keys
 _PASSED_ON = 4 << 20        # bytes of ids a task holds before it passes them on
 _BUCKETS = 1024             # of the hashed document vector
+_COUNTED = 256              # documents whose vectors are counted together
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -57,36 +58,56 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(7).choice([-1.0, 1.0], size=(_BUCKETS, DIMS))
 
 
-def coordinates(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """Place of one document in the unit cube, as integers below 2**BITS."""
-    buckets = (ids.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(20)) & np.uint64(_BUCKETS - 1)
-    vector = np.sqrt(np.bincount(buckets.astype(np.int64), minlength=_BUCKETS))
-    flat = vector @ projection / max(np.sqrt((vector ** 2).sum()), 1.0)
+def coordinates(ids: np.ndarray, sizes: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Places of documents, laid end to end in `ids`, in the unit cube, as integers below 2**BITS."""
+    buckets = ids.astype(np.uint32) * np.uint32(2654435761) >> np.uint32(20) & np.uint32(_BUCKETS - 1)
+    flat, ends = np.empty((len(sizes), DIMS)), np.cumsum(sizes)
+    for a in range(0, len(sizes), _COUNTED):
+        b = min(a + _COUNTED, len(sizes))
+        start = ends[a] - sizes[a]
+        cells = buckets[start:ends[b - 1]] + np.repeat(np.arange(b - a) * _BUCKETS, sizes[a:b])
+        counts = np.bincount(cells, minlength=(b - a) * _BUCKETS).reshape(b - a, _BUCKETS)
+        flat[a:b] = np.sqrt(counts) @ projection
+    flat /= np.sqrt(np.maximum(sizes, 1))[:, None]      # the length of a vector of roots of counts
     return np.minimum((0.5 + 0.5 * np.tanh(flat)) * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
 
 
+def _with_end(found: list[np.ndarray], end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of documents end to end, each with the end id, and their numbers."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    ids = np.concatenate([x for doc in found for x in (doc, end)])
+    return ids, sizes
+
+
 def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str,
             memory: dict | None = None) -> DataFrame:
-    """(doc_id, curve, ids): ids with the end id as raw integers, and the curve key."""
+    """(doc_id, width, ids, curve, tie): ids with the end id as raw integers, the curve key, and a
+    checksum that orders documents of one key and id."""
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, projection = bpe.encoder(path, **(memory or {})), _projection()
         end = np.array([end_id], enc.dtype)
+
+        def rows(doc_ids: pa.Array, found: list[np.ndarray]) -> pa.RecordBatch:
+            ids, sizes = _with_end(found, end)
+            places = np.concatenate([[0], np.cumsum(sizes)]) * enc.width
+            raw = memoryview(ids).cast("B")
+            return pa.RecordBatch.from_pydict({
+                "doc_id": doc_ids, "width": np.full(len(sizes), enc.width, np.int32),
+                "ids": pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(sizes), [None, pa.py_buffer(places), pa.py_buffer(raw)]).cast(pa.binary()),
+                "curve": hilbert_key(coordinates(ids, sizes, projection)),
+                "tie": np.array([zlib.crc32(raw[a:b]) for a, b in zip(places, places[1:])], np.int64)})
         for batch in batches:
-            raw, points, size, at = [], [], 0, 0
+            found, size, at = [], 0, 0
             for i, ids in enumerate(enc.batch(batch.column("text"))):
-                ids = np.append(ids, end)
-                raw.append(ids.tobytes())
-                points.append(coordinates(ids, projection))
-                size += len(raw[-1])
+                found.append(ids)
+                size += ids.nbytes
                 if size > _PASSED_ON or i + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": batch.column("doc_id").slice(at, len(raw)),
-                        "width": pa.array([enc.width] * len(raw), pa.int32()), "ids": pa.array(raw, pa.binary()),
-                        "curve": hilbert_key(np.array(points, np.int64))})
-                    raw, points, size, at = [], [], 0, i + 1
+                    yield rows(batch.column("doc_id").slice(at, len(found)), found)
+                    found, size, at = [], 0, i + 1
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        encode, "doc_id long, width int, ids binary, curve long")
+        encode, "doc_id long, width int, ids binary, curve long, tie long")
 
 
 class _Packer:
@@ -115,7 +136,7 @@ class _Packer:
                 cut = size - offset
                 self.open.insert(0, (doc_id, start + cut, ids[cut:], total))
                 ids = ids[:cut]
-            self.out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), total,
+            self.out.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4")), total,
                              self.sequence, offset))
             offset += len(ids)
         self.fill -= size
@@ -150,7 +171,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, capacity: in
     folder = shared_path(spark, "packing-ids")
     rows.write.option("compression", "zstd").parquet(folder)
     rows = spark.read.schema(rows.schema).parquet(folder)
-    order = ["curve", "doc_id", F.xxhash64("ids")]
+    order = ["curve", "doc_id", "tie"]
     along = rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
 
     def lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,7 +50,7 @@ def test_curve_visits_every_place_once_by_single_steps(dims, bits):
 def test_like_documents_are_neighbours():
     e, proj = bpe.encoder(bpe.default_path()), P._projection()
     text = "the quick brown fox jumps over the lazy dog " * 20
-    place = lambda t: P.coordinates(e.ids(t), proj)
+    place = lambda t: P.coordinates(e.ids(t), np.array([len(e.ids(t))]), proj)[0]
     near = np.abs(place(text) - place(text + "again")).max()
     far = np.abs(place(text) - place("ganz andere Wörter stehen in diesem deutschen Satz " * 20)).max()
     assert near < 0.1 * far
