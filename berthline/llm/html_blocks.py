@@ -3,15 +3,17 @@
 Markup is stripped to lines, one a block element.  Text lengths are summed over
 a sliding window of lines; the sum surges where running text begins and dives
 where it ends, and the text between is kept.  Lines of menus, forms, adverts,
-comments and the like weigh nothing: they are gaps, at which the sum dives.
+comments and the like weigh nothing: they are gaps, and where nothing else
+follows the sum dives.  Where no sum surges, the largest one is the text.
 Where the page marks its article and most running text stands in it, lines of
-the article have weight added, enough for a surge, and beside it only long
+the article have weight added, less than a surge takes, and beside it only long
 running text surges.  Otherwise the marks count for nothing.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -22,7 +24,8 @@ from .common import workers_import_package
 
 WINDOW = 3              # lines of a block sum
 SURGE = 80              # characters of a block sum at which text begins
-BESIDE = 4              # times as many beside a marked article; the weight added to its lines
+BESIDE = 4              # times as many beside a marked article
+ADDED = 3               # times as many are added to the weight of its lines
 
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small "
@@ -41,6 +44,11 @@ _MARKS = frozenset(
     "sidebar sidebars aside widget widgets menu menus nav navbar navigation breadcrumb breadcrumbs footer comment "
     "comments commentlist disqus replies respond share sharing social related recommended recommendations toolbar "
     "pagination pager login search masthead paywall".split())
+# Names that say what a paragraph is, not only where it stands or what it is about.
+_PARAGRAPH_MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion promoted cookie cookies consent "
+    "gdpr notice notices newsletter subscribe subscription breadcrumb breadcrumbs disqus respond pagination "
+    "paywall".split())
 _REPLIES = frozenset("comment comments commentlist disqus replies respond".split())
 _NEUTRAL = frozenset(
     "site page main post posts article articles entry entries item items list box block body area bar section container "
@@ -81,7 +89,7 @@ def _is_dropped(tag: str, attrs: list, in_article: bool) -> bool:
                 continue
             if tag in _HEADINGS and in_article:
                 continue
-            if _named(value, _MARKS) or (not in_article and _named(value, _HEADER_MARKS)):
+            if _named(value, _PARAGRAPH_MARKS if tag == "p" else _MARKS) or (not in_article and _named(value, _HEADER_MARKS)):
                 return True
         elif name == "role" and value and value.lower() in _ROLES:
             return True
@@ -106,34 +114,56 @@ class _Lines(HTMLParser):
         self.parts_seen: list[list] = []    # part above (-1: none), replies
         self.articles: list[list] = []      # article above (-1: none), part it stands in
         self.stack: list[tuple[str, bool, int, int]] = []     # tag, textless here or above, part, article
+        self.at: dict[str, list[int]] = {}      # depths of the open elements of a tag
+        self.blocks: list[int] = []             # depths of the open elements that are not inline
+        self.closed: list[int] = []             # of those, the ones besides p
         self.parts: list[str] = []
         self.links = 0
+        self.searched, self.last_end = -1, -1
 
     def _state(self) -> tuple[bool, int, int]:
         return self.stack[-1][1:] if self.stack else (False, -1, -1)
 
+    def _depth(self, tag: str) -> int:
+        """Depth of the innermost open element of a tag; -1: none."""
+        return self.at[tag][-1] if self.at.get(tag) else -1
+
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             self.lines.append((text, self.links, *self._state()[1:]))
         self.parts, self.links = [], 0
 
+    def _push(self, tag: str, textless: bool, part: int, article: int) -> None:
+        depth = len(self.stack)
+        self.at.setdefault(tag, []).append(depth)
+        if tag not in _INLINE:
+            self.blocks.append(depth)
+            if tag != "p":
+                self.closed.append(depth)
+        self.stack.append((tag, textless, part, article))
+
     def _pop(self, depth: int) -> None:
-        if any(tag not in _INLINE for tag, *_ in self.stack[depth:]):
+        """Close all elements from `depth` on."""
+        if self.blocks and self.blocks[-1] >= depth:
             self._end_line()
+        for tag, *_ in self.stack[depth:]:
+            self.at[tag].pop()
+        for depths in (self.blocks, self.closed):
+            while depths and depths[-1] >= depth:
+                depths.pop()
         del self.stack[depth:]
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.parts.append(" ")
             return
-        for depth in range(len(self.stack) - 1, -1, -1):
-            above = self.stack[depth][0]
-            if tag in _CLOSED_BY.get(above, ()):
+        # the innermost paragraph above the nearest other block, or that block itself, may end here
+        near = self.closed[-1] if self.closed else -1
+        for depth in (self._depth("p"), near):
+            if depth >= max(near, 0) and tag in _CLOSED_BY.get(self.stack[depth][0], ()):
                 self._pop(depth)
                 break
-            if above not in _INLINE and above != "p":
-                break
         textless, part, article = self._state()
         if tag not in _INLINE:
             self._end_line()
@@ -150,7 +180,7 @@ class _Lines(HTMLParser):
             self.articles.append([article, part])
             article = len(self.articles) - 1
         if tag not in _VOID:
-            self.stack.append((tag, textless, part, article))
+            self._push(tag, textless, part, article)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -161,22 +191,40 @@ class _Lines(HTMLParser):
         if tag == "br":
             self.parts.append(" ")
             return
-        for depth in range(len(self.stack) - 1, -1, -1):
-            above = self.stack[depth][0]
-            if above == tag:
-                self._pop(depth)
-                return
-            if tag in _INLINE and above not in _INLINE:
-                return                              # a stray inline end tag closes no block
-            if above in ("article", "main", "body") and tag not in ("body", "html", "article", "main"):
-                return
+        depth = self._depth(tag)
+        if tag in _INLINE:                              # a stray inline end tag closes no block
+            border = self.blocks[-1] if self.blocks else -1
+        elif tag in ("body", "html", "article", "main"):
+            border = -1
+        else:
+            border = max(map(self._depth, ("article", "main", "body")))
+        if depth >= 0 and depth >= border:
+            self._pop(depth)
 
     def handle_data(self, data):
         if not self._state()[0]:
             self.parts.append(data)
-            if any(tag == "a" for tag, *_ in self.stack):
+            if self.at.get("a"):
                 self.links += len(data.strip())
 
+    def parse_marked_section(self, i, report=1):
+        """Sections in brackets hold no text: `<![CDATA[..]]>` to its end, any other as far as the
+        next `>`, as browsers do; one that does not end is cut off."""
+        close = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        end = self.rawdata.find(close, i)
+        return end + len(close) if end >= 0 else -1
+
+    def parse_comment(self, i, report=True):
+        """A comment that does not end takes the rest of the page, as in browsers."""
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)
+
+    def check_for_whole_start_tag(self, i):
+        # after the last `>` no tag ends: one search for all of them
+        if len(self.rawdata) != self.searched:
+            self.searched, self.last_end = len(self.rawdata), self.rawdata.rfind(">")
+        return super().check_for_whole_start_tag(i) if i < self.last_end else -1
+
     def _stays(self) -> list[bool]:
         """Of every part that could be dropped, whether it stays."""
         above = [up for up, _ in self.parts_seen]
@@ -228,17 +276,25 @@ class _Lines(HTMLParser):
         return lines
 
 
+def block_sums(weights: list[int], window: int) -> list[int]:
+    """Of every line, the weight of it and the window - 1 lines after."""
+    sums, total = [0] * len(weights), 0
+    for i in range(len(weights) - 1, -1, -1):
+        total += weights[i] - (weights[i + window] if i + window < len(weights) else 0)
+        sums[i] = total
+    return sums
+
+
 def kept_spans(weights: list[int], window: int, surge: int) -> list[tuple[int, int]]:
     """Line ranges [from, to) between surge and dive points.
 
-    The block sum of a line is the weight of it and the window - 1 lines after.  Text
-    surges at the first line with weight whose block sum reaches `surge`; it
-    dives at the first line after it whose own weight is nothing."""
-    spans, i, n = [], 0, len(weights)
+    Text surges at the first line with weight whose block sum reaches `surge`, and
+    dives at the first line after it whose block sum is nothing."""
+    spans, i, n, sums = [], 0, len(weights), block_sums(weights, window)
     while i < n:
-        if weights[i] and sum(weights[i:i + window]) >= surge:
+        if weights[i] and sums[i] >= surge:
             end = i
-            while end < n and weights[end]:
+            while end < n and sums[end]:
                 end += 1
             spans.append((i, end))
             i = end
@@ -246,6 +302,16 @@ def kept_spans(weights: list[int], window: int, surge: int) -> list[tuple[int, i
     return spans
 
 
+def _runs(marks: list[bool]) -> Iterator[tuple[int, int]]:
+    start = None
+    for i, mark in enumerate([*marks, False]):
+        if mark and start is None:
+            start = i
+        elif not mark and start is not None:
+            yield start, i
+            start = None
+
+
 def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text of the article; empty for null, empty and textless pages."""
     if not html:
@@ -253,22 +319,29 @@ def main_text(html: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines, inside = [], None    # no block sum reaches over where the article begins or ends
+    lines, inside = [], None    # no block sum reaches over gaps, or over where the article begins or ends
     for x in parser.done():
         if x:
             if inside not in (None, x[2]):
                 lines += [None] * window
             inside = x[2]
-        lines.append(x)
+        lines += [x] if x else [None] * window
     # lines that are mostly links are menus, but for the article's
     plain = [len(x[0]) if x and 2 * x[1] <= len(x[0]) else 0 for x in lines]
     running = [i for a, b in kept_spans(plain, window, surge) for i in range(a, b)]
     marked = sum(len(x[0]) for x in lines if x and x[2])
-    if marked and marked >= sum(plain[i] for i in running if not lines[i][2]):
-        added = BESIDE * surge
-        weights = [len(x[0]) + added if x and x[2] else n for x, n in zip(lines, plain)]
-        running = [i for a, b in kept_spans(weights, window, added) for i in range(a, b)]
-    return "\n".join(lines[i][0] for i in running)
+    if marked and marked >= sum(plain[i] for i in running if lines[i] and not lines[i][2]):
+        weights = [len(x[0]) + ADDED * surge if x and x[2] else n for x, n in zip(lines, plain)]
+        sums, high = block_sums(weights, window), BESIDE * surge
+        spans = set(kept_spans(weights, window, high))
+        # a stretch of the article in which no sum surges is kept from its largest one on
+        for a, b in _runs([n > ADDED * surge for n in weights]):
+            if max(sums[a:b]) < high and not any(x <= a < y for x, y in spans):
+                spans.update((a + x, a + y) for x, y in kept_spans(weights[a:b], window, max(sums[a:b])))
+        spans = sorted(spans)
+    else:
+        spans = kept_spans(plain, window, min(surge, max(block_sums(plain, window), default=0) or surge))
+    return "\n".join(lines[i][0] for a, b in spans for i in range(a, b) if lines[i])
 
 
 def text_column(html: Column) -> Column:

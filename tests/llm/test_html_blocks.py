@@ -1,5 +1,7 @@
 import html
+import random
 import re
+import time
 
 import pytest
 from llm_helpers import SF, empty
@@ -98,10 +100,76 @@ def test_long_page():
 
 
 def test_spans():
-    assert H.kept_spans([0, 5, 50, 60, 3, 0, 4, 0, 0, 90, 0], 3, 80) == [(1, 5), (9, 10)]
+    # a single line without weight is no dive: the block sum reaches over it
+    assert H.kept_spans([0, 5, 50, 60, 3, 0, 4, 0, 0, 0, 90, 0], 3, 80) == [(1, 7), (10, 11)]
+    assert H.kept_spans([0, 90, 0, 0, 0, 79, 0, 1], 3, 80) == [(1, 2), (5, 8)]
     assert H.kept_spans([], 3, 80) == []
 
 
+def plain_spans(weights, window, surge):
+    """By the definition, every block sum added up anew."""
+    total = [sum(weights[i:i + window]) for i in range(len(weights))]
+    kept, inside = set(), False
+    for i, w in enumerate(weights):
+        inside = total[i] > 0 if inside else w > 0 and total[i] >= surge
+        if inside:
+            kept.add(i)
+    return kept
+
+
+def test_spans_by_adding_up_every_block():
+    rng = random.Random(5)
+    for _ in range(300):
+        weights = [rng.choice([0, 0, 0, 1, 20, 60, 200]) for _ in range(rng.randrange(30))]
+        window, surge = rng.choice([1, 2, 3, 5]), rng.choice([1, 50, 80, 300])
+        got = [i for a, b in H.kept_spans(weights, window, surge) for i in range(a, b)]
+        assert len(got) == len(set(got)) and set(got) == plain_spans(weights, window, surge)
+
+
+BLOCK = re.compile("</?(?:p|div|h1|h2|ul|li|article|body|html|footer|nav|header|br)\\b[^>]*>")
+
+
+def test_pages_without_article_marks_by_adding_up_every_block(spark):
+    """The given pages, their article's tags and all dropped parts taken out: plain block sums
+    over the lines choose the same text."""
+    chosen = 0
+    for r in table(spark, SF, "pages").collect():
+        body = re.search("<article>(.*?)(?:</article>|$)", r.html, re.S)[1]
+        page = f"<body><p>{'Menu of the page ' * 2}</p><hr><div id=menu>x</div><nav>x</nav><aside>y</aside>{body}</body>"
+        lines = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in BLOCK.split(body.replace("<br>", " "))]
+        lines = [f"{'Menu of the page ' * 2}".strip(), "", "", "", *filter(None, lines)]
+        weights = [len(x) for x in lines]
+        want = plain_spans(weights, 3, min(80, max(sum(weights[i:i + 3]) for i in range(len(weights)))))
+        if "<a" not in body:
+            assert H.main_text(page) == "\n".join(lines[i] for i in sorted(want) if lines[i])
+            chosen += 1
+    assert chosen > 100
+
+
+@pytest.mark.parametrize("section", ["<![foo[bar]]>", "<![CDATA[a > b]]>", "<![if !IE]>", "<![endif]>", "<![>", "<!x>", "<?php x?>"])
+def test_declarations_within_the_text(section):
+    assert H.main_text(f"<article><p>one</p>{section}<p>two</p></article>") == "one\ntwo"
+
+
+@pytest.mark.parametrize("unit", ["<b>", "<b>x", "<b></i>", "<div>x", "<p>x", "<li>x", "<a>x", "<article>x", "<a ", "<!--", "<![",
+                                  "<![foo[", "</", "<td>x", "<span></p>"])
+def test_time_grows_with_the_page_only(unit):
+    start = time.monotonic()
+    H.main_text("<article><p>text</p>" + unit * 50_000)
+    assert time.monotonic() - start < 20
+
+
+def test_paragraphs_keep_their_text_whatever_they_are_about():
+    assert H.main_text('<article><p>One.</p><p class="share">Share price rose.</p><p class="notice">Our notice</p></article>') \
+        == "One.\nShare price rose."
+    assert H.main_text("<body><p>The only paragraph of this page has fifty letters.") != ""
+    text = "<p>" + "running text " * 10 + "</p>"
+    page = f"<body>{text}<p><a href=x>A paragraph that is a link</a></p>{text}<ul><li><a>Menu</a><li><a>Home</a><li><a>Us</a></ul>"
+    assert H.main_text(page).split("\n")[1] == "A paragraph that is a link" and "Menu" not in H.main_text(page)
+    # stretches of an article each keep their text, however short
+    assert H.main_text("<article><p>a</p></article><div>" + "menu " * 3 + "</div><article><p>bc</p></article>") == "a\nbc"
+
+
 def test_query_against_the_marked_articles(spark):
     pages = {r.page_id: r for r in table(spark, SF, "pages").collect()}
     got = queries.REGISTRY["op6_html_blocks"](spark, SF).collect()
