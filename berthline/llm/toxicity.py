@@ -1,10 +1,10 @@
 """Toxicity classifier with a counterfactual penalty.
 
 Logistic regression on the words of a document and their beginnings: which
-stand in it, and which are dense in it.  In the
-sentences of labelled documents that mention a group, the term is swapped for
-another group's; the squared change of the score is added to the loss, so that
-a mention as such moves no score.  Weights are sparse and not negative: a
+stand in it, and which are dense in it.  Every sentence of a labelled document
+that mentions a group is written again with another group's term; both are
+scored, and the squared change of the score is added to the loss, so that a
+mention as such moves no score.  Weights are sparse and not negative: a
 document is toxic by what it says, and long clean text around it takes nothing
 away.
 """
@@ -34,7 +34,9 @@ _SENTENCE = re.compile(r"[^.!?\n]+")
 _COUNTED = 500_000          # features a task counts before it passes the counts on
 _REMEMBERED = 400_000       # words a worker remembers before it starts afresh
 
-# Group terms by kind; a swap stays within its kind.
+MAX_SWAPS = 10_000          # kinds of score changes the penalty is over, at most (the commonest)
+
+# Group terms by kind, where no others are given; a swap stays within its kind.
 IDENTITY_TERMS = {
     "faith": ["christian", "muslim", "jewish", "hindu", "buddhist", "sikh", "catholic", "atheist"],
     "origin": ["african", "american", "asian", "european", "mexican", "arab", "indian", "chinese", "german", "french"],
@@ -44,7 +46,14 @@ IDENTITY_TERMS = {
     "ability": ["blind", "deaf", "disabled", "autistic", "sighted", "hearing"],
     "age": ["young", "old", "elderly", "teenage"],
 }
-SWAP = {a: b for terms in IDENTITY_TERMS.values() for a, b in zip(terms, terms[1:] + terms[:1])}
+
+
+def swaps_of(terms: dict[str, list[str]]) -> dict[str, str]:
+    """Each term (one word) -> the next one of its kind."""
+    return {a: b for kind in terms.values() for a, b in zip(kind, kind[1:] + kind[:1])}
+
+
+SWAP = swaps_of(IDENTITY_TERMS)
 
 
 def word_features(word: str) -> list[str]:
@@ -76,11 +85,18 @@ def document_features(text: str | None, stems: set[str] | None = None) -> list[s
     return marked(counts, len(words))
 
 
-def swaps_in(text: str | None) -> set[str]:
-    """Identity terms that stand in a sentence of `text`."""
-    if not text:
-        return set()
-    return {w for s in _SENTENCE.findall(text.lower()) for w in _WORD.findall(s) if w in SWAP}
+def counterfactuals(text: str | None, swap: dict[str, str]) -> Iterator[tuple[str, str]]:
+    """(sentence, the same with every group's term swapped) of the sentences that have one."""
+    for sentence in _SENTENCE.findall((text or "").lower()):
+        other = _WORD.sub(lambda m: swap.get(m[0], m[0]), sentence)
+        if other != sentence:
+            yield sentence, other
+
+
+def score_change(sentence: str, other: str, stems: set[str], number: dict[str, int]) -> tuple[list[int], list[int]]:
+    """Numbers of the features that a sentence loses and gains when it becomes the other."""
+    was, now = ({number[f] for f in document_features(t, stems) if f in number} for t in (sentence, other))
+    return sorted(was - now), sorted(now - was)
 
 
 @dataclass(frozen=True)
@@ -107,28 +123,36 @@ class Classifier:
         return score
 
 
-def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[int, int]], swap_weight: np.ndarray,
-        n_features: int, penalty: float, sparse: float = 3e-3, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[list[int], list[int]]], swap_weight: np.ndarray,
+        n_features: int, penalty: float, sparse: float = 1e-4, tolerance: float = 1e-6,
+        steps: int = 100_000) -> tuple[np.ndarray, float]:
     """Balanced logistic loss + `sparse` * sum(w) + `penalty` * mean over swaps of the squared
-    score change, w >= 0, by accelerated projected gradient steps.
+    score change, w >= 0, by accelerated projected gradient steps until none moves a
+    weight by `tolerance` (`steps` only ends a fit that never would).
 
-    rows: feature numbers of each document; swaps: feature-number lists
-    (removed, added) of each swapped sentence kind, with their frequency."""
+    rows: feature numbers of each document; swaps: feature numbers (lost, gained)
+    of each kind of swapped sentence, with their frequency."""
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     feat = np.concatenate(rows) if len(rows) else np.zeros(0, int)
     weight = np.where(label == 1, 0.5 / max((label == 1).sum(), 1), 0.5 / max((label == 0).sum(), 1))
-    change = np.zeros((len(swaps), n_features))
-    for i, (out, into) in enumerate(swaps):
-        np.add.at(change[i], out, 1.0)
-        np.add.at(change[i], into, -1.0)
+    kind = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in swaps])
+    part = np.array([f for a, b in swaps for f in (*a, *b)], int)
+    sign = np.array([x for a, b in swaps for x in (*[1.0] * len(a), *[-1.0] * len(b))])
     share = swap_weight / max(swap_weight.sum(), 1e-12)
+
+    def unfair(v: np.ndarray) -> np.ndarray:
+        """Gradient of the mean squared score change."""
+        if not len(swaps):
+            return np.zeros(n_features)
+        change = share * np.bincount(kind, sign * v[part], len(swaps))
+        return 2 * np.bincount(part, sign * change[kind], n_features)
     # step size from a bound of the curvature: power iteration on the weighted data
     v = np.ones(n_features + 1)
     bound = 1.0
-    for _ in range(12):
+    for _ in range(30):
         at = weight * (np.bincount(doc, v[feat], len(rows)) + v[-1])
         u = np.append(0.25 * np.bincount(feat, at[doc], n_features), 0.25 * at.sum())
-        u[:-1] += 2 * penalty * change.T @ (share * (change @ v[:-1]))
+        u[:-1] += penalty * unfair(v[:-1])
         bound = max(np.linalg.norm(u) / max(np.linalg.norm(v), 1e-12), 1e-9)
         v = u / max(np.linalg.norm(u), 1e-12)
     w, b = np.zeros(n_features), 0.0
@@ -136,11 +160,12 @@ def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[int, int]],
     for _ in range(steps):
         p = sigmoid(np.bincount(doc, yw[feat], len(rows)) + yb)
         error = weight * (p - label)
-        gradient = np.bincount(feat, error[doc], n_features) + 2 * penalty * change.T @ (share * (change @ yw))
+        gradient = np.bincount(feat, error[doc], n_features) + penalty * unfair(yw)
         nw = np.maximum(0.0, yw - (gradient + sparse) / (1.2 * bound))
         nb = yb - error.sum() / (1.2 * bound)
-        moved = max(np.abs(nw - w).max(initial=0.0), abs(nb - b))
-        if moved < 1e-5 and t > 10:
+        moved = max(np.abs(nw - w).max(initial=0.0), abs(nb - b), np.abs(nw - yw).max(initial=0.0))
+        if moved < tolerance:
+            w, b = nw, nb
             break
         if (yw - nw) @ (nw - w) + (yb - nb) * (nb - b) > 0:     # past the lowest point: start the momentum anew
             t = 1.0
@@ -152,11 +177,13 @@ def fit(rows: list[np.ndarray], label: np.ndarray, swaps: list[tuple[int, int]],
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "toxic", max_rows: int = MAX_ROWS,
           penalty: float = 10.0, max_features: int = MAX_FEATURES, id_col: str = "doc_id",
-          text_col: str = "text") -> Classifier:
+          text_col: str = "text", terms: dict[str, list[str]] | None = None) -> Classifier:
     """Fit on a bounded sample.  Features are the `max_features` words and beginnings most
-    tied to label 1, and those of all identity terms.  Without both labels no
-    feature has a weight and all scores are 0.5, or lean to the label seen."""
+    tied to label 1, and those of all identity terms (`terms`: kind -> words).
+    Without both labels no feature has a weight and all scores are 0.5, or lean to
+    the label seen."""
     workers_import_package(docs.sparkSession)
+    swap = swaps_of(IDENTITY_TERMS if terms is None else terms)
     rows, _ = labelled_sample(docs, labels, label_col, learn, max_rows, id_col, text_col)
     rows = written(rows, "toxicity-sample")
     sampled = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -166,7 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
     stems = set(_most_tied(rows, lambda t: {f for w in set(words_of(t)) for f in word_features(w)}, sampled, 0.5,
                            4 * max_features))
     names = _most_tied(rows, lambda t: document_features(t, stems), sampled, 1.0, max_features)
-    names += sorted({f for t in SWAP for f in word_features(t)} - set(names))
+    marks = ["", *(mark for _, mark in DENSITIES)]      # a swap changes the term's stems at any density
+    names += sorted({f + m for t in swap for f in word_features(t) for m in marks} - set(names))
     number = {f: i for i, f in enumerate(names)}
     known = {f.partition("#")[0] for f in names}
 
@@ -174,17 +202,24 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "t
         for batch in batches:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"], "label": batch["label"],
-                "at": [sorted(number[f] for f in document_features(t, known) if f in number) for t in batch["text"]],
-                "swaps": [sorted(swaps_in(t)) for t in batch["text"]]})
-    got = rows.mapInPandas(select, "doc_id long, label int, at array<int>, swaps array<string>").orderBy(
-        "doc_id").toPandas()
-    terms = Counter(t for s in got["swaps"] for t in s)
-    # a swap changes the term's stems at any density
-    marks = ["", *(mark for _, mark in DENSITIES)]
-    parts = {t: [number[f + m] for f in word_features(t) for m in marks if f + m in number] for t in SWAP}
-    swaps = [(parts[t], parts[SWAP[t]]) for t in sorted(terms)]
-    w, b = fit([np.asarray(r, int) for r in got["at"]], got["label"].to_numpy(float), swaps,
-               np.array([terms[t] for t in sorted(terms)], float), len(names), penalty)
+                "at": [sorted(number[f] for f in document_features(t, known) if f in number) for t in batch["text"]]})
+
+    def changes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter()
+            for text in batch.column("text").to_pylist():
+                for pair in counterfactuals(text, swap):
+                    lost, gained = score_change(*pair, known, number)
+                    seen[tuple(lost), tuple(gained)] += 1
+            yield pa.RecordBatch.from_pydict({
+                "lost": pa.array([list(a) for a, _ in seen], pa.list_(pa.int32())),
+                "gained": pa.array([list(b) for _, b in seen], pa.list_(pa.int32())),
+                "n": pa.array(list(seen.values()), pa.int64())})
+    got = rows.mapInPandas(select, "doc_id long, label int, at array<int>").orderBy("doc_id").toPandas()
+    kinds = rows.mapInArrow(changes, "lost array<int>, gained array<int>, n long").groupBy("lost", "gained").agg(
+        F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lost", "gained").limit(MAX_SWAPS).collect()
+    w, b = fit([np.asarray(r, int) for r in got["at"]], got["label"].to_numpy(float),
+               [(r["lost"], r["gained"]) for r in kinds], np.array([r["n"] for r in kinds], float), len(names), penalty)
     return Classifier({f: float(w[i]) for f, i in number.items() if w[i] > 0}, float(b))
 
 
@@ -226,13 +261,14 @@ def score_column(model: Classifier, text: Column) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str = "toxic", max_rows: int = MAX_ROWS,
-             penalty: float = 10.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             penalty: float = 10.0, id_col: str = "doc_id", text_col: str = "text",
+             terms: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, score (0 to 1), predicted (1 if score >= 0.5, else 0).
 
     Null and empty texts have the intercept's score.  Null and repeated ids keep
     their rows.  Other columns are not read.  An empty table gives an empty
     table; without labels see `train`."""
-    model = train(docs, labels, learn, label_col, max_rows, penalty, id_col=id_col, text_col=text_col)
+    model = train(docs, labels, learn, label_col, max_rows, penalty, id_col=id_col, text_col=text_col, terms=terms)
     scored = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                          score_column(model, F.col(f"`{text_col}`")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
