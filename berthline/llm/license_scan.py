@@ -2,9 +2,9 @@
 
 Rolling word k-gram hashes of every text are joined to the positions of the
 same k-grams in licence templates.  Each match votes for a diagonal (place in
-the text less place in the template); neighbouring diagonals, which an
-inserted or missing word makes, are merged, and a merged span counts once
-enough of its template's k-grams stand in it, close together.  DataFrame
+the text less place in the template); neighbouring diagonals, which inserted
+and missing words make, are merged as far as a span may stretch, and a merged
+span counts once enough of its template's k-grams stand in it.  DataFrame
 functions only.
 """
 
@@ -79,8 +79,9 @@ TEMPLATES = (
              "This is free and unencumbered software released into the public domain. Anyone is free to copy, "
              "modify, publish, use, compile, sell, or distribute this software"),
 )
-MAX_GAP = 2                 # diagonals this far apart belong to one span
-STRETCH = 1.25              # words of a span per word of its template, at most
+MAX_GAP = 2                 # words by which a span may stretch, whatever its length
+STRETCH = 0.25              # and for each word of its template
+_UNIT = 1_000_000
 
 
 def lower_ascii(text: Column) -> Column:
@@ -139,24 +140,38 @@ def votes(docs: DataFrame, keys: list[str], templates: tuple[Template, ...] = TE
         F.min("pos").alias("first"), F.max("pos").alias("last"))
 
 
-def spans(voted: DataFrame, keys: list[str], templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
-    """Verified spans: (keys, template, label, phrase, first_word, last_word, share)."""
-    spark = voted.sparkSession
-    known = voted.join(F.broadcast(template_table(spark, templates)), "template")
-    line = Window.partitionBy(*keys, "template").orderBy("diagonal")
+def merged(voted: DataFrame, keys: list[str], templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
+    """For every diagonal the span that begins with it: (keys, template, label, n_grams,
+    min_share, diagonal, place, first_word, last_word, share).  A span takes in the diagonals
+    above its own by no more than it may stretch, so its k-grams stand in the text
+    within that many words of their order and distance in the template."""
+    known = voted.join(F.broadcast(template_table(voted.sparkSession, templates)), "template").where("not phrase")
+    # `place` makes one stretch _UNIT long: the half keeps whole diagonals clear of its ends
+    stretch = F.floor(F.col("n_words") * STRETCH) + MAX_GAP + 0.5
+    placed = known.withColumn("place", F.col("diagonal") * F.floor(_UNIT / stretch))
+    reach = Window.partitionBy(*keys, "template").orderBy("place").rangeBetween(0, _UNIT)
+    return placed.select(
+        *keys, "template", "label", "n_grams", "min_share", "diagonal", "place", F.min("first").over(reach).alias("first_word"),
+        (F.max("last").over(reach) + F.col("k") - 1).alias("last_word"),
+        (F.bit_count(F.bit_or("found").over(reach)) / F.col("n_grams")).alias("share"))
+
+
+def spans(voted: DataFrame, keys: list[str], templates: tuple[Template, ...] = TEMPLATES,
+          below: bool = False) -> DataFrame:
+    """Verified spans: (keys, template, label, phrase, first_word, last_word, share); of spans that
+    overlap by their diagonals the best.  `below` adds spans under their template's
+    share, which prove nothing (label null)."""
+    known = voted.join(F.broadcast(template_table(voted.sparkSession, templates)), "template")
     phrases = known.where("phrase and bit_count(found) = n_grams").select(
         *keys, "template", "label", "phrase", F.col("diagonal").alias("first_word"),
         (F.col("diagonal") + F.col("n_words") - 1).alias("last_word"), F.lit(1.0).alias("share"))
-    opens = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > MAX_GAP, F.lit(True))
-    merged = known.where("not phrase").withColumn("opens", opens.cast("int")).withColumn(
-        "span", F.sum("opens").over(line)).groupBy(
-        *keys, "template", "span", "label", "phrase", "k", "n_grams", "n_words", "min_share").agg(
-        F.bit_or("found").alias("found"), F.min("first").alias("first_word"), F.max("last").alias("last"))
-    share = F.bit_count("found") / F.col("n_grams")
-    last = F.col("last") + F.col("k") - 1
-    return phrases.unionByName(merged.where(share >= F.col("min_share")).where(
-        last - F.col("first_word") + 1 <= F.col("n_words") * STRETCH + MAX_GAP).select(
-        *keys, "template", "label", "phrase", "first_word", last.alias("last_word"), share.alias("share")))
+    near = Window.partitionBy(*keys, "template").orderBy("place").rangeBetween(-_UNIT, _UNIT)
+    best = F.max(F.struct("share", -F.col("diagonal"))).over(near) == F.struct("share", -F.col("diagonal"))
+    enough = F.col("share") >= F.col("min_share")
+    found = merged(voted, keys, templates).withColumn("best", best).where("best")
+    return phrases.unionByName((found if below else found.where(enough)).select(
+        *keys, "template", F.when(enough, F.col("label")).alias("label"), F.lit(False).alias("phrase"),
+        "first_word", "last_word", "share"))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: str = "doc_id",
@@ -164,7 +179,8 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
     """One row per row of `docs`: doc_id, n_words, n_base (places of phrases), first_word and
     last_word (smallest and largest start of these, from 0; else null), base_labels
     (of phrases), labels (of all spans; both distinct, sorted, comma-joined, empty if
-    none), score (greatest share of a template found, 0 if none).
+    none), score (greatest share of a template found, also below what its label takes;
+    0 if none).
 
     A null text is empty.  Null and repeated ids keep their rows: results belong
     to an id and text, and equal rows get equal results.  Other columns are
@@ -174,7 +190,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
                          F.coalesce(text, F.lit("")).alias("text"))
     keys = ["doc_id", "text_hash"]
     # written: phrases and merged spans both read the votes, the texts are cut up once
-    found = spans(written(votes(picked, keys, templates), "license-votes"), keys, templates)
+    found = spans(written(votes(picked, keys, templates), "license-votes"), keys, templates, below=True)
     per_doc = found.groupBy(*keys).agg(
         F.count(F.when(F.col("phrase"), 1)).alias("n_base"),
         F.min(F.when(F.col("phrase"), F.col("first_word"))).cast("long").alias("first_word"),
@@ -209,15 +225,12 @@ doc_grams AS (SELECT doc_id, pos, 2 AS k, w[pos + 1] || ' ' || w[pos + 2] AS gra
 hits AS (SELECT DISTINCT doc_id, template, pos, tpos, pos - tpos AS diagonal FROM doc_grams JOIN grams USING (k, gram)),
 base AS (SELECT doc_id, template, diagonal FROM hits JOIN tpl USING (template) WHERE phrase
          GROUP BY doc_id, template, diagonal, n_grams HAVING count(DISTINCT tpos) = n_grams),
-marks AS (SELECT doc_id, template, diagonal, CASE WHEN diagonal - lag(diagonal) OVER (
-                 PARTITION BY doc_id, template ORDER BY diagonal) <= {MAX_GAP} THEN 0 ELSE 1 END AS opens
-          FROM (SELECT DISTINCT doc_id, template, diagonal FROM hits) JOIN tpl USING (template) WHERE NOT phrase),
-regions AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marks),
-merged AS (SELECT doc_id, label, count(DISTINCT tpos) / n_grams AS share
-           FROM regions JOIN hits USING (doc_id, template, diagonal) JOIN tpl USING (template)
-           GROUP BY doc_id, template, span, label, k, n_grams, n_words, min_share
-           HAVING count(DISTINCT tpos) / n_grams >= min_share
-              AND max(pos) + k - min(pos) <= n_words * {STRETCH} + {MAX_GAP}),
+lines AS (SELECT DISTINCT doc_id, template, diagonal FROM hits JOIN tpl USING (template) WHERE NOT phrase),
+reached AS (SELECT l.doc_id, l.template, count(DISTINCT h.tpos) / n_grams AS share
+            FROM lines l JOIN tpl USING (template) JOIN hits h ON h.doc_id = l.doc_id AND h.template = l.template
+             AND h.diagonal BETWEEN l.diagonal AND l.diagonal + 2 + len(words) // 4
+            GROUP BY l.doc_id, l.template, l.diagonal, n_grams),
+merged AS (SELECT doc_id, CASE WHEN share >= min_share THEN label END AS label, share FROM reached JOIN tpl USING (template)),
 found AS (SELECT doc_id, label, diagonal, 1.0::DOUBLE AS share FROM base JOIN tpl USING (template)
           UNION ALL SELECT doc_id, label, NULL, share FROM merged),
 per_doc AS (SELECT doc_id, count(diagonal) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,

@@ -59,3 +59,27 @@ def test_hot_passage_in_every_row(spark):
 
 def test_empty_table(spark):
     assert L.scan(empty(spark)).collect() == []
+
+
+def test_words_put_in_or_left_out_anywhere(spark):
+    """Up to ten words more or fewer at any one place keep the licence; the score says how much stands."""
+    for template in (t for t in L.TEMPLATES if len(t.words) >= 30):
+        n = len(template.words)
+        rows = []
+        for at in range(0, n + 1):
+            rows += [(f"in {at} {k}", " ".join(["x"] * 7 + template.words[:at] + ["new"] * k + template.words[at:] + ["y"]))
+                     for k in (1, 3, 9)]
+            rows += [(f"out {at} {k}", " ".join(["x"] * 7 + template.words[:at] + template.words[at + k:] + ["y"])) for k in (1, 3)]
+        docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+        for r in L.scan(docs).collect():
+            assert template.label in r.labels.split(","), (template.name, rows[r.doc_id][0])
+            assert r.score >= (len(template.words) - 2 - 2 - 3) / template.n_grams - 1e-9
+
+
+def test_score_below_the_bar(spark):
+    words = next(t for t in L.TEMPLATES if t.name == "mit text").words
+    docs = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[:20] + ["z"] * 40 + words[20:40])),
+                                  (3, " ".join(reversed(words)))], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.scan(docs).collect()}
+    # 18 of 47 three-word runs; far apart pieces are not added up
+    assert got[1].score == got[2].score == 18 / 47 and got[1].labels == got[2].labels == "" and got[3].score < 0.1
