@@ -329,6 +329,18 @@ SQL["route_by_topic"] = " UNION ALL ".join(
     f"SELECT {_KAFKA.format(topic=topic)}, '{table}' AS target_table, {_some_fields(fields)} FROM events WHERE {pred}"
     for topic, table, pred, fields in _TOPICS)
 
+SQL["offset_ledger"] = "WITH topics AS (" + " UNION ALL ".join(
+    f"SELECT {_KAFKA.format(topic=topic)} FROM events WHERE {pred}" for topic, _, pred, _ in _TOPICS) + """),
+numbered AS (SELECT topic, partition, row_number() OVER (PARTITION BY topic, partition ORDER BY "offset") - 1 AS o FROM topics),
+kept AS (SELECT * FROM numbered WHERE o % 97 NOT BETWEEN 5 AND 7),
+islands AS (SELECT topic, partition, min(o) AS a, max(o) AS b FROM (
+              SELECT *, o - row_number() OVER (PARTITION BY topic, partition ORDER BY o) AS run FROM kept)
+            GROUP BY topic, partition, run),
+lines AS (SELECT *, lag(b) OVER (PARTITION BY topic, partition ORDER BY a) AS before FROM islands)
+SELECT 'kept' AS kind, topic, partition, a AS first_offset, b AS last_offset, b - a + 1 AS n_offsets FROM islands
+UNION ALL SELECT 'gap', topic, partition, before + 1, a - 1, a - before - 1 FROM lines WHERE before IS NOT NULL
+UNION ALL SELECT 'again', topic, partition, o, o, 1 FROM kept WHERE o % 89 = 3"""
+
 # ------------------------------------------------------------- yard
 _REF = ["container_id", "container_number", "container_type", "container_type_name",
         "container_size", "container_category", "seal_number"]
@@ -502,6 +514,14 @@ WHERE NOT (gate_in_timestamp < TIMESTAMP '2024-01-15' AND CAST(event_id AS BIGIN
 GROUP BY ALL"""
 
 
+_LATE = "gate_in_timestamp < TIMESTAMP '2024-01-15' AND CAST(event_id AS BIGINT) % 10 = 0"
+SQL["late_rows_kept"] = f"""
+WITH {silver_ctes()}
+SELECT terminal_id, date_trunc('hour', gate_in_timestamp) AS window_start,
+       date_trunc('hour', gate_in_timestamp) + INTERVAL 1 HOUR AS window_end,
+       count(*) FILTER (NOT ({_LATE})) AS vehicles_on_time, count(*) FILTER ({_LATE}) AS vehicles_late, count(*) AS vehicles_in
+FROM gate_in GROUP BY ALL"""
+
 # ------------------------------------------------------------- sinks
 SQL["clustered_export_flow"] = SQL["gold_export_flow"]
 

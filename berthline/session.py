@@ -14,6 +14,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Spark 4.1.2 takes a union of a shuffled table with its own rows for partitioned by the
+    # table's keys and groups it without a shuffle, which loses rows.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import flows, gold
+from . import late as side
 from .runner import (Replay, dropped_by_watermark, run_available_now, time_chunks,
                      without_sentinels)
 from .updated import latest
@@ -126,3 +127,18 @@ def late_gate_traffic(spark, gate_in: DataFrame, late: F.Column, mid: str,
     progress += run_available_now(q, out, ck)
     return without_sentinels(spark.read.parquet(out), "terminal_id"), \
         dropped_by_watermark(progress)
+
+
+def late_rows_kept(spark, gate_in: DataFrame, late: F.Column, mid: str, watermark: str = TRAFFIC_WATERMARK) -> DataFrame:
+    """The arrival of `late_gate_traffic`, with the late rows kept in a side table and merged
+    into the hourly counts (`streaming.late`)."""
+    rp = Replay(spark, "late-kept")
+    ts = "gate_in_timestamp"
+    src, out = rp.source("gate_in", gate_in.schema, ts), rp.path("out")
+    before = F.col(ts) < F.to_timestamp(F.lit(mid))
+    for st in (gate_in.where(before & ~late), gate_in.where(~before), gate_in.where(before & late)):
+        rp.stage("gate_in", st)
+        query = src.writeStream.option("checkpointLocation", rp.path("checkpoint")).trigger(availableNow=True)
+        query.foreachBatch(side.splitter(out, ts, watermark, 3600)).start().awaitTermination()
+    counts = [side.hourly_vehicles(side.rows(spark, out, part, gate_in.schema), ts, f"vehicles_{part}") for part in ("on_time", "late")]
+    return side.corrected(*counts)
