@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators import anomalies, gold, ledger, manifest, quality, silver, yard
+from ..operators import anomalies, gold, ledger, manifest, quality, quarantine, silver, yard
 from ..session import session_key, use_utc
 from .. import schemas
 from ..sources import bronze, clustered, sinks, testdata
@@ -215,6 +215,32 @@ def silver_parse_errors(spark, sf_dir):
     return out
 
 
+PAYLOAD_SCHEMAS = {"crane": schemas.CRANE_EVENT, "gate_in": schemas.GATE_EVENT, "gate_out": schemas.GATE_EVENT}
+
+
+def damaged(bronze: DataFrame) -> DataFrame:
+    """A written topic with some payloads cut off, without a field, with one renamed, and with
+    text for a record, by offset."""
+    text, kind = F.col("value").cast("string"), F.col("offset") % 50
+    value = F.when(kind == 7, F.substring(text, 1, 40)).when(
+        kind == 11, F.regexp_replace(text, '"terminal_id":', '"terminal":')).when(
+        kind == 13, F.regexp_replace(text, '"ocr":\\{[^}]*\\}', '"ocr":{"confidence_score":"high"}')).when(
+        kind == 17, F.lit("[1,2]")).when(kind != 19, text)
+    return bronze.withColumn("value", value.cast("binary"))
+
+
+@query("payload_faults")
+def payload_faults(spark, sf_dir):
+    """Faults of damaged topics by kind; sound payloads have none."""
+    use_utc(spark)
+    out = None
+    for kind, schema in PAYLOAD_SCHEMAS.items():
+        rows = quarantine.inspected(damaged(pipeline.bronze_table(spark, sf_dir, kind)), schema)
+        part = quarantine.fault_counts(rows)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 TRUCK_WINDOW = "10 days"        # windows with tens of trucks at a gate
 
 

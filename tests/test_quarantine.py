@@ -1,0 +1,62 @@
+"""Payload faults, quarantine and release."""
+import json
+
+from berthline import schemas
+from berthline.operators import quarantine as Q
+
+SCHEMA = schemas.CRANE_EVENT
+GOOD = {"event_id": "1", "timestamp": "2024-01-01T00:00:00Z", "terminal_id": "T", "cycle_time_sec": 90,
+        "ocr": {"container_no": "C", "confidence_score": 0.9}}
+
+
+def _bronze(spark, values, first=0):
+    rows = [(None, None if v is None else v.encode(), "crane_events", 0, first + i, None, 0) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, schemas.KAFKA_ROW)
+
+
+CASES = [
+    (json.dumps(GOOD), []),
+    (json.dumps({**GOOD, "anomali_type": None}), []),
+    (json.dumps({**GOOD, "event_id": 17, "cycle_time_sec": None}), []),      # a number is read as text
+    (None, ["empty"]), ("", ["unreadable"]), ("{\"event_id\": ", ["unreadable"]), ("[1]", ["not_an_object"]),
+    ("5", ["not_an_object"]), ("null", ["not_an_object"]),
+    ("{}", ["missing:event_id", "missing:terminal_id", "missing:timestamp"]),
+    (json.dumps({**GOOD, "terminal_id": None}), ["missing:terminal_id"]),
+    (json.dumps({**GOOD, "speed": 1, "ocr": {"extra": 2}}), ["unknown:ocr.extra", "unknown:speed"]),
+    (json.dumps({**GOOD, "cycle_time_sec": "90"}), ["mistyped:cycle_time_sec"]),
+    (json.dumps({**GOOD, "cycle_time_sec": 1.5}), ["mistyped:cycle_time_sec"]),
+    (json.dumps({**GOOD, "ocr": {"confidence_score": "high"}}), ["mistyped:ocr.confidence_score"]),
+]
+
+
+def test_faults_by_kind(spark):
+    got = {r.offset: r.faults for r in Q.inspected(_bronze(spark, [v for v, _ in CASES]), SCHEMA).collect()}
+    assert [sorted(got[i]) for i in range(len(CASES))] == [f for _, f in CASES]
+    counts = {r.fault: r.n for r in Q.fault_counts(Q.inspected(_bronze(spark, [v for v, _ in CASES]), SCHEMA)).collect()}
+    assert counts["unreadable"] == 2 and counts["not_an_object"] == 3 and counts["missing:terminal_id"] == 2
+
+
+def test_a_repaired_row_reaches_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "q")
+    write = Q.quarantine_writer(path, SCHEMA)
+    for n in (0, 1, 1):             # the second batch twice
+        write(_bronze(spark, [json.dumps(GOOD), "{broken", None], first=10 * n), n)
+
+    def read(part):
+        return spark.read.parquet(f"{path}/{part}").drop("batch")
+    assert read("sound").count() == 2 and sorted(r.offset for r in read("faulty").collect()) == [1, 2, 11, 12]
+    assert bytes(next(r.value for r in read("faulty").collect() if r.offset == 11)) == b"{broken"
+    repaired = spark.createDataFrame(
+        [("crane_events", 0, 1, json.dumps(GOOD).encode()), ("crane_events", 0, 1, json.dumps(GOOD).encode()),
+         ("crane_events", 0, 2, b"{still broken"), ("crane_events", 0, 99, json.dumps(GOOD).encode())],
+        "topic string, partition int, offset long, value binary")
+    for want in (1, 0):             # run again, nothing comes twice
+        rows = Q.released(read("faulty").drop("faults"), repaired, read("sound"), SCHEMA)
+        assert rows.count() == want and rows.columns == read("sound").columns
+        rows.write.mode("overwrite").parquet(f"{path}/sound/batch={100 + 1 - want}")
+    assert sorted(r.offset for r in read("sound").collect()) == [0, 1, 10]
+
+
+def test_empty_table(spark):
+    rows = Q.inspected(_bronze(spark, []), SCHEMA)
+    assert rows.count() == Q.fault_counts(rows).count() == 0
