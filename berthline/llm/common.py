@@ -23,8 +23,10 @@ def workers_import_package(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name in the cluster's shared folder (spark.checkpoint.dir)."""
-    return f"{checkpoint_root(spark)}/berthline/{name}-{uuid.uuid4().hex}"
+    """A new folder name in the cluster's shared folder (spark.checkpoint.dir), with the scheme that
+    Spark resolves it to, so that readers outside Spark open the same folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/berthline/{name}-{uuid.uuid4().hex}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -39,7 +39,10 @@ _COPY = 1 << 22             # bytes read from a shard at a time
 
 # ---------------------------------------------------------------- files
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+    """`uri` as Spark names it, with a scheme; a bare path is one of this machine (tests)."""
+    if "://" not in uri:
+        uri = f"file://{uri.removeprefix('file:')}"
+    return pafs.FileSystem.from_uri(uri)
 
 
 def _put(uri: str, name: str, parts: Iterable[bytes]) -> None:
@@ -297,8 +300,9 @@ def read_all(placed: DataFrame, folder: str) -> DataFrame:
     return shards.repartition(n, "shard").mapInArrow(read, STORED)
 
 
-def read_keys(keys: DataFrame, folder: str, n_buckets: int, width: int = 2) -> DataFrame:
-    """Keyed access: `keys(doc_id)` -> (doc_id, ids) for the keys the index knows."""
+def read_keys(keys: DataFrame, folder: str, n_buckets: int) -> DataFrame:
+    """Keyed access: `keys(doc_id)` -> (doc_id, ids) for the keys the index knows.  The width of an
+    id is the shard's own."""
     at = look_up(keys.select("doc_id"), folder, n_buckets).where("at_shard is not null")
     at = at.repartition("at_shard", F.floor(F.col("at_offset") / (1 << 22))).sortWithinPartitions("at_shard", "at_offset")
 
@@ -309,6 +313,8 @@ def read_keys(keys: DataFrame, folder: str, n_buckets: int, width: int = 2) -> D
             for shard, offset, length in zip(*(batch.column(c).to_pylist() for c in ("at_shard", "at_offset", "at_length"))):
                 if shard != held:
                     held, f = shard, store.open_input_file(f"{base}/shard-{shard:05d}.ids")
+                    with store.open_input_file(f"{base}/shard-{shard:05d}.dir") as head:
+                        width, = struct.unpack("<I", head.read(4))
                 out.append(np.frombuffer(f.read_at(length * width, offset * width), f"<u{width}").astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -318,12 +324,15 @@ def read_keys(keys: DataFrame, folder: str, n_buckets: int, width: int = 2) -> D
 def store(docs: DataFrame, path: str | None = None, end_id: int = 2, folder: str | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write shards and index, read all documents back from the files, and look every
-    key up: doc_id, start, n_tokens, ids_crc32, shard, offset, indexed (the index
-    leads to this document, or to the first copy of its id; null ids: false)."""
+    key up: doc_id, start, n_tokens, ids_crc32, shard, offset, indexed (the index gives place
+    and length of this document, or of the first copy of its id; null ids: false)."""
     folder = folder or shared_path(docs.sparkSession, "token-store")
     placed = write(docs, folder, path, end_id, id_col, text_col)
     _, n_buckets = build_index(placed, folder)
     back = look_up(read_all(placed, folder), folder, n_buckets)
-    first = F.struct("at_shard", "at_offset") <= F.struct(F.col("shard").alias("at_shard"), F.col("offset").alias("at_offset"))
-    return back.select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset",
-                       (F.col("at_shard").isNotNull() & first).alias("indexed"))
+    first = placed.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.struct(F.col("shard").alias("at_shard"), F.col("offset").alias("at_offset"),
+                       F.col("n_tokens").alias("at_length"))).alias("first"))
+    right = F.coalesce(F.struct("at_shard", "at_offset", "at_length") == F.col("first"), F.lit(False))
+    return back.join(first, "doc_id", "left").select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset",
+                                                     right.alias("indexed"))
