@@ -12,7 +12,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions import rules
 
 HEADER = ["vessel_id", "vessel_name", "imo_number", "call_sign", "mmsi_number", "voyage",
@@ -34,6 +36,23 @@ def manifest_containers(manifests: DataFrame, keep_empty: bool = True) -> DataFr
         .select(*HEADER, *[F.col(f"c.{f}").alias(f) for f in CONTAINER_FIELDS])
 
 
+def manifest_containers_json(lines: DataFrame, keep_empty: bool = True) -> DataFrame:
+    """`lines(value)`, one manifest as JSON text a row -> the rows of `manifest_containers`.
+
+    The document stays one VARIANT and its containers are taken from it one by one, so
+    a manifest of any size builds no array of typed records; unknown fields cost
+    nothing, and a document that is no JSON gives no row.  Batch or file stream."""
+    def got(value: str, field: T.StructField) -> str:
+        return f"try_variant_get({value}, '$.{field.name}', '{field.dataType.simpleString()}') AS {field.name}"
+    header = [got("v", schemas.MANIFEST[f]) for f in HEADER]
+    container = [got("value", schemas.MANIFEST_CONTAINER[f]) for f in CONTAINER_FIELDS]
+    docs = lines.select(F.try_parse_json("value").alias("v")).where(F.col("v").isNotNull())
+    explode = "variant_explode_outer" if keep_empty else "variant_explode"
+    return lines.sparkSession.sql(
+        f"SELECT {', '.join(header + container)} FROM {{docs}}, LATERAL {explode}(try_variant_get(v, '$.containers', 'variant'))",
+        docs=docs)
+
+
 def _codes(field: str):
     """(value, containers) pairs of one document, a missing code counted as 'unknown'."""
     values = F.transform("containers", lambda c: F.coalesce(c[field], F.lit("unknown")))

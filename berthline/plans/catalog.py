@@ -408,6 +408,14 @@ def q_manifest_containers(spark, sf_dir):
     return manifest.manifest_containers(manifest_docs(spark, sf_dir))
 
 
+@query("manifest_containers_json")
+def q_manifest_containers_json(spark, sf_dir):
+    """The same containers from the manifests landed as JSON text, one document a line."""
+    path = sinks.fresh_path(spark, "manifest_json")
+    manifest_docs(spark, sf_dir).write.json(path)
+    return manifest.manifest_containers_json(spark.read.text(path))
+
+
 @query("manifest_summary")
 def q_manifest_summary(spark, sf_dir):
     return manifest.manifest_summary(manifest_docs(spark, sf_dir))

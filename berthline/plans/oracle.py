@@ -545,3 +545,5 @@ WITH o AS (
 SELECT strftime(d, '%Y') AS year, strftime(d, '%m') AS month, strftime(d, '%d') AS day, label,
        count(*) AS manifests, CAST(sum(n) AS BIGINT) AS containers
 FROM o GROUP BY ALL"""
+
+SQL["manifest_containers_json"] = SQL["manifest_containers"]

@@ -181,3 +181,31 @@ def test_schedule_landing(spark, tmp_path):
     assert "/vessel_schedule_api/20" in folder
     back = spark.read.json(folder)
     assert back.count() == 5 and "containers_summary" in back.columns
+
+
+def test_kafka_options_reach_the_reader():
+    """Defaults of every topic reader, the caller's security options, and the subscription."""
+    seen = {}
+
+    class Reader:
+        def format(self, fmt):
+            seen["format"] = fmt
+            return self
+
+        def options(self, **options):
+            seen["options"] = options
+            return self
+
+        def load(self):
+            return "stream"
+
+    class Session:
+        readStream = Reader()
+    security = {"kafka.bootstrap.servers": "h:9092", "kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": "PLAIN",
+                "kafka.ssl.endpoint.identification.algorithm": "https"}
+    assert bronze.read_bronze(Session(), ["a", "b"], options=security) == "stream"
+    assert seen["format"] == "kafka"
+    assert seen["options"] == {"startingOffsets": "earliest", "failOnDataLoss": "false", **security, "subscribe": "a,b"}
+    # the caller's choice beats a default, not the topics
+    bronze.read_bronze(Session(), "a", options={"startingOffsets": "latest", "subscribe": "x"})
+    assert seen["options"] == {"startingOffsets": "latest", "failOnDataLoss": "false", "subscribe": "a"}
