@@ -35,6 +35,7 @@ BUCKET_KEYS = 200_000       # keys of an index bucket, about
 _FINGERPRINT_SEED = 0xF1
 _BUCKET_SEED = 0xB5
 _COPY = 1 << 22             # bytes read from a shard at a time
+_BLOCK = 1 << 22            # ids of a shard that one task reads
 
 
 # ---------------------------------------------------------------- files
@@ -263,13 +264,54 @@ def look_up(keys: DataFrame, folder: str, n_buckets: int) -> DataFrame:
 STORED = "doc_id long, shard int, offset long, start long, n_tokens long, ids_crc32 long"
 
 
+def shard_starts(placed: DataFrame) -> DataFrame:
+    """(shard, start): ids of all shards before; one row a shard."""
+    shards = placed.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return written(shards.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start")), "token-shards")
+
+
+def checksums(places: DataFrame, folder: str) -> DataFrame:
+    """`places(shard, offset, n_tokens, ...)` -> the same rows with ids_crc32 of the ids that stand
+    there.  Rows are dealt by block of the shard and read in file order, some at a time."""
+    rows = places.withColumn("__block", F.floor(F.col("offset") / _BLOCK)).repartition("shard", "__block") \
+        .sortWithinPartitions("shard", "offset").drop("__block")
+    schema = StructType.fromJson(places.schema.jsonValue()).add("ids_crc32", "long")
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _open(f"{folder}/ids")
+        held, f, width, low, raw = None, None, 0, 0, b""
+
+        def part(at: int, size: int) -> memoryview:
+            """Bytes [at, at + size) of the open shard, from what was read last or by a new read."""
+            nonlocal low, raw
+            if at < low or at + size > low + len(raw):
+                low, raw = at, f.read_at(max(size, _COPY), at)
+                if len(raw) < size:
+                    raise OSError(f"shard {held} ends early")
+            return memoryview(raw)[at - low:at - low + size]
+        for batch in batches:
+            sums = []
+            for shard, offset, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "offset", "n_tokens"))):
+                if shard != held:
+                    held, low, raw = shard, 0, b""
+                    f = store.open_input_file(f"{base}/shard-{shard:05d}.ids")
+                    with store.open_input_file(f"{base}/shard-{shard:05d}.dir") as head:
+                        width, = struct.unpack("<I", head.read(4))
+                crc, at, left = 0, offset * width, n * width
+                while left:
+                    size = min(left, _COPY)
+                    crc = zlib.crc32(np.frombuffer(part(at, size), f"<u{width}").astype("<u4"), crc)
+                    at, left = at + size, left - size
+                sums.append(crc)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], [*batch.schema.names, "ids_crc32"])
+    return rows.mapInArrow(read, schema)
+
+
 def read_all(placed: DataFrame, folder: str) -> DataFrame:
     """Every document from the shard files, in file order within a shard: doc_id, shard,
     offset, start (ids of all documents before it), n_tokens, ids_crc32."""
-    shards = placed.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = written(shards.select("shard", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start")),
-                     "token-shards")
+    shards = shard_starts(placed)
     n = max(1, shards.count())
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,16 +365,23 @@ def read_keys(keys: DataFrame, folder: str, n_buckets: int) -> DataFrame:
 
 def store(docs: DataFrame, path: str | None = None, end_id: int = 2, folder: str | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write shards and index, read all documents back from the files, and look every
-    key up: doc_id, start, n_tokens, ids_crc32, shard, offset, indexed (the index gives place
-    and length of this document, or of the first copy of its id; null ids: false)."""
+    """Write shards and index, look every key up, and read the ids back from where the index leads:
+    doc_id, start, n_tokens, ids_crc32, shard, offset, indexed (the index gives place
+    and length of this document, or of the first copy of its id; null ids: false).
+
+    The index knows the first copy of an id; other copies and null ids are read from
+    their own places.  A wrong entry gives wrong columns here."""
     folder = folder or shared_path(docs.sparkSession, "token-store")
     placed = write(docs, folder, path, end_id, id_col, text_col)
     _, n_buckets = build_index(placed, folder)
-    back = look_up(read_all(placed, folder), folder, n_buckets)
-    first = placed.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min(F.struct(F.col("shard").alias("at_shard"), F.col("offset").alias("at_offset"),
-                       F.col("n_tokens").alias("at_length"))).alias("first"))
-    right = F.coalesce(F.struct("at_shard", "at_offset", "at_length") == F.col("first"), F.lit(False))
-    return back.join(first, "doc_id", "left").select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "offset",
-                                                     right.alias("indexed"))
+    own = F.struct(F.col("shard").alias("at_shard"), F.col("offset").alias("at_offset"), F.col("n_tokens").alias("at_length"))
+    entry = F.struct("at_shard", "at_offset", "at_length")
+    first = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("first"))
+    found = look_up(placed.select("doc_id", "shard", "offset", "n_tokens"), folder, n_buckets).join(first, "doc_id", "left")
+    known = F.col("at_shard").isNotNull() & F.coalesce(own == F.col("first"), F.lit(False))
+    place = F.when(known, entry).otherwise(own)
+    found = found.select("doc_id", place["at_shard"].alias("shard"), place["at_offset"].alias("offset"),
+                         place["at_length"].alias("n_tokens"), F.coalesce(entry == F.col("first"), F.lit(False)).alias("indexed"))
+    read = checksums(found, folder).join(shard_starts(placed), "shard")
+    return read.select("doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32", "shard", "offset",
+                       "indexed")

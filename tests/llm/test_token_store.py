@@ -91,3 +91,22 @@ def test_odd_rows(spark):
     assert order == sorted(order, key=lambda i: (i is not None, i or 0))
     assert all(r.indexed == (r.doc_id is not None) for r in got)
     assert T.store(empty(spark)).collect() == []
+
+
+def test_a_wrong_index_entry_shows(spark, monkeypatch):
+    """Places, lengths and checksums come through the index."""
+    docs = table(spark, SF_SMALL, "documents")
+    build = T.build_index
+
+    def swapped(placed, folder):
+        """Documents 1 and 2 lead to each other's ids."""
+        one = placed.where("doc_id in (1, 2)").selectExpr("3 - doc_id AS doc_id", "shard", "offset", "n_tokens", "width")
+        return build(placed.where("doc_id not in (1, 2)").unionByName(one), folder)
+    right = {r.doc_id: r for r in T.store(docs).collect()}
+    monkeypatch.setattr(T, "build_index", swapped)
+    wrong = {r.doc_id: r for r in T.store(docs).collect()}
+    assert all(r.indexed for r in right.values()) and right[1].ids_crc32 != right[2].ids_crc32
+    for a, b in ((1, 2), (2, 1)):
+        assert (wrong[a].start, wrong[a].n_tokens, wrong[a].ids_crc32) == (right[b].start, right[b].n_tokens, right[b].ids_crc32)
+        assert not wrong[a].indexed
+    assert all(wrong[i].ids_crc32 == right[i].ids_crc32 and wrong[i].indexed for i in right if i not in (1, 2))
