@@ -32,41 +32,53 @@ def _records(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.Struct
     return out
 
 
-def _present(value: Column, path: str) -> Column:
-    """Whether the field is there and not JSON's null."""
-    field = F.try_variant_get(value, f"$.{path}", "variant")
+def _there(field: Column) -> Column:
+    """Whether a field is there and not JSON's null."""
     return field.isNotNull() & ~F.is_variant_null(field)
 
 
-def _unknown(value: Column, prefix: str, record: T.StructType) -> Column:
+def _named(fault: str, names: Column) -> Column:
+    return F.coalesce(F.transform(names, lambda n: F.concat(F.lit(fault), n)), F.array().cast("array<string>"))
+
+
+def _unknown(fields: Column, prefix: str, record: T.StructType) -> Column:
     """Faults of the fields of a record that its schema does not have."""
-    names = F.map_keys(F.try_variant_get(value, f"$.{prefix}".rstrip("."), "map<string,variant>"))
-    unknown = F.array_except(names, F.array(*[F.lit(f.name) for f in record.fields]))
-    return F.coalesce(F.transform(unknown, lambda n: F.concat(F.lit(f"unknown:{prefix}"), n)), F.array().cast("array<string>"))
+    return _named(f"unknown:{prefix}", F.array_except(F.map_keys(fields), F.array(*[F.lit(f.name) for f in record.fields])))
+
+
+def _mistyped(fields: Column, prefix: str, record: T.StructType) -> Column:
+    """Faults of the fields that are there and not JSON's null, yet NULL under the schema."""
+    null = F.array_compact(F.array(F.lit(None).cast("string"), *[
+        F.when(F.col(f"_d.{prefix}{f.name}").isNull(), F.lit(f.name))
+        for f in record.fields if not isinstance(f.dataType, T.StructType)]))
+    return _named(f"mistyped:{prefix}", F.filter(null, lambda n: _there(F.element_at(fields, n))))
 
 
 def _faults(schema: T.StructType, required: tuple[str, ...]) -> Column:
-    """Array of faults, from the columns _v (VARIANT), _d (declared schema) and value."""
+    """Array of faults, from the columns _v (VARIANT), _f (each record's fields), _d (declared
+    schema) and value."""
     v, none = F.col("_v"), F.lit(None).cast("string")
-    of_object = [F.when(~_present(v, f), F.lit(f"missing:{f}")) for f in required]
+    of_object = [F.when(~_there(F.try_variant_get(v, f"$.{f}", "variant")), F.lit(f"missing:{f}")) for f in required]
     extra = []
-    for prefix, record in _records(schema):
-        for f in record.fields:
-            path = prefix + f.name
-            if not isinstance(f.dataType, T.StructType):
-                of_object.append(F.when(_present(v, path) & F.col(f"_d.{path}").isNull(), F.lit(f"mistyped:{path}")))
-        extra.append(_unknown(v, prefix, record))
+    for i, (prefix, record) in enumerate(_records(schema)):
+        extra += [_unknown(F.col(f"_f{i}"), prefix, record), _mistyped(F.col(f"_f{i}"), prefix, record)]
     whole = F.when(F.col("value").isNull(), "empty").when(v.isNull(), "unreadable").when(
-        ~F.schema_of_variant(v).startswith("OBJECT"), "not_an_object")
+        F.col("_f0").isNull(), "not_an_object")
     return F.when(whole.isNotNull(), F.array(whole)).otherwise(
         F.array_sort(F.concat(F.array_compact(F.array(*(of_object or [none]))), *extra)))
 
 
 def inspected(bronze: DataFrame, schema: T.StructType, required: tuple[str, ...] = REQUIRED) -> DataFrame:
-    """`bronze` with `faults`, an array that is empty for sound payloads.  Batch or stream."""
+    """`bronze` with `faults`, an array that is empty for sound payloads.  Batch or stream.
+
+    Each record is opened once, as a map of its fields.  The faults are given out by a
+    generator of one row: Spark puts a filter on a projected column below the projection, and
+    would parse the payload again for every mention of it there."""
     text = F.col("value").cast("string")
     read = bronze.select("*", F.try_parse_json(text).alias("_v"), F.from_json(text, schema).alias("_d"))
-    return read.withColumn("faults", _faults(schema, required)).drop("_v", "_d")
+    fields = [F.try_variant_get("_v", f"$.{prefix}".rstrip("."), "map<string,variant>").alias(f"_f{i}")
+              for i, (prefix, _) in enumerate(_records(schema))]
+    return read.select("*", *fields).select(*bronze.columns, F.explode(F.array(_faults(schema, required))).alias("faults"))
 
 
 def sound(inspected_rows: DataFrame) -> DataFrame:

@@ -60,3 +60,15 @@ def test_a_repaired_row_reaches_the_table_once(spark, tmp_path):
 def test_empty_table(spark):
     rows = Q.inspected(_bronze(spark, []), SCHEMA)
     assert rows.count() == Q.fault_counts(rows).count() == 0
+
+
+def test_a_payload_is_parsed_once_however_its_faults_are_used(spark, monkeypatch):
+    """Filters and explosions of the faults do not pull the parse into their conditions."""
+    import contextlib
+    import io
+    rows = Q.inspected(_bronze(spark, [v for v, _ in CASES]).repartition(2), SCHEMA)
+    for used in (Q.fault_counts(rows), Q.sound(rows), Q.faulty(rows)):
+        with contextlib.redirect_stdout(io.StringIO()) as said:
+            used.explain("extended")
+        plan = said.getvalue().split("Optimized Logical Plan")[1].split("Physical Plan")[0]
+        assert plan.lower().count("parse_json") + plan.count("parseJson") == 1
