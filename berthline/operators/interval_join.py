@@ -6,9 +6,11 @@ Plain Spark plans this as a hash/sort-merge join on `k` with the range as a
 residual, so every row of one key meets every row of the same key on the other
 side: a container that sees millions of events becomes one quadratic task.
 
-Here the time axis is cut into buckets of `bucket_seconds`: in batch as wide as
-the interval, so the other side is copied twice; on streams, where hot keys
-cannot be counted ahead, an eighth of it (an hour at least).  The preserved (left) side keeps exactly ONE bucket,
+Here the time axis is cut into buckets of `bucket_seconds`, by default as wide as
+the interval (an hour at least), so the other side is copied twice and a bucket's
+rows meet at most about twice the rows they match.  Narrower buckets part a busy
+key further, for more copies: an eighth makes nine, all of which a stream keeps as
+state.  The preserved (left) side keeps exactly ONE bucket,
 floor(left_ts / w); the other side is copied into every bucket b with
 floor((right_ts - upper) / w) <= b <= floor((right_ts - lower) / w), i.e. each
 bucket a matching left time can fall in.  A matching pair therefore meets in
@@ -81,7 +83,7 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: list[str],
     if upper_seconds < lower_seconds:
         raise ValueError("upper bound below lower bound")
     streaming = left.isStreaming or right.isStreaming
-    width = bucket_seconds or max((upper_seconds - lower_seconds) // (8 if streaming else 1), 3600)
+    width = bucket_seconds or max(upper_seconds - lower_seconds, 3600)
     w_us = width * 1_000_000
     lo_us, hi_us = lower_seconds * 1_000_000, upper_seconds * 1_000_000
     if right_filter is not None:

@@ -96,3 +96,15 @@ def test_every_gate_row_kept(spark):
                             f"c{i}", "LOAD") for i in range(40)])
     out = flows.export_flow(gate, crane, processing_time=False)
     assert out.select("gate_in_event_id").distinct().count() == 40
+
+
+def test_a_stream_keeps_two_copies_of_a_crane_row(spark, tmp_path):
+    """Buckets of a stream are as wide as the interval: state holds each right row twice."""
+    from berthline.operators.interval_join import interval_join
+    t = spark.sql("SELECT 'c' AS k, timestamp'2024-01-01 05:00:00' AS t")
+    t.write.parquet(str(tmp_path / "t"))
+    left = spark.readStream.schema(t.schema).parquet(str(tmp_path / "t")).withWatermark("t", "2 hours")
+    right = left.select("k", F.col("t").alias("u"))
+    got = interval_join(left, right, keys=["k"], left_ts="t", right_ts="u", lower_seconds=0, upper_seconds=24 * 3600)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert str(24 * 3600 * 1_000_000) in plan and str(3 * 3600 * 1_000_000) not in plan
