@@ -99,6 +99,8 @@ def bronze_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
 
     def build() -> DataFrame:
         events = testdata.read_table(spark, sf_dir, "events")
+        # A file of millions of events is one split of the scan, and JSON is slow to write: dealt anew.
+        events = events.repartition(sinks.task_count(spark, f"{sf_dir.rstrip('/')}/events.parquet"), *events.columns)
         return testdata.crane_bronze(events) if kind == "crane" else \
             testdata.gate_bronze(events, kind.removeprefix("gate_"))
     return sinks.cached_path(spark, f"{kind}_events_bronze", key, build)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
+TASK_BYTES = 2_000_000      # parquet per shuffle task: tens of MB once decoded
+LANDED_ROWS = 50_000        # documents per landed JSON file: a compressed file is read by one task
 # Microsecond timestamps in JSON (the writer's default keeps milliseconds only).
 LANDING_SPREAD = 4          # tasks a topic-day of one batch is written by, at most
 JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -123,6 +125,13 @@ def fingerprint(spark: SparkSession, path: str) -> str:
     return f"{path} {hashlib.sha256(chr(10).join(sorted(found)).encode()).hexdigest()}"
 
 
+def task_count(spark: SparkSession, *paths: str) -> int:
+    """Tasks for a shuffle of what lies at `paths`: one per TASK_BYTES of (compressed) files,
+    the cores at least.  A task's share of a table stays the same however large the table is."""
+    size = sum(_fs(spark, p).getContentSummary(_hpath(spark, p)).getLength() for p in paths)
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def publish_version(spark: SparkSession, folder: str, df: DataFrame, keys: list[str] | None = None) -> str:
     """Materialized view semantics: recompute the whole table (in clustered layout with
     `keys`) beside the version in use, then name it the current one by a numbered file
