@@ -236,39 +236,49 @@ MANIFEST_CONTAINER = {
 MANIFEST_PAGE = 1000
 
 
-def manifest_documents(orders: DataFrame, lineitem: DataFrame, page_size: int = MANIFEST_PAGE) -> DataFrame:
+# Long orders up to which their keys are passed along as a small table.
+LONG_KEYS = 10_000
+
+
+def manifest_documents(orders: DataFrame, lineitem: DataFrame, page_size: int = MANIFEST_PAGE,
+                       partitions: int | None = None) -> DataFrame:
     """Nested manifest documents shaped like `schemas.MANIFEST`.
 
     Lines of an order are counted first (combined before the shuffle).  A long order's
     lines are dealt by row hash to groups of about half a page, each group is
     numbered and cut at the page size: no array exceeds it and no task sees
-    more than a group of any order.  Orders without lines get an empty
-    container list."""
+    more than a group of any order.  The lines of all other orders go once, as plain
+    columns, to their order's partition, where they are gathered and joined.  Orders
+    without lines get an empty container list.  `partitions` (default: the session's)
+    follows the size of the input."""
     epoch = "unix_seconds(CAST(o_orderdate AS TIMESTAMP))"
-    header = orders.select(
-        "o_orderkey",
-        *[F.expr(e).alias(n) for n, e in MANIFEST_HEADER.items()],
-        F.expr(MANIFEST_ETA.format(epoch=epoch)).alias("eta"),
-        F.expr(MANIFEST_ETD.format(epoch=epoch)).alias("etd"),
-    )
+    header = [*[F.expr(e).alias(n) for n, e in MANIFEST_HEADER.items()],
+              F.expr(MANIFEST_ETA.format(epoch=epoch)).alias("eta"),
+              F.expr(MANIFEST_ETD.format(epoch=epoch)).alias("etd")]
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        return df.repartition(partitions, key) if partitions else df.repartition(key)
+    lineitem = lineitem.where("l_orderkey IS NOT NULL")
     groups = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines")).where(
         F.col("lines") > page_size).select(
         F.col("l_orderkey").alias("long_key"), F.ceil(F.col("lines") * 2 / page_size).alias("groups"))
+    few = groups.limit(LONG_KEYS + 1).collect()
+    if len(few) <= LONG_KEYS:
+        groups = F.broadcast(lineitem.sparkSession.createDataFrame(few, groups.schema))
+    is_long, ordered = F.col("l_orderkey") == F.col("long_key"), F.col("o_orderkey") == F.col("long_key")
+    container = _struct_of(MANIFEST_CONTAINER).alias("c")
+    whole = dealt(lineitem.join(groups, is_long, "left_anti"), "l_orderkey").select("l_orderkey", container).groupBy(
+        "l_orderkey").agg(F.collect_list("c").alias("containers"))
     row = F.struct(*[F.col(c) for c in lineitem.columns])
-    lines = lineitem.withColumn("row_hash", F.xxhash64(row)).join(
-        groups, F.col("l_orderkey") == F.col("long_key"), "left").select(
-        "l_orderkey", "row_hash", F.col("groups").isNotNull().alias("long"),
-        F.when(F.col("groups").isNull(), 0).otherwise(F.pmod("row_hash", "groups")).alias("part"),
-        _struct_of(MANIFEST_CONTAINER).alias("c"))
     in_part = Window.partitionBy("l_orderkey", "part").orderBy("row_hash")
-    cut = lines.where("long").withColumn("number", F.row_number().over(in_part) - 1).withColumn(
-        "page", F.expr(f"CAST(number AS BIGINT) div {page_size}")).drop("number")
-    whole = lines.where("not long").withColumn("page", F.lit(0).cast("long"))
-    pages = whole.unionByName(cut).groupBy("l_orderkey", "part", "page").agg(F.collect_list("c").alias("containers"))
-    docs = header.join(pages, header.o_orderkey == pages.l_orderkey, "left")
+    cut = lineitem.withColumn("row_hash", F.xxhash64(row)).join(groups, is_long).select(
+        "l_orderkey", "row_hash", F.pmod("row_hash", "groups").alias("part"), container).withColumn(
+        "number", F.row_number().over(in_part) - 1).withColumn("page", F.expr(f"CAST(number AS BIGINT) div {page_size}"))
+    pages = cut.groupBy("l_orderkey", "part", "page").agg(F.collect_list("c").alias("containers"))
     names = [f.name for f in schemas.MANIFEST.fields]
-    return docs.select(
-        *[F.col(n) for n in names if n != "containers"],
-        F.coalesce(F.col("containers"),
-                   F.array().cast(schemas.MANIFEST["containers"].dataType)).alias("containers"),
-    )
+    held = F.coalesce(F.col("containers"), F.array().cast(schemas.MANIFEST["containers"].dataType)).alias("containers")
+
+    def documents(some: DataFrame, gathered: DataFrame, how: str) -> DataFrame:
+        return some.join(gathered, some.o_orderkey == gathered.l_orderkey, how).select(*header, held).select(*names)
+    return documents(dealt(orders.join(groups, ordered, "left_anti"), "o_orderkey"), whole, "left").unionByName(
+        documents(orders.join(groups, ordered, "left_semi"), pages, "inner"))
