@@ -46,10 +46,12 @@ def manifest_containers_json(lines: DataFrame, keep_empty: bool = True) -> DataF
         return f"try_variant_get({value}, '$.{field.name}', '{field.dataType.simpleString()}') AS {field.name}"
     header = [got("v", schemas.MANIFEST[f]) for f in HEADER]
     container = [got("value", schemas.MANIFEST_CONTAINER[f]) for f in CONTAINER_FIELDS]
-    docs = lines.select(F.try_parse_json("value").alias("v")).where(F.col("v").isNotNull())
+    # the header is read once a document, before its containers are taken apart
+    docs = lines.select(F.try_parse_json("value").alias("v")).where(F.col("v").isNotNull()).selectExpr(
+        *header, "try_variant_get(v, '$.containers', 'variant') AS list")
     explode = "variant_explode_outer" if keep_empty else "variant_explode"
     return lines.sparkSession.sql(
-        f"SELECT {', '.join(header + container)} FROM {{docs}}, LATERAL {explode}(try_variant_get(v, '$.containers', 'variant'))",
+        f"SELECT {', '.join(HEADER + container)} FROM {{docs}}, LATERAL {explode}(list)",
         docs=docs)
 
 
@@ -60,9 +62,14 @@ def _codes(field: str):
         v.alias("value"), F.size(F.filter(values, lambda x: x == v)).cast("long").alias("containers")))
 
 
-def manifest_summary(manifests: DataFrame) -> DataFrame:
+def manifest_summary(manifests: DataFrame, partitions: int | None = None) -> DataFrame:
     """Long form: (header, dimension, value, containers), one row a code of a vessel call.
 
+    Documents go to their call's partition as header and counts, one row each, and are
+    unfolded there; nothing is combined before (calls rarely repeat within a task, and a
+    table of wide keys of everything that a task reads would have no bound).  `partitions`
+    (default: the session's) follows the size of the input, so that a task's share does not grow.
+
     dimension 'total' (value 'all') counts every container, 0 for an empty
     manifest; by_size / by_type / by_status count per code."""
     docs = manifests.withColumn("containers", F.filter("containers", lambda c: c.isNotNull()))
@@ -70,7 +77,9 @@ def manifest_summary(manifests: DataFrame) -> DataFrame:
                              F.coalesce(F.size("containers"), F.lit(0)).cast("long").alias("containers")))
     none = F.array().cast("array<struct<value:string,containers:bigint>>")
     pairs = [total, *[_labelled(F.coalesce(_codes(f), none), d) for d, f in DIMENSIONS.items()]]
-    long = docs.select(*HEADER, F.explode(F.concat(*pairs)).alias("p"))
+    counted = docs.select(*HEADER, F.concat(*pairs).alias("pairs"))
+    dealt = counted.repartition(partitions, *HEADER) if partitions else counted.repartition(*HEADER)
+    long = dealt.select(*HEADER, F.explode("pairs").alias("p"))
     return long.groupBy(*HEADER, F.col("p.dimension").alias("dimension"), F.col("p.value").alias("value")).agg(
         F.sum("p.containers").alias("containers"))
 
@@ -80,7 +89,7 @@ def _labelled(codes, dimension: str):
         F.lit(dimension).alias("dimension"), p["value"].alias("value"), p["containers"].alias("containers")))
 
 
-def vessel_schedule(*manifest_sets: DataFrame) -> DataFrame:
+def vessel_schedule(*manifest_sets: DataFrame, partitions: int | None = None) -> DataFrame:
     """Schedule entries of all given manifest sets (import, export, ...):
     renamed header, code descriptions, ISO eta/etd and the container summary
     (total + count maps), one row per vessel call.  Unknown process types stay,
@@ -90,7 +99,7 @@ def vessel_schedule(*manifest_sets: DataFrame) -> DataFrame:
         manifests = manifests.unionByName(m)
     # A map holds one entry per distinct code of the call.
     dim = F.col("dimension")
-    s = manifest_summary(manifests).groupBy(*HEADER).agg(
+    s = manifest_summary(manifests, partitions).groupBy(*HEADER).agg(
         F.sum(F.when(dim == "total", F.col("containers"))).alias("total"),
         *[F.map_from_entries(F.collect_list(F.when(dim == d, F.struct("value", "containers"))))
           .alias(d) for d in DIMENSIONS])

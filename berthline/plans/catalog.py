@@ -398,11 +398,16 @@ def manifest_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     if memo not in _DOCS:
         _DOCS[memo] = sinks.cached_table(
             spark, "manifests", key,
-            lambda: testdata.manifest_documents(testdata.read_table(spark, sf_dir, "orders"),
-                                                testdata.read_table(spark, sf_dir, "lineitem")))
+            lambda: testdata.manifest_documents(
+                testdata.read_table(spark, sf_dir, "orders"), testdata.read_table(spark, sf_dir, "lineitem"),
+                partitions=_manifest_tasks(spark, sf_dir)))
     return _DOCS[memo]
 
 
+def _manifest_tasks(spark: SparkSession, sf_dir: str) -> int:
+    return sinks.task_count(spark, *(f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "lineitem")))
+
+
 @query("manifest_containers")
 def q_manifest_containers(spark, sf_dir):
     return manifest.manifest_containers(manifest_docs(spark, sf_dir))
@@ -412,13 +417,13 @@ def q_manifest_containers(spark, sf_dir):
 def q_manifest_containers_json(spark, sf_dir):
     """The same containers from the manifests landed as JSON text, one document a line."""
     path = sinks.fresh_path(spark, "manifest_json")
-    manifest_docs(spark, sf_dir).write.json(path)
+    manifest_docs(spark, sf_dir).write.option("compression", "gzip").option("maxRecordsPerFile", sinks.LANDED_ROWS).json(path)
     return manifest.manifest_containers_json(spark.read.text(path))
 
 
 @query("manifest_summary")
 def q_manifest_summary(spark, sf_dir):
-    return manifest.manifest_summary(manifest_docs(spark, sf_dir))
+    return manifest.manifest_summary(manifest_docs(spark, sf_dir), _manifest_tasks(spark, sf_dir))
 
 
 @query("work_orders")
@@ -431,7 +436,7 @@ def q_work_orders(spark, sf_dir):
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All manifests of the landing, whatever their process type."""
-    return manifest.vessel_schedule(manifest_docs(spark, sf_dir))
+    return manifest.vessel_schedule(manifest_docs(spark, sf_dir), partitions=_manifest_tasks(spark, sf_dir))
 
 
 @query("vessel_schedule")

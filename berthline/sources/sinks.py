@@ -193,7 +193,7 @@ def land_dated_json(df: DataFrame, path: str, date_col: str, label_col: str | No
 
     The source writes one object per day and process type under
     bronze/<api>/YYYY/MM/DD/<label>/; Spark's partitioned writer keeps that
-    hierarchy (as key=value folders) and writes in parallel, after a range
+    hierarchy (as key=value folders) and writes gzip files in parallel, after a range
     shuffle on (day, label, row hash).  Range boundaries come from a sample, so small days share one task (about one
     file per folder instead of one per task) while a day holding a third of all
     rows is cut into many ranges by the row hash and written by many tasks."""
@@ -207,7 +207,8 @@ def land_dated_json(df: DataFrame, path: str, date_col: str, label_col: str | No
            .withColumn("day", F.date_format(d, "dd"))
            .repartitionByRange(*parts, h)
            .drop(date_col))
-    out.write.mode("overwrite").option("timestampFormat", JSON_TS).partitionBy(*parts).json(path)
+    out.write.mode("overwrite").option("timestampFormat", JSON_TS).option("compression", "gzip") \
+        .option("maxRecordsPerFile", LANDED_ROWS).partitionBy(*parts).json(path)
 
 
 def land_schedule(schedule: DataFrame, root: str) -> str:

@@ -209,3 +209,27 @@ def test_kafka_options_reach_the_reader():
     # the caller's choice beats a default, not the topics
     bronze.read_bronze(Session(), "a", options={"startingOffsets": "latest", "subscribe": "x"})
     assert seen["options"] == {"startingOffsets": "latest", "failOnDataLoss": "false", "subscribe": "a"}
+
+
+def test_lines_are_shuffled_once_as_columns(spark):
+    """Containers are built after the shuffle by order; long orders alone are numbered; lines
+    of no order and of the NULL key give nothing."""
+    orders = testdata.read_table(spark, "/root/testdata/sf0.001", "orders").limit(30).cache()
+    lines = testdata.read_table(spark, "/root/testdata/sf0.001", "lineitem")
+    lines = lines.unionByName(lines.limit(3).withColumn("l_orderkey", F.lit(None).cast("long")))
+    docs = testdata.manifest_documents(orders, lines, partitions=9)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert ", 9), REPARTITION_BY_NUM" in plan
+    want = {str(r.o_orderkey): r.n for r in orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy(
+        "o_orderkey").agg(F.count("l_orderkey").alias("n")).collect()}
+    assert {r.vessel_id: len(r.containers) for r in docs.collect()} == want
+
+
+def test_bronze_is_dealt_to_all_cores(spark, tmp_path):
+    """One file of events is one split of the scan; bronze is written by every core."""
+    import shutil
+
+    from berthline.plans import pipeline
+    shutil.copy("/root/testdata/sf0.001/events.parquet", tmp_path / "events.parquet")
+    path = pipeline.bronze_path(spark, str(tmp_path), "crane")
+    assert len([f for f in os.listdir(path.removeprefix("file://").removeprefix("file:")) if f.startswith("part-")]) > 1
